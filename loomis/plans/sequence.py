@@ -31,3 +31,28 @@ def sequence_within(df: DataFrame, key: str | list[str], order: list[Column | st
     return (with_bucket.join(offsets, [*keys, "_bkt"])
             .withColumn(name, (F.row_number().over(inner) + F.col("_off")).cast("long"))
             .drop("_bkt", "_off"))
+
+
+def dense_index(df: DataFrame, order: list[Column | str], name: str = "id", start: int = 0,
+                checkpoint: bool = True) -> DataFrame:
+    """Contiguous 0-based index in a total ``order`` without a single-partition
+    window: range-partition and sort, tag rows with
+    ``monotonically_increasing_id`` (partition id in the upper bits, position
+    in the lower 33), count rows per partition (one row per partition, a
+    proven-small table that is broadcast) and add the running offset.
+
+    The tagged frame is checkpointed (reliably, into ``spark.checkpoint.dir``)
+    so both uses see the same ids even if a task is retried elsewhere."""
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    tagged = df.repartitionByRange(*order_cols).sortWithinPartitions(*order_cols) \
+               .withColumn("_mid", F.monotonically_increasing_id())
+    if checkpoint:
+        tagged = tagged.checkpoint(eager=True)
+    pid = F.shiftrightunsigned(F.col("_mid"), 33)
+    counts = tagged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    local = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
+    return (tagged.join(F.broadcast(offsets), pid == F.col("_pid"))
+            .withColumn(name, (F.lit(start) + F.col("_off") + local).cast("long"))
+            .drop("_mid", "_pid", "_off"))

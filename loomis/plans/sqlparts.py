@@ -75,3 +75,38 @@ def q(*parts: str) -> str:
 
 
 CAND_BASE = (H, TARGET, ITEM, CAND, CAPPED, MATCHED)
+
+# ---- chat corpus / token arrays -------------------------------------------
+from loomis.functions.text import TOKEN_PATTERN as _PAT  # noqa: E402
+from loomis.schemas import SPECIAL_TOKENS as _SPECIALS  # noqa: E402
+
+PAT = _PAT
+NL = "chr(10)"
+
+CRENDER = f"""CRENDER AS (
+  SELECT conv_id, string_agg('<|im_start|>' || role || {NL} || text || '<|im_end|>' || {NL}, '' ORDER BY turn) AS text
+  FROM conversations GROUP BY conv_id)"""
+
+_SP_VALUES = ", ".join(f"('{t}', {i})" for i, t in enumerate(_SPECIALS))
+
+
+def vocab(name: str, corpus: str, text: str = "text") -> list[str]:
+    """CTEs ``{name}`` (token, freq, id) over ``corpus.text``."""
+    return [f"""{name}_VC AS (
+  SELECT token, count(*) AS freq FROM (SELECT unnest(regexp_extract_all({text}, '{PAT}')) AS token FROM {corpus})
+  GROUP BY token)""", f"""{name}_SP AS (SELECT * FROM (VALUES {_SP_VALUES}) sp(token, id))""", f"""{name} AS (
+  SELECT s.token, CAST(coalesce(v.freq, 0) AS BIGINT) AS freq, CAST(s.id AS BIGINT) AS id
+  FROM {name}_SP s LEFT JOIN {name}_VC v ON s.token = v.token
+  UNION ALL
+  SELECT token, freq, CAST({len(_SPECIALS) - 1} + row_number() OVER (ORDER BY freq DESC, token) AS BIGINT) AS id
+  FROM {name}_VC WHERE token NOT IN (SELECT token FROM {name}_SP))"""]
+
+
+def encoded(name: str, corpus: str, key: str, voc: str, text: str = "text") -> str:
+    """CTE ``{name}`` (key, ids) — ids in token order, empty list for no tokens."""
+    return f"""{name} AS (
+  SELECT c.{key}, coalesce(e.ids, []::BIGINT[]) AS ids FROM {corpus} c LEFT JOIN (
+    SELECT {key}, list(v.id ORDER BY pos) AS ids FROM (
+      SELECT {key}, unnest(toks) AS token, generate_subscripts(toks, 1) AS pos
+      FROM (SELECT {key}, regexp_extract_all({text}, '{PAT}') AS toks FROM {corpus})) t
+    JOIN {voc} v ON t.token = v.token GROUP BY {key}) e ON c.{key} = e.{key})"""

@@ -18,6 +18,7 @@ from collections import Counter
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
+import pandas as pd  # noqa: E402
 
 from loomis.plans.bindings import TABLES  # noqa: E402
 from loomis.plans.registry import load_all  # noqa: E402
@@ -25,7 +26,7 @@ from loomis.session import build_session  # noqa: E402
 
 
 def canon(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return None
     if isinstance(v, float):
         if math.isnan(v):
