@@ -77,9 +77,10 @@ def drop_special_tokens(c) -> Column:
 
 
 def preview(c, n: int = 80) -> Column:
-    """First ``n`` characters with newlines escaped and ``...`` when cut."""
-    s = F.replace(col_(c), F.lit("\n"), F.lit("\\n"))
-    return F.when(F.length(s) > n, F.concat(F.substring(s, 1, n), F.lit("..."))).otherwise(s)
+    """First ``n`` characters, newlines then escaped, ``...`` when cut."""
+    x = col_(c)
+    cut = F.replace(F.substring(x, 1, n), F.lit("\n"), F.lit("\\n"))
+    return F.when(F.length(x) > n, F.concat(cut, F.lit("..."))).otherwise(cut)
 
 
 __all__ = [

@@ -36,7 +36,7 @@ def last_role_index(messages, role: str = "assistant") -> Column:
     """1-based index of the last message with ``role`` (0 when absent)."""
     m = F.col(messages) if isinstance(messages, str) else messages
     pos = F.array_position(F.reverse(F.transform(m, lambda x: x["role"])), role)
-    return F.when(pos > 0, F.size(m) - pos + 1).otherwise(F.lit(0))
+    return F.when(pos > 0, F.size(m) - pos + 1).otherwise(F.lit(0)).cast("int")
 
 
 def split_answer(df: DataFrame, messages: str = "messages") -> DataFrame:
@@ -99,8 +99,8 @@ def to_three_field(df: DataFrame, messages: str = "messages") -> DataFrame:
     newline) and that assistant turn's content."""
     s = split_answer(df, messages)
     rest = F.filter("context", lambda x: x["role"] != "system")
-    first_system = F.element_at(F.transform(F.filter(messages, lambda x: x["role"] == "system"),
-                                            lambda x: x["content"]), 1)
+    first_system = F.try_element_at(F.transform(F.filter(messages, lambda x: x["role"] == "system"),
+                                                lambda x: x["content"]), F.lit(1))
     return s.select("*", F.coalesce(first_system, F.lit("")).alias("system"),
                     F.array_join(F.transform(rest, lambda x: x["content"]), "\n").alias("prompt"),
                     F.col("answer").alias("response")).drop("context", "answer")

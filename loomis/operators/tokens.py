@@ -26,7 +26,8 @@ def _c(c) -> Column:
 
 
 # ---------------------------------------------------------------- A6
-def build_vocab(corpus: DataFrame, text: str = "text", specials: Sequence[str] = SPECIAL_TOKENS) -> DataFrame:
+def build_vocab(corpus: DataFrame, text: str = "text", specials: Sequence[str] = SPECIAL_TOKENS,
+                checkpoint: bool = True) -> DataFrame:
     """(token, freq, id): special tokens first in their fixed order, then all
     other tokens by descending frequency, ties by token.  Counting is a
     partially aggregated ``groupBy``; ids come from ``dense_index`` (range sort,
@@ -38,8 +39,13 @@ def build_vocab(corpus: DataFrame, text: str = "text", specials: Sequence[str] =
     special_rows = F.broadcast(sp).join(counts, "token", "left") \
         .select("token", F.coalesce("freq", F.lit(0)).cast("long").alias("freq"), "id")
     rest = counts.join(F.broadcast(sp), "token", "left_anti")
-    ranked = dense_index(rest, [F.desc("freq"), F.asc("token")], name="id", start=len(specials))
-    return special_rows.unionByName(ranked.select("token", "freq", "id"))
+    ranked = dense_index(rest, [F.desc("freq"), F.asc("token")], name="id", start=len(specials),
+                         checkpoint=False)
+    vocab = special_rows.unionByName(ranked.select("token", "freq", "id"))
+    # The vocabulary is a dimension read by every later join and id lookup:
+    # write it once (reliable checkpoint in spark.checkpoint.dir) so lookups do
+    # not re-tokenize the corpus and ids stay fixed if an executor is lost.
+    return vocab.checkpoint(eager=True) if checkpoint else vocab
 
 
 def _vocab_side(vocab: DataFrame, broadcast_limit: int) -> tuple[DataFrame, bool]:
