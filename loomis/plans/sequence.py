@@ -56,3 +56,20 @@ def dense_index(df: DataFrame, order: list[Column | str], name: str = "id", star
     return (tagged.join(F.broadcast(offsets), pid == F.col("_pid"))
             .withColumn(name, (F.lit(start) + F.col("_off") + local).cast("long"))
             .drop("_mid", "_pid", "_off"))
+
+
+def cumulative_within(df: DataFrame, key: str | list[str], order: list[Column | str], value: Column,
+                      bucket: Column, name: str) -> DataFrame:
+    """Running ``sum(value)`` per key in ``order`` (rows up to and including
+    the current one), split by an order-preserving ``bucket`` exactly like
+    ``sequence_within`` so a hot key is not one task."""
+    keys = [key] if isinstance(key, str) else list(key)
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    d = df.withColumn("_bkt", bucket).withColumn("_v", value)
+    sums = d.groupBy(*keys, "_bkt").agg(F.sum("_v").alias("_s"))
+    earlier = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*keys, "_bkt", F.coalesce(F.sum("_s").over(earlier), F.lit(0)).alias("_off"))
+    inner = Window.partitionBy(*keys, "_bkt").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, 0)
+    return (d.join(offsets, [*keys, "_bkt"])
+            .withColumn(name, F.sum("_v").over(inner) + F.col("_off"))
+            .drop("_bkt", "_off", "_v"))
