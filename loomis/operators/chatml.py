@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomis.functions.plan import pin_columns
 from loomis.functions.text import chatml_turn, render_messages, strip_ws, token_count
 from loomis.schemas import (CLEAR_COMMAND, EMPTY_THINK_BLOCK, IM_START, NO_THINK_SUFFIX,
                             PLAIN_ANSWER_PREFIX, PLAIN_USER_PREFIX, SPECIAL_TOKENS, THINK_SUFFIX)
@@ -121,7 +122,7 @@ def thinking_control(df: DataFrame, messages: str = "messages", mode: str = "mod
     """Append `` /think`` (thinking) or `` /no_think`` to the last user turn."""
     idx = last_role_index(messages, "user")
     suffix = F.when(F.col(mode) == "thinking", F.lit(" " + THINK_SUFFIX)).otherwise(F.lit(" " + NO_THINK_SUFFIX))
-    return df.withColumn("_u", idx).withColumn("_sfx", suffix).withColumn(
+    return pin_columns(df.withColumn("_u", idx).withColumn("_sfx", suffix)).withColumn(
         messages, F.transform(messages, lambda x, i: F.when(
             i + 1 == F.col("_u"), F.struct(x["role"].alias("role"), F.concat(x["content"], F.col("_sfx")).alias("content")))
             .otherwise(x))).drop("_u", "_sfx")

@@ -17,6 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomis.functions.plan import pin_columns
 from loomis.functions.text import seeded_key
 from loomis.plans.sequence import cumulative_within, sequence_within
 
@@ -108,13 +109,16 @@ def causal_attention_pool(hv: DataFrame, key: str = "user_id", seq: str = "seq",
 
     def dot(a, b_):
         return F.aggregate(F.zip_with(a, b_, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-    d = d.withColumn("_sc", F.transform("_ks", lambda k: dot(F.col("_q"), k["v"]) * F.lit(scale)))
-    d = d.withColumn("_ex", F.transform("_sc", lambda x: F.exp(x - F.array_max("_sc"))))
-    d = d.withColumn("_w", F.transform("_ex", lambda x: x / F.aggregate("_ex", F.lit(0.0), lambda a, y: a + y)))
+    d = pin_columns(d)
+    d = pin_columns(d.withColumn("_sc", F.transform("_ks", lambda k: dot(F.col("_q"), k["v"]) * F.lit(scale))))
+    d = pin_columns(d.withColumn("_mx", F.array_max("_sc")))
+    d = pin_columns(d.withColumn("_ex", F.transform("_sc", lambda x: F.exp(x - F.col("_mx")))))
+    d = pin_columns(d.withColumn("_z", F.aggregate("_ex", F.lit(0.0), lambda a, y: a + y)))
+    d = pin_columns(d.withColumn("_w", F.transform("_ex", lambda x: x / F.col("_z"))))
     pooled = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
                          lambda j: F.aggregate(F.zip_with("_w", "_ks", lambda wt, k: wt * F.get(k["v"], j)),
                                                F.lit(0.0), lambda a, y: a + y))
     return d.withColumn("pooled", pooled) \
             .withColumn("n_keys", F.size("_ks").cast("long")) \
             .withColumn("self_weight", F.element_at("_w", -1)) \
-            .drop("_q", "_ks", "_sc", "_ex", "_w")
+            .drop("_q", "_ks", "_sc", "_mx", "_ex", "_z", "_w")

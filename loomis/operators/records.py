@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomis.functions.plan import pin_columns
 from loomis.functions.text import preview, render_messages, strip_ws, token_count
 from loomis.operators.chatml import last_role_index
 from loomis.schemas import DEFAULT_MAX_LEN, MATERIAL_SYSTEM_PROMPT, MATERIAL_USER_PREFIX
@@ -139,7 +140,7 @@ ROLES = ["system", "user", "assistant"]
 def validation_flags(messages: str = "messages", max_tokens: int = DEFAULT_MAX_LEN) -> list[tuple[str, Column]]:
     m = F.col(messages)
     roles = F.transform(m, lambda x: x["role"])
-    ns = F.transform(F.filter(m, lambda x: x["role"] != "system"), lambda x: x["role"])
+    ns = F.col("_ns")  # non-system roles, pinned by validate_records
     return [
         ("blank_content", F.exists(m, lambda x: F.coalesce(strip_ws(x["content"]), F.lit("")) == "")),
         ("bad_role", F.exists(roles, lambda r: ~F.coalesce(r, F.lit("")).isin(*ROLES))),
@@ -154,6 +155,8 @@ def validation_flags(messages: str = "messages", max_tokens: int = DEFAULT_MAX_L
 def validate_records(df: DataFrame, messages: str = "messages", max_tokens: int = DEFAULT_MAX_LEN) -> DataFrame:
     """Rule table → (rule, n_checked, n_failed); every rule is reported, also
     with zero failures."""
+    df = pin_columns(df.withColumn("_ns", F.transform(F.filter(messages, lambda x: x["role"] != "system"),
+                                                      lambda x: x["role"])))
     flags = validation_flags(messages, max_tokens)
     per = df.select(F.inline(F.array(*[F.struct(F.lit(n).alias("rule"), f.alias("failed")) for n, f in flags])))
     return per.groupBy("rule").agg(F.count(F.lit(1)).alias("n_checked"), F.count_if("failed").alias("n_failed"))

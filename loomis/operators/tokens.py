@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomis.functions.plan import pin_columns
 from loomis.functions.text import TOKEN_PATTERN, token_count, tokens, word_count
 from loomis.plans.sequence import dense_index
 from loomis.schemas import ENDOFTEXT, IGNORE_INDEX, IM_END, SPECIAL_TOKENS
@@ -116,16 +117,17 @@ def mask_labels(df: DataFrame, ids: str, marker: Sequence[Column | int], end_id:
     Marker ids may be scalar subqueries; they are attached as columns first
     (higher-order functions cannot hold subqueries)."""
     m = len(marker)
-    d = df.withColumn("_mk", _marker_col(marker))
-    d = d.withColumn("_st", marker_starts(ids, F.col("_mk"), m))
+    d = pin_columns(df.withColumn("_mk", _marker_col(marker)))
+    d = pin_columns(d.withColumn("_st", marker_starts(ids, F.col("_mk"), m)))
     if mode == "first":
-        first = F.array_min("_st")
+        d = pin_columns(d.withColumn("_first", F.array_min("_st")))
+        first = F.col("_first")
         lab = F.transform(ids, lambda x, i: F.when(first.isNotNull() & (i + 1 >= first + m), x)
                           .otherwise(F.lit(IGNORE_INDEX).cast("bigint")))
     elif mode == "assistant_only":
-        d = d.withColumn("_end", (end_id if isinstance(end_id, Column) else F.lit(end_id)).cast("bigint"))
-        d = d.withColumn("_en", F.filter(F.transform(ids, lambda x, i: F.when(x == F.col("_end"), i + 1)),
-                                         lambda p: p.isNotNull()))
+        d = pin_columns(d.withColumn("_end", (end_id if isinstance(end_id, Column) else F.lit(end_id)).cast("bigint")))
+        d = pin_columns(d.withColumn("_en", F.filter(F.transform(ids, lambda x, i: F.when(x == F.col("_end"), i + 1)),
+                                                     lambda p: p.isNotNull())))
 
         def keep(x, i):
             s = F.array_max(F.filter("_st", lambda st: st + m <= i + 1))
@@ -134,12 +136,12 @@ def mask_labels(df: DataFrame, ids: str, marker: Sequence[Column | int], end_id:
         lab = F.transform(ids, keep)
     else:
         raise ValueError(f"unknown mode {mode}")
-    return d.withColumn(out, lab).drop("_mk", "_st", "_en", "_end")
+    return d.withColumn(out, lab).drop("_mk", "_st", "_en", "_end", "_first")
 
 
 def first_marker(df: DataFrame, ids: str, marker: Sequence[Column | int], out: str) -> DataFrame:
     """1-based position of the first marker occurrence (null when absent)."""
-    d = df.withColumn("_mk", _marker_col(marker))
+    d = pin_columns(df.withColumn("_mk", _marker_col(marker)))
     return d.withColumn(out, F.array_min(marker_starts(ids, F.col("_mk"), len(marker))).cast("long")).drop("_mk")
 
 
