@@ -133,3 +133,12 @@ ITEMIC = T.StructType([
     T.StructField("b", T.IntegerType()),
     T.StructField("c", T.IntegerType()),
 ])
+
+# Competition calendar (month, day) ranges: registration, preliminary round,
+# semifinal (adds LLM-as-judge), code review.
+COMPETITION_PHASES = [
+    ("registration", (6, 13), (6, 29)),
+    ("preliminary", (7, 1), (7, 31)),
+    ("semifinal", (8, 1), (8, 31)),
+    ("review", (9, 1), (9, 15)),
+]
