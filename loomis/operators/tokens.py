@@ -56,36 +56,40 @@ def _vocab_side(vocab: DataFrame, broadcast_limit: int) -> tuple[DataFrame, bool
 
 # ---------------------------------------------------------------- X1
 def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, out: str = "ids",
-           unknown_id: int = -1, broadcast_limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
-    """Text → ``array<long>`` of vocabulary ids (unknown tokens → ``unknown_id``).
-
-    With a broadcastable vocabulary the input is hash-partitioned by key once,
-    so explode → broadcast join → regroup needs no second shuffle."""
-    v, small = _vocab_side(vocab.select("token", "id"), broadcast_limit)
-    base = df.select(key, text).repartition(key) if small else df.select(key, text)
-    exploded = base.select(key, F.posexplode_outer(tokens(text)).alias("pos", "token"))
+           keep: Sequence[str] = (), unknown_id: int = -1,
+           broadcast_limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
+    """(key, ids, *keep): text → ``array<long>`` of vocabulary ids (unknown
+    tokens → ``unknown_id``).
+
+    One shuffle of (key, pos, id) rows: explode → vocabulary join (broadcast
+    only after the size check; otherwise a shuffled join where AQE splits hot
+    tokens) → regroup by key.  The text itself is never shuffled; small
+    ``keep`` columns ride along via ``first``."""
+    v, _ = _vocab_side(vocab.select("token", "id"), broadcast_limit)
+    exploded = df.select(key, *keep, F.posexplode_outer(tokens(text)).alias("pos", "token"))
     j = exploded.join(v, "token", "left")
     grouped = j.groupBy(key).agg(F.array_sort(F.collect_list(
-        F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unknown_id)).alias("id"))))).alias("_p"))
-    return df.join(grouped.select(key, F.transform("_p", lambda x: x["id"]).alias(out)), key, "left") \
-             .withColumn(out, F.coalesce(F.col(out), F.array().cast("array<bigint>")))
+        F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unknown_id)).alias("id"))))).alias("_p"),
+        *[F.first(c).alias(c) for c in keep])
+    return grouped.select(key, F.transform("_p", lambda x: x["id"]).cast("array<bigint>").alias(out), *keep)
 
 
 # ---------------------------------------------------------------- X2
 def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame, out: str = "decoded",
-           skip_special: bool = False, sep: str = "", broadcast_limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
-    """Ids → text: tokens joined by ``sep``; optionally drop special tokens."""
+           skip_special: bool = False, sep: str = "", keep: Sequence[str] = (),
+           broadcast_limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
+    """(key, decoded, *keep): ids → text, tokens joined by ``sep``; optionally
+    drop special tokens.  Same one-shuffle shape as ``encode``."""
     voc = vocab.select(F.col("id").alias("_id"), F.col("token"))
     if skip_special:
         voc = voc.filter(~F.col("token").isin(list(SPECIAL_TOKENS)) & ~F.col("token").rlike(r"^<\|[a-z_]+\|>$"))
-    v, small = _vocab_side(voc, broadcast_limit)
-    base = df.select(key, ids).repartition(key) if small else df.select(key, ids)
-    exploded = base.select(key, F.posexplode_outer(ids).alias("pos", "_id"))
+    v, _ = _vocab_side(voc, broadcast_limit)
+    exploded = df.select(key, *keep, F.posexplode_outer(ids).alias("pos", "_id"))
     j = exploded.join(v, "_id", "left")
     grouped = j.groupBy(key).agg(F.array_sort(F.collect_list(
-        F.when(F.col("token").isNotNull(), F.struct("pos", "token")))).alias("_p"))
-    return df.join(grouped.select(key, F.array_join(F.transform("_p", lambda x: x["token"]), sep).alias(out)),
-                   key, "left").withColumn(out, F.coalesce(F.col(out), F.lit("")))
+        F.when(F.col("token").isNotNull(), F.struct("pos", "token")))).alias("_p"),
+        *[F.first(c).alias(c) for c in keep])
+    return grouped.select(key, F.array_join(F.transform("_p", lambda x: x["token"]), sep).alias(out), *keep)
 
 
 def token_id(vocab: DataFrame, token: str) -> Column:
@@ -236,12 +240,19 @@ def longest_samples(df: DataFrame, key: str, length: str, k: int = 10) -> DataFr
 
 
 # ---------------------------------------------------------------- D6
-def length_filter(df: DataFrame, n_tokens: str, max_len: int) -> tuple[DataFrame, DataFrame]:
-    """(kept, routed): samples within ``max_len`` and those needing another budget."""
-    return df.filter(F.col(n_tokens) <= max_len), df.filter(F.col(n_tokens) > max_len)
+def length_filter(df: DataFrame, n_tokens: str, max_len: int) -> DataFrame:
+    """Route samples: ``keep`` within ``max_len``, ``long`` for those that
+    need another budget (one pass; split the sinks with ``split_routes``)."""
+    return df.withColumn("route", F.when(F.col(n_tokens) <= max_len, F.lit("keep")).otherwise(F.lit("long")))
+
+
+def split_routes(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(kept, long) views of a routed frame; persist ``routed`` first when
+    both sinks are written."""
+    return routed.filter(F.col("route") == "keep"), routed.filter(F.col("route") == "long")
 
 
 __all__ = ["TOKEN_PATTERN", "build_vocab", "encode", "decode", "mask_labels", "truncate_tokens",
            "pad_batches", "padding_stats", "token_length_stats", "length_by_task", "token_efficiency",
-           "longest_samples", "length_filter", "supervised_count", "pad_id_rule", "token_id", "marker_starts",
+           "longest_samples", "length_filter", "split_routes", "supervised_count", "pad_id_rule", "token_id", "marker_starts",
            "first_marker"]

@@ -94,8 +94,9 @@ def decode_tokens(spark, sf):
     d = _docs(spark, sf).select("doc_id", "text")
     voc = tk.build_vocab(d, "text")
     enc = tk.encode(d, "doc_id", "text", voc)
-    dec = tk.decode(enc, "doc_id", "ids", voc, out="decoded")
-    return dec.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+    dec = tk.decode(enc.withColumn("n_ids", F.size("ids")), "doc_id", "ids", voc, out="decoded", keep=["n_ids"])
+    dec = dec.join(d, "doc_id")
+    return dec.select("doc_id", F.col("n_ids").cast("long").alias("n_tokens"),
                       F.length("decoded").cast("long").alias("decoded_chars"),
                       (F.col("decoded") == F.regexp_replace("text", r"[\s\x{0b}]", "")).alias("roundtrip_ok"))
 
@@ -226,5 +227,4 @@ SELECT doc_id, n_tokens, CASE WHEN n_tokens <= {LIMIT} THEN 'keep' ELSE 'long' E
   SELECT doc_id, CAST(len(regexp_extract_all(text, '{s.PAT}')) AS BIGINT) AS n_tokens FROM documents)""")
 def length_filter(spark, sf):
     d = _docs(spark, sf).select("doc_id", token_count("text").cast("long").alias("n_tokens"))
-    kept, routed = tk.length_filter(d, "n_tokens", LIMIT)
-    return kept.withColumn("route", F.lit("keep")).unionByName(routed.withColumn("route", F.lit("long")))
+    return tk.length_filter(d, "n_tokens", LIMIT)
