@@ -52,8 +52,11 @@ def parse_sections(files: DataFrame, text: str = "value", file: str = "file") ->
     status = (F.when(F.col("section").isNull(), F.lit("missing")).when(F.col("section") == "", F.lit("empty"))
               .when(F.col("tasks").isNull(), F.lit("bad_json")).otherwise(F.lit("ok")))
     j = j.withColumn("section_status", status)
-    ok = j.filter(F.col("section_status") == "ok").select(file, "category", "section_status",
-                                                          F.explode("tasks").alias("task", "body_text"))
+    entries = j.filter(F.col("section_status") == "ok").select(
+        file, "category", "section_status", F.posexplode("tasks").alias("_tpos", "task", "body_text"))
+    # a task key repeated inside one section object: the last one wins
+    ok = entries.groupBy(file, "category", "section_status", "task").agg(
+        F.max_by("body_text", "_tpos").alias("body_text"))
     bad = j.filter(F.col("section_status") != "ok").select(
         file, "category", "section_status", F.lit(None).cast("string").alias("task"),
         F.lit(None).cast("string").alias("body_text"))
