@@ -18,7 +18,7 @@ Every binding reads whole tables; nothing is sampled or capped.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomis.plans.sequence import sequence_within
@@ -110,14 +110,27 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.col("ts"), F.col("value").alias("score"))
 
 
+def ntile_of(rank, n, buckets: int):
+    """``ntile(buckets)`` from a 1-based rank and the group size: the first
+    ``n % buckets`` tiles hold one extra row (same rule as the SQL function)."""
+    q = F.floor(n / buckets)
+    rem = n % buckets
+    big = rem * (q + 1)
+    return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1) \
+            .otherwise(rem + F.floor((rank - big - 1) / F.greatest(q, F.lit(1))) + 1).cast("long")
+
+
 def run_metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(run, step, ts, loss, epoch): events as a training log; pseudo-epoch is
-    ``ntile(5)`` of the run's steps."""
+    ``ntile(5)`` of the run's steps.  Steps are numbered with the day-bucketed
+    ``sequence_within`` and the tile is computed from the run's step count (an
+    aggregate), so no window holds a whole run."""
     ev = table(spark, sf_dir, "events").select(F.col("user_id").alias("run"), "ts", "event_id",
                                                F.col("value").alias("loss"))
-    w = Window.partitionBy("run").orderBy("ts", "event_id")
-    return ev.select("run", F.row_number().over(w).cast("long").alias("step"), "ts", "loss",
-                     F.ntile(5).over(w).cast("long").alias("epoch"))
+    seq = sequence_within(ev, "run", ["ts", "event_id"], bucket=F.to_date("ts"), name="step")
+    n = ev.groupBy("run").agg(F.count(F.lit(1)).alias("_n"))
+    return seq.join(n, "run").select("run", "step", "ts", "loss",
+                                     ntile_of(F.col("step"), F.col("_n"), 5).alias("epoch"))
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
