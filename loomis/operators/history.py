@@ -6,8 +6,9 @@ Per-user ordering work avoids one-task-per-user windows where a user can be
 arbitrarily large: neighbours are found with an equi-join on
 ``(user, seq ± 1)`` and running counts use ``cumulative_within`` /
 ``sequence_within`` (bucketed by day or hash prefix).  Windows remain only
-where the frame is bounded by a row limit (``row_number() <= N`` gets a
-map-side group limit; attention runs over at most N capped rows).
+where a row limit bounds them (``row_number() <= N`` gets a map-side group
+limit); attention pooling runs on the capped N rows per key as batched numpy
+products inside ``mapInPandas``.
 """
 
 from __future__ import annotations
@@ -95,34 +96,68 @@ def vector_norm(v) -> Column:
 
 
 # ---------------------------------------------------------------- J7
-def causal_attention_pool(hv: DataFrame, key: str = "user_id", seq: str = "seq", vec: str = "vec",
+def _attention_batch(pdf, key: str, seq: str, vec: str, scale: float):
+    """Causal softmax pooling for whole key groups of one Arrow batch, all
+    groups at once: vectors go into a padded (groups, N, d) tensor, scores and
+    pooled vectors are two batched ``einsum`` products."""
+    import numpy as np
+    import pandas as pd
+
+    users = pdf[key].to_numpy()
+    n = len(users)
+    starts = np.flatnonzero(np.r_[True, users[1:] != users[:-1]])
+    sizes = np.diff(np.r_[starts, n])
+    g = np.repeat(np.arange(len(starts)), sizes)
+    pos = np.arange(n) - np.repeat(starts, sizes)
+    vecs = np.stack([np.asarray(x, dtype=np.float64) for x in pdf[vec]])
+    v = np.zeros((len(starts), int(sizes.max()), vecs.shape[1]))
+    v[g, pos] = vecs
+    s = np.einsum("gid,gjd->gij", v, v) * scale
+    i_idx = np.arange(v.shape[1])
+    invalid = (i_idx[None, None, :] > i_idx[None, :, None]) | (i_idx[None, None, :] >= sizes[:, None, None])
+    s[np.broadcast_to(invalid, s.shape)] = -np.inf
+    s -= s.max(axis=2, keepdims=True)
+    w = np.exp(s)
+    w /= w.sum(axis=2, keepdims=True)
+    pooled = np.einsum("gij,gjd->gid", w, v)
+    return pd.DataFrame({key: users, seq: pdf[seq].to_numpy(), "n_keys": (pos + 1).astype("int64"),
+                         "self_weight": w[g, pos, pos], "pooled": list(pooled[g, pos])})
+
+
+def causal_attention_pool(hv: DataFrame, n: int = 16, key: str = "user_id", seq: str = "seq", vec: str = "vec",
                           dim: int = 64) -> DataFrame:
     """softmax(q·k/√d)-weighted sum of the vectors at positions ≤ the query
-    (Q = K = V = item vector).  Input must already be capped per user (W4),
-    so every group holds at most N rows: the N×N causal softmax and the
-    weighted sum are two small matrix products in numpy per group
-    (``applyInPandas``), instead of ~N·d interpreted lambda calls per row.
+    (Q = K = V = item vector) over each key's newest ``n`` positions (the
+    history cap of the operator; applied here with a map-side group limit, so
+    the per-group tensor is at most n × n).
+
+    Rows are hash-partitioned by key and sorted by (key, seq); ``mapInPandas``
+    works on whole Arrow batches, carrying a key's rows over a batch boundary,
+    so the math is vectorized across all groups of a batch (numpy ``einsum``)
+    instead of ~N·d interpreted lambda calls per row.
 
     Output: (key, seq, n_keys, self_weight, pooled array<double>)."""
-    import numpy as np
     import pandas as pd
 
     scale = 1.0 / math.sqrt(dim)
 
-    def pool(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(seq)
-        v = np.stack([np.asarray(x, dtype=np.float64) for x in pdf[vec]])
-        s = (v @ v.T) * scale
-        n = len(pdf)
-        s[np.triu_indices(n, 1)] = -np.inf          # causal mask: keys at positions <= query
-        s -= s.max(axis=1, keepdims=True)
-        w = np.exp(s)
-        w /= w.sum(axis=1, keepdims=True)
-        pooled = w @ v
-        return pd.DataFrame({key: pdf[key].to_numpy(), seq: pdf[seq].to_numpy(),
-                             "n_keys": np.arange(1, n + 1, dtype=np.int64),
-                             "self_weight": np.diag(w).copy(), "pooled": list(pooled)})
-
+    def run(it):
+        carry = None
+        for pdf in it:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if pdf.empty:
+                continue
+            last = pdf[key].iloc[-1]
+            tail = pdf[key] == last
+            carry, done = pdf[tail].reset_index(drop=True), pdf[~tail].reset_index(drop=True)
+            if len(done):
+                yield _attention_batch(done, key, seq, vec, scale)
+        if carry is not None and len(carry):
+            yield _attention_batch(carry, key, seq, vec, scale)
+
+    capped = truncate_history(hv, n, key, seq)
     schema = f"{key} long, {seq} long, n_keys long, self_weight double, pooled array<double>"
-    return hv.select(F.col(key).cast("long"), F.col(seq).cast("long"), F.col(vec).cast("array<double>")) \
-             .groupBy(key).applyInPandas(pool, schema)
+    src = capped.select(F.col(key).cast("long"), F.col(seq).cast("long"), F.col(vec).cast("array<double>")) \
+            .repartition(key).sortWithinPartitions(key, seq)
+    return src.mapInPandas(run, schema)

@@ -122,7 +122,7 @@ WITH LA AS (
 U AS (
   SELECT c.conv_id, arg_max(c.text, c.turn) FILTER (WHERE c.role = 'user' AND c.turn < LA.la) AS lu
   FROM conversations c JOIN LA USING (conv_id) GROUP BY c.conv_id),
-SM AS (SELECT conv_id, ans, lu, CASE WHEN conv_id % 3 = 0 THEN left(ans, 40) END AS trace
+SM AS (SELECT conv_id, ans, lu, CASE WHEN conv_id % 3 = 0 THEN lu END AS trace
        FROM LA JOIN U USING (conv_id) WHERE la IS NOT NULL AND length(ans) > 0)
 SELECT conv_id, 'non_thinking' AS mode, lu || ' /no_think' AS last_user,
        '<think>' || {s.NL} || {s.NL} || '</think>' || {s.NL} || {s.NL} || ans AS response FROM SM
@@ -132,7 +132,10 @@ SELECT conv_id, 'thinking', lu || ' /think',
 def thinking_pairs(spark, sf):
     sp = cm.split_answer(cm.assemble_conversations(b.table(spark, sf, "conversations")))
     samples = sp.filter(F.col("answer").isNotNull() & (F.length("answer") > 0))
-    traces = samples.filter(F.col("conv_id") % 3 == 0).select("conv_id", F.substring("answer", 1, 40).alias("trace"))
+    # supplied traces (every third sample): the whole question the answer resolves
+    idx = cm.last_role_index("context", "user")
+    traces = samples.filter(F.col("conv_id") % 3 == 0).select(
+        "conv_id", F.when(idx > 0, F.element_at("context", idx)["content"]).alias("trace"))
     t = cu.thinking_pairs(samples, traces, "conv_id")
     idx = cm.last_role_index("context", "user")
     return t.select("conv_id", "mode", F.when(idx > 0, F.element_at("context", idx)["content"]).alias("last_user"),

@@ -102,7 +102,7 @@ FROM WT"""))
 def causal_attention_pool(spark, sf):
     capped = hi.truncate_history(b.history(spark, sf), N_HISTORY)
     hv = hi.embedding_lookup(capped, b.table(spark, sf, "embeddings"), modulo=_emb_count(spark, sf))
-    p = hi.causal_attention_pool(hv, dim=64)
+    p = hi.causal_attention_pool(hv, n=N_HISTORY, dim=64)
     return p.select("user_id", "seq", "n_keys", F.round("self_weight", 6).alias("self_weight"),
                     F.round(hi.vector_norm("pooled"), 5).alias("pooled_norm"))
 

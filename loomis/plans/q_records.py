@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomis.functions.text import chatml_turn, preview, token_count
 from loomis.operators import chatml as cm
 from loomis.operators import records as rc
 from loomis.plans import bindings as b
@@ -123,7 +122,7 @@ def thinking_control(spark, sf):
 def _derived_responses_spark(spark, sf):
     t = b.table(spark, sf, "conversations").filter(F.col("role") == "assistant")
     x = F.col("text")
-    r = (F.when(F.col("turn") % 4 == 0, F.concat(F.lit("<think>\n"), F.substring(x, 1, 30), F.lit("\n</think>\n\n"), x))
+    r = (F.when(F.col("turn") % 4 == 0, F.concat(F.lit("<think>\n"), x, F.lit("\n</think>\n\n"), x))
          .when(F.col("turn") % 4 == 1, F.concat(F.lit("<think>\n\n</think>\n\n"), x))
          .when(F.col("turn") % 4 == 2, x)
          .otherwise(F.concat(F.lit("<think>"), x)))
@@ -132,7 +131,7 @@ def _derived_responses_spark(spark, sf):
 
 RESP = f"""RESP AS (
   SELECT conv_id, turn, CASE turn % 4
-    WHEN 0 THEN '<think>' || {NL} || left(text, 30) || {NL} || '</think>' || {NL} || {NL} || text
+    WHEN 0 THEN '<think>' || {NL} || text || {NL} || '</think>' || {NL} || {NL} || text
     WHEN 1 THEN '<think>' || {NL} || {NL} || '</think>' || {NL} || {NL} || text
     WHEN 2 THEN text
     ELSE '<think>' || text END AS response
@@ -310,5 +309,3 @@ FROM SEG LEFT JOIN SYS USING (conv_id)""")
 def context_segments(spark, sf):
     return cm.context_segments(_with_clear(spark, sf))
 
-
-_ = (chatml_turn, preview, token_count)

@@ -9,50 +9,22 @@ canonicalised rows (floats rounded to 6 places).  Prints one line per query.
 from __future__ import annotations
 
 import argparse
-import math
 import os
 import sys
 import time
-from collections import Counter
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tests"))
+
 import duckdb  # noqa: E402
-import pandas as pd  # noqa: E402
+from compare import rows  # noqa: E402
 
 from loomis.plans.bindings import TABLES  # noqa: E402
 from loomis.plans.registry import load_all  # noqa: E402
 from loomis.session import build_session  # noqa: E402
 
 
-def canon(v):
-    if v is None or v is pd.NA or v is pd.NaT:
-        return None
-    if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return round(v, 5) + 0.0
-    if hasattr(v, "tolist"):
-        v = v.tolist()
-    if isinstance(v, (list, tuple)):
-        return tuple(canon(x) for x in v)
-    if isinstance(v, dict):
-        return tuple(sorted((k, canon(x)) for k, x in v.items()))
-    if hasattr(v, "isoformat"):
-        return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
-    if isinstance(v, bool):
-        return int(v)
-    return v
-
-
-def rows(pdf):
-    cols = sorted(pdf.columns)
-    out = Counter()
-    for rec in pdf[cols].itertuples(index=False, name=None):
-        out[tuple(canon(x) for x in rec)] += 1
-    return cols, out
-
-
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")

@@ -5,7 +5,6 @@ import datetime as dt
 import os
 import uuid
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from loomis.operators import chatml as cm
@@ -155,4 +154,3 @@ def test_batch_generate_generator_contract(spark):
     out = sa.batch_generate(df, batch_size=3).toPandas()
     assert len(out) == 8 and out["response"].str.match(r"^<\|[a-z]+_begin\|>").all()
     assert (out["n_pad_chars"] >= 0).all()
-    _ = pd
