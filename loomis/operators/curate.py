@@ -44,16 +44,27 @@ def with_word_shingles(df: DataFrame, text: str, k: int = 5, out: str = "sh") ->
             .drop("_w")
 
 
-def minhash_signatures(sh: DataFrame, key: str, shingles: str, num_perm: int) -> DataFrame:
-    """(key, sig): per-row MinHash signature.  Shingles are exploded and
-    hashed with ``num_perm`` seeded ``xxhash64`` columns (plain, codegen'd
-    expressions), then reduced by a partially aggregated ``min`` per key."""
-    # explode_outer: an inner explode makes Catalyst infer ``size(sh) > 0`` and
-    # push it under pin_columns, recomputing the shingles from the raw text.
-    ex = sh.select(key, F.explode_outer(shingles).alias("_s")).filter(F.col("_s").isNotNull())
-    hashed = ex.select(key, *[F.xxhash64("_s", F.lit(i)).alias(f"_h{i}") for i in range(num_perm)])
-    mins = hashed.groupBy(key).agg(*[F.min(f"_h{i}").alias(f"_h{i}") for i in range(num_perm)])
-    return mins.select(key, F.array(*[F.col(f"_h{i}") for i in range(num_perm)]).alias("sig"))
+def shingle_hashes(df: DataFrame, key: str, text: str, k: int = 5) -> DataFrame:
+    """(key, h): one row per word k-gram of the whole text, hashed with
+    multi-column ``xxhash64`` (a text shorter than k words is one shingle).
+    No lambdas: shifted ``slice``s are zipped and exploded, so the whole chain
+    stays in generated code."""
+    d = pin_columns(df.select(key, F.split(F.lower(F.col(text)), r"\s+").alias("_w")))
+    d = pin_columns(d.withColumn("_w", F.array_remove("_w", "")))
+    n = F.size("_w")
+    z = F.arrays_zip(*[F.slice("_w", j + 1, F.greatest(n, F.lit(1))).alias(f"w{j}") for j in range(k)])
+    e = d.select(key, n.alias("_n"), F.posexplode_outer(z).alias("_p", "_z"))
+    e = e.filter(F.col(f"_z.w{k - 1}").isNotNull() | ((F.col("_p") == 0) & (F.col("_n") > 0)))
+    return e.select(key, F.xxhash64(*[F.col(f"_z.w{j}") for j in range(k)]).alias("h"))
+
+
+def minhash_signatures(rows: DataFrame, key: str, h: str, num_perm: int) -> DataFrame:
+    """(key, sig, shingles): MinHash signature and the distinct shingle-hash
+    set of every key in one partially aggregated pass (``num_perm`` seeded
+    hashes per shingle, reduced by ``min``)."""
+    mins = rows.groupBy(key).agg(F.array_sort(F.collect_set(h)).alias("shingles"),
+                                 *[F.min(F.xxhash64(F.col(h), F.lit(i))).alias(f"_h{i}") for i in range(num_perm)])
+    return mins.select(key, F.array(*[F.col(f"_h{i}") for i in range(num_perm)]).alias("sig"), "shingles")
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, num_perm: int = 32, bands: int = 8, k: int = 5,
@@ -67,11 +78,10 @@ def near_duplicates(df: DataFrame, key: str, text: str, num_perm: int = 32, band
     component representative only.  Output: (key, cluster_id, jaccard,
     is_duplicate)."""
     rows = num_perm // bands
-    # No filter on ``sh`` here: a predicate on the derived array would be
-    # pushed below ``pin_columns`` and re-inline the shingling.  Texts without
-    # words have no shingles and drop out at the signature join.
-    sh = with_word_shingles(df.select(key, text), text, k, "sh").select(key, "sh")
-    sig = sh.join(minhash_signatures(sh, key, "sh", num_perm), key).checkpoint(eager=True)
+    # signature + shingle-hash set per text, written once (texts without
+    # words have no shingles and drop out here)
+    sig = minhash_signatures(shingle_hashes(df, key, text, k), key, "h", num_perm) \
+        .withColumnRenamed("shingles", "sh").checkpoint(eager=True)
     members = sig.select(key, F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
                                                        lambda b: F.xxhash64(F.slice("sig", b * rows + 1, rows))))
                          .alias("band", "bucket"))

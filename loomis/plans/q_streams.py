@@ -94,8 +94,8 @@ def stream_daily_quota(spark, sf):
     base = scratch_path(spark, "streams", uuid.uuid4().hex)
     sub = b.submissions(spark, sf)
     t0 = sub.select(F.min(F.unix_timestamp(F.col("ts").cast("timestamp")))).scalar()
-    # five-day files whose boundaries fall at noon, so a day's state spans two micro-batches
-    chunk = F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) - t0 + 43200) / 432000).cast("int")
+    # ten-day files whose boundaries fall at noon, so a day's state spans two micro-batches
+    chunk = F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) - t0 + 43200) / 864000).cast("int")
     src_path = _replay(spark, sub.withColumn("_chunk", chunk), "_chunk", f"{base}/in")
     stream = st.file_stream(spark, src_path, _schema(sub))
     st.run_to_completion(st.stream_daily_quota(stream), f"{base}/out", f"{base}/ckpt")
