@@ -52,25 +52,31 @@ def normalize_messages(df: DataFrame, body: str = "body") -> DataFrame:
     ``array<struct<role, content>>`` and record its type.
 
     Adds ``messages_type`` (list / json_string / absent / other / bad_json),
-    ``content_type`` of the first message and ``messages``."""
-    raw = F.try_variant_get(F.col(body), "$.messages", "variant")
-    ty = _vtype(raw)
-    as_str = F.try_variant_get(raw, "$", "string")
-    parsed = F.when(ty == "string", F.try_parse_json(as_str)).when(ty == "array", raw)
-    mtype = (F.when(raw.isNull() | (ty == "null"), F.lit("absent"))
-             .when((ty == "string") & (_vtype(F.try_parse_json(as_str)) == "array"), F.lit("json_string"))
+    ``content_type`` of the first message and ``messages``.  Intermediate
+    VARIANT values are pinned once per row instead of being re-parsed by
+    every expression that reads them."""
+    d = pin_columns(df.withColumn("_raw", F.try_variant_get(F.col(body), "$.messages", "variant")))
+    d = pin_columns(d.withColumn("_ty", _vtype(F.col("_raw")))
+                     .withColumn("_str", F.try_variant_get(F.col("_raw"), "$", "string")))
+    d = pin_columns(d.withColumn("_pj", F.when(F.col("_ty") == "string", F.try_parse_json("_str"))))
+    d = pin_columns(d.withColumn("_pty", _vtype(F.col("_pj"))))
+    ty, pty = F.col("_ty"), F.col("_pty")
+    mtype = (F.when(F.col("_raw").isNull() | (ty == "null"), F.lit("absent"))
+             .when((ty == "string") & (pty == "array"), F.lit("json_string"))
              .when(ty == "string", F.lit("bad_json"))
              .when(ty == "array", F.lit("list"))
              .otherwise(F.lit("other")))
-    elems = F.try_variant_get(parsed, "$", "array<variant>")
+    d = pin_columns(d.withColumn("messages_type", mtype)
+                     .withColumn("_parsed", F.when(ty == "array", F.col("_raw")).when(pty == "array", F.col("_pj"))))
+    elems = F.try_variant_get(F.col("_parsed"), "$", "array<variant>")
     msgs = F.transform(elems, lambda m: F.struct(F.try_variant_get(m, "$.role", "string").alias("role"),
                                                  content_text(F.try_variant_get(m, "$.content", "variant")).alias("content")))
-    first_c = F.try_variant_get(parsed, "$[0].content", "variant")
+    first_c = F.try_variant_get(F.col("_parsed"), "$[0].content", "variant")
     ctype = F.when(first_c.isNull(), F.lit("string")).when(_vtype(first_c) == "array", F.lit("blocks")) \
              .when(_vtype(first_c) == "string", F.lit("string")).otherwise(F.lit("other"))
-    return df.withColumn("messages_type", mtype) \
-             .withColumn("messages", F.when(mtype.isin("list", "json_string"), msgs)) \
-             .withColumn("content_type", F.when(mtype.isin("list", "json_string"), ctype))
+    ok = F.col("messages_type").isin("list", "json_string")
+    return d.withColumn("messages", F.when(ok, msgs)).withColumn("content_type", F.when(ok, ctype)) \
+            .drop("_raw", "_ty", "_str", "_pj", "_pty", "_parsed")
 
 
 # ---------------------------------------------------------------- P2
@@ -79,38 +85,44 @@ def extract_answers(df: DataFrame, body: str = "body", body_text: str = "body_te
     ``answer_type`` (string / nested / bare / absent / bad_metadata).
 
     The answer text is read from the raw JSON with ``from_json(struct<answer:
-    string>)`` so nested answers keep their original key order."""
-    meta = F.try_variant_get(F.col(body), "$.metadata", "variant")
-    mty = _vtype(meta)
-    meta_raw = F.from_json(F.col(body_text), "struct<metadata:string>")["metadata"]
-    meta_str = F.try_variant_get(meta, "$", "string")
-    inner = F.try_parse_json(meta_str)
-    ity = _vtype(inner)
-    ans_from_obj_text = F.when(mty == "object", meta_raw).when((mty == "string") & (ity == "object"), meta_str)
-    ans_raw = F.from_json(ans_from_obj_text, "struct<answer:string>")["answer"]
-    ans_var = F.when(mty == "object", F.try_variant_get(meta, "$.answer", "variant")) \
-               .when((mty == "string") & (ity == "object"), F.try_variant_get(inner, "$.answer", "variant"))
-    aty = _vtype(ans_var)
+    string>)`` so nested answers keep their key order; VARIANT is used for the
+    type tests only.  Intermediate values are pinned once per row."""
+    d = pin_columns(df.withColumn("_meta", F.try_variant_get(F.col(body), "$.metadata", "variant")))
+    d = pin_columns(d.withColumn("_mty", _vtype(F.col("_meta")))
+                     .withColumn("_mstr", F.try_variant_get(F.col("_meta"), "$", "string")))
+    d = pin_columns(d.withColumn("_inner", F.when(F.col("_mty") == "string", F.try_parse_json("_mstr"))))
+    d = pin_columns(d.withColumn("_ity", _vtype(F.col("_inner"))))
+    mty, ity, meta, inner, meta_str = F.col("_mty"), F.col("_ity"), F.col("_meta"), F.col("_inner"), F.col("_mstr")
+    is_obj = (mty == "object") | ((mty == "string") & (ity == "object"))
+    obj_text = F.when(mty == "object", F.from_json(F.col(body_text), "struct<metadata:string>")["metadata"]) \
+                .when((mty == "string") & (ity == "object"), meta_str)
+    d = pin_columns(d.withColumn("_ans_raw", F.from_json(obj_text, "struct<answer:string>")["answer"])
+                     .withColumn("_ans_var", F.when(mty == "object", F.try_variant_get(meta, "$.answer", "variant"))
+                                 .when((mty == "string") & (ity == "object"),
+                                       F.try_variant_get(inner, "$.answer", "variant"))))
+    d = pin_columns(d.withColumn("_aty", _vtype(F.col("_ans_var"))))
+    aty, ans_var = F.col("_aty"), F.col("_ans_var")
     answer = (F.when(meta.isNull() | (mty == "null"), F.lit(""))
               .when((mty == "string") & inner.isNull(), meta_str)
-              .when(mty.isin("object") | ((mty == "string") & (ity == "object")), F.coalesce(ans_raw, F.lit("")))
+              .when(is_obj, F.coalesce(F.col("_ans_raw"), F.lit("")))
               .otherwise(F.lit(None)))
     atype = (F.when(meta.isNull() | (mty == "null"), F.lit("absent"))
              .when((mty == "string") & inner.isNull(), F.lit("bare"))
-             .when(mty.isin("object") | ((mty == "string") & (ity == "object")),
-                   F.when(aty.isin("object", "array"), F.lit("nested")).when(ans_var.isNull(), F.lit("absent"))
-                    .otherwise(F.lit("string")))
+             .when(is_obj, F.when(aty.isin("object", "array"), F.lit("nested")).when(ans_var.isNull(), F.lit("absent"))
+                   .otherwise(F.lit("string")))
              .otherwise(F.lit("bad_metadata")))
+    d = pin_columns(d.withColumn("answer", answer).withColumn("answer_type", atype))
     # Python truthiness of the answer value: "" / 0 / false / null / {} / [] are empty.
     empty = (F.when(aty.isin("object", "array"), F.size(F.coalesce(
-                 F.json_object_keys(answer), F.from_json(answer, "array<string>"),
+                 F.json_object_keys("answer"), F.from_json("answer", "array<string>"),
                  F.array().cast("array<string>"))) == 0)
              .when(aty == "scalar", F.coalesce(F.try_variant_get(ans_var, "$", "double") == 0,
                                                F.try_variant_get(ans_var, "$", "boolean") == F.lit(False),
                                                F.lit(False)))
              .when(aty == "null", F.lit(True))
-             .otherwise(F.coalesce(answer, F.lit("")) == ""))
-    return df.withColumn("answer", answer).withColumn("answer_type", atype).withColumn("answer_empty", empty)
+             .otherwise(F.coalesce(F.col("answer"), F.lit("")) == ""))
+    return d.withColumn("answer_empty", empty) \
+            .drop("_meta", "_mty", "_mstr", "_inner", "_ity", "_ans_raw", "_ans_var", "_aty")
 
 
 # ---------------------------------------------------------------- P3
@@ -126,10 +138,16 @@ def reject_reason(df: DataFrame) -> Column:
             .when(F.col("answer_empty"), F.lit("no_answer")))
 
 
-def quarantine_rejects(df: DataFrame, reason: Column) -> tuple[DataFrame, DataFrame]:
-    """(good, rejected): one tagged plan split by ``reason IS NULL``.  Persist
-    the input first when both sides are consumed."""
+def quarantine_rejects(df: DataFrame, reason: Column, materialize: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected): one tagged table split by ``reason IS NULL``.
+
+    The tagged rows are written once (reliable checkpoint in the shared
+    folder) and both sinks read them: the parse is not repeated per sink, and
+    the split predicate cannot be pushed back into the parsing expressions
+    (which would inline every VARIANT step into one huge filter)."""
     tagged = df.withColumn("reason", reason)
+    if materialize:
+        tagged = tagged.checkpoint(eager=True)
     return tagged.filter(F.col("reason").isNull()).drop("reason"), tagged.filter(F.col("reason").isNotNull())
 
 
