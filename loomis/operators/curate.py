@@ -68,7 +68,7 @@ def minhash_signatures(rows: DataFrame, key: str, h: str, num_perm: int) -> Data
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, num_perm: int = 32, bands: int = 8, k: int = 5,
-                    threshold: float = 0.8, max_iter: int = 20) -> DataFrame:
+                    threshold: float = 0.8, max_iter: int | None = None) -> DataFrame:
     """MinHash-LSH near-duplicate clusters over distinct texts.
 
     Band buckets never emit all pairs: each bucket links its members to the
@@ -88,7 +88,11 @@ def near_duplicates(df: DataFrame, key: str, text: str, num_perm: int = 32, band
     sizes = members.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("_n"))
     members = members.join(sizes.filter(F.col("_n") > 1).drop("_n"), ["band", "bucket"], "left_semi").checkpoint(eager=True)
     label = sig.select(key, F.col(key).alias("label"))
-    for _ in range(max_iter):
+    # iterate to convergence (at most the component diameter rounds); a cap
+    # would leave components split
+    rounds = 0
+    while max_iter is None or rounds < max_iter:
+        rounds += 1
         bmin = members.join(label, key).groupBy("band", "bucket").agg(F.min("label").alias("_m"))
         new = members.join(bmin, ["band", "bucket"]).groupBy(key).agg(F.min("_m").alias("_nl"))
         nxt = label.join(new, key, "left").select(key, F.least("label", F.coalesce("_nl", "label")).alias("label"))

@@ -36,6 +36,10 @@ def build_vocab(corpus: DataFrame, text: str = "text", specials: Sequence[str] =
     spark = corpus.sparkSession
     counts = corpus.select(F.explode(tokens(text)).alias("token")).groupBy("token") \
                    .agg(F.count(F.lit(1)).alias("freq"))
+    if checkpoint:
+        # the range partitioning below samples its input in a separate job;
+        # write the (small) counts once instead of tokenizing the corpus twice
+        counts = counts.checkpoint(eager=True)
     sp = spark.createDataFrame([(t, i) for i, t in enumerate(specials)], "token string, id long")
     special_rows = F.broadcast(sp).join(counts, "token", "left") \
         .select("token", F.coalesce("freq", F.lit(0)).cast("long").alias("freq"), "id")

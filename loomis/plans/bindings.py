@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomis.functions.plan import spread
 from loomis.plans.sequence import sequence_within
 from loomis.schemas import CANDIDATES_PER_MODE, CANDIDATES_TOTAL, ITEMIC_DOMAINS
 
@@ -28,8 +29,13 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+# Tables whose rows carry long text that operators tokenize, hash or parse.
+TEXT_TABLES = {"documents", "conversations", "pages", "benchmark"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
