@@ -164,10 +164,9 @@ def model_domain_pivot(scores: DataFrame, model: str = "model", domain: str = "d
     """Models × domains matrix with explicit pivot values; ``best_in`` lists the
     domains in which the model ranks first (rank computed before the pivot)."""
     ranked = scores.withColumn("_rk", F.rank().over(Window.partitionBy(domain).orderBy(F.desc(score))))
-    piv = ranked.groupBy(model).pivot(domain, list(domains)).agg(F.first(score))
-    best = ranked.groupBy(model).agg(
-        F.array_join(F.array_sort(F.collect_list(F.when(F.col("_rk") == 1, F.col(domain)))), ",").alias("best_in"))
-    return piv.join(best, model)
+    piv = ranked.groupBy(model).pivot(domain, list(domains)).agg(F.first(score).alias("s"), F.first("_rk").alias("r"))
+    best = F.concat_ws(",", *[F.when(F.col(f"{d}_r") == 1, F.lit(d)) for d in sorted(domains)])
+    return piv.select(model, *[F.col(f"{d}_s").alias(d) for d in domains], best.alias("best_in"))
 
 
 # ---------------------------------------------------------------- A15

@@ -58,24 +58,32 @@ def next_item_split(h: DataFrame, key: str = "user_id", seq: str = "seq", item:
 
 
 # ---------------------------------------------------------------- W7
-def interest_islands(events: DataFrame, key: str, topic: str, order: list[str], day: Column) -> DataFrame:
-    """Collapse runs of equal topic per user: (user, island, topic, start_seq,
-    n_events).  Sequence numbers and island ids are bucketed running counts;
-    the previous topic comes from an equi-join on ``seq - 1``."""
+def topic_changes(events: DataFrame, key: str, topic: str, order: list[str], day: Column) -> DataFrame:
+    """Events numbered per user (bucketed by day) with the previous event's
+    topic (``_prev``, from an equi-join on ``seq - 1``)."""
     e = sequence_within(events.withColumn("_day", day), key, order, bucket=F.col("_day"), name="seq")
     prev = e.select(F.col(key).alias("_k"), (F.col("seq") + 1).alias("_s"), F.col(topic).alias("_prev"))
-    j = e.join(prev, (e[key] == prev["_k"]) & (e["seq"] == prev["_s"]), "left").drop("_k", "_s")
+    return e.join(prev, (e[key] == prev["_k"]) & (e["seq"] == prev["_s"]), "left").drop("_k", "_s")
+
+
+def interest_islands(events: DataFrame, key: str, topic: str, order: list[str], day: Column) -> DataFrame:
+    """Collapse runs of equal topic per user: (user, island, topic, start_seq,
+    n_events).  Island ids are bucketed running counts of topic changes."""
+    j = topic_changes(events, key, topic, order, day)
     chg = (~F.col("_prev").eqNullSafe(F.col(topic))).cast("long")
     isl = cumulative_within(j, key, ["seq"], chg, bucket=F.col("_day"), name="island")
     return isl.groupBy(key, "island").agg(F.first(topic).alias(topic), F.min("seq").alias("start_seq"),
                                           F.count(F.lit(1)).alias("n_events"))
 
 
-def interest_transitions(islands: DataFrame, key: str, topic: str) -> DataFrame:
-    """Counts of topic changes (island i → island i+1) over all users."""
-    nxt = islands.select(F.col(key).alias("_k"), (F.col("island") - 1).alias("_i"), F.col(topic).alias("to_topic"))
-    j = islands.join(nxt, (islands[key] == nxt["_k"]) & (islands["island"] == nxt["_i"]))
-    return j.groupBy(F.col(topic).alias("from_topic"), "to_topic").agg(F.count(F.lit(1)).alias("n"))
+def interest_transitions(events: DataFrame, key: str, topic: str, order: list[str], day: Column) -> DataFrame:
+    """Counts of topic changes over all users: every event whose previous
+    event has another topic starts a new island, so the (previous, current)
+    pairs at those events are exactly the island-to-island transitions."""
+    j = topic_changes(events, key, topic, order, day)
+    ch = j.filter(F.col("_prev").isNotNull() & (F.col("_prev") != F.col(topic)))
+    return ch.groupBy(F.col("_prev").alias("from_topic"), F.col(topic).alias("to_topic")) \
+             .agg(F.count(F.lit(1)).alias("n"))
 
 
 # ---------------------------------------------------------------- J2

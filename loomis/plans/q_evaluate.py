@@ -11,15 +11,17 @@ from loomis.plans.registry import register
 
 
 def matched_candidates(spark, sf):
-    """H → targets → CAND → W1 cap → J3 exact itemic-token match."""
-    h = b.history(spark, sf)
-    cand = ev.cap_candidates(b.candidates(spark, sf, h))
+    """H → targets → CAND → W1 cap → J3 exact itemic-token match.
+
+    Candidate rows carry their prompt's target item, so the ground truth is
+    the catalogue keyed by that item: both token lookups are joins with the
+    item catalogue and the history is derived only once."""
+    cand = ev.cap_candidates(b.candidates(spark, sf))
     item = b.items(spark, sf).select("item", "token")
-    truth = b.targets(h).join(item, F.col("target") == F.col("item")) \
-        .select(F.col("user_id").alias("prompt_id"), F.col("token").alias("expected"))
+    truth = item.select(F.col("item").alias("target"), F.col("token").alias("expected"))
     with_tok = cand.join(item, F.col("response") == F.col("item"), "left") \
         .withColumnRenamed("token", "response_token").drop("item")
-    return ev.match_candidates(with_tok, truth, response="response_token")
+    return ev.match_candidates(with_tok, truth, key="target", response="response_token")
 
 
 @register("pass_at_k", s.q(*s.CAND_BASE, """P AS (

@@ -66,7 +66,8 @@ def interest_evolution(spark, sf):
 SELECT a.topic AS from_topic, n.topic AS to_topic, count(*) AS n
 FROM ISL a JOIN ISL n ON a.user_id = n.user_id AND n.island = a.island + 1 GROUP BY 1, 2"""))
 def interest_transitions(spark, sf):
-    return hi.interest_transitions(_islands(spark, sf), "user_id", "topic")
+    ev = b.table(spark, sf, "events").withColumnRenamed("event_type", "topic")
+    return hi.interest_transitions(ev, "user_id", "topic", ["ts", "event_id"], F.to_date("ts"))
 
 
 # ---------------------------------------------------------------- J2
