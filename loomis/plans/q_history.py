@@ -118,13 +118,7 @@ PROMPTS = (s.H, s.TARGET, s.ITEM, f"""HP AS (
 
 
 def _history_prompts(spark, sf):
-    h = b.history(spark, sf)
-    t = b.targets(h)
-    inputs = h.join(t.select("user_id", "n_events"), "user_id").filter(F.col("seq") < F.col("n_events"))
-    items = b.items(spark, sf)
-    p = it.itemic_history_prompts(inputs, items, N_HISTORY)
-    tt = t.join(items.select(F.col("item").alias("target"), F.col("token").alias("target_token")), "target")
-    return p.join(tt.select("user_id", "target_token"), "user_id")
+    return it.itemic_history_prompts(b.history(spark, sf), b.items(spark, sf), N_HISTORY)
 
 
 @register("itemic_history_prompts", s.q(*PROMPTS, """
