@@ -44,6 +44,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -67,3 +68,29 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written intermediate tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return "/".join([base, *parts])
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``loomis`` importable in Python workers (pandas UDF / mapInPandas
+    / applyInPandasWithState functions are pickled by module reference):
+    zip the package once per SparkContext and hand it to ``addPyFile``, the
+    programmatic form of ``spark-submit --py-files``.  Spark distributes the
+    archive to every executor."""
+    import zipfile
+
+    import loomis
+
+    sc = spark.sparkContext
+    if getattr(sc, "_loomis_shipped", False):
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(loomis.__file__)))
+    fd, path = tempfile.mkstemp(prefix="loomis-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _, files in os.walk(os.path.join(root, "loomis")):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    sc._loomis_shipped = True

@@ -11,6 +11,7 @@ state function sorts them first.  Everything that can run in the JVM
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -23,21 +24,38 @@ from loomis.schemas import CLEAR_COMMAND, DAILY_SUBMISSION_QUOTA, LEN_COMMAND, Q
 from loomis.sources.tasks import parse_sft_lines, sft_reject_reason
 
 
+@contextlib.contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Start a stateful query with ``n`` state partitions (default: the
+    cluster's parallelism); the count is fixed when the checkpoint is created,
+    so it is sized to the cluster instead of a batch-sized shuffle setting."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def run_to_completion(stream_df: DataFrame, sink_path: str, checkpoint: str, mode: str = "append",
-                      complete_overwrite: bool = False) -> None:
+                      complete_overwrite: bool = False, n_state: int | None = None) -> None:
     """Process everything available now and stop (``availableNow``).
 
     ``complete`` results are rewritten per micro-batch via ``foreachBatch``;
     append results go to a parquet file sink (exactly-once with the
-    checkpoint)."""
-    if complete_overwrite:
-        def write(batch: DataFrame, _epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(sink_path)
-        q = stream_df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
-    else:
-        q = stream_df.writeStream.outputMode(mode).format("parquet").option("path", sink_path) \
-                     .option("checkpointLocation", checkpoint)
-    q.trigger(availableNow=True).start().awaitTermination()
+    checkpoint).  A stateful query fixes its number of state partitions when
+    its checkpoint is created; it is sized here to ``n_state``
+    (default: the cluster's parallelism) rather than inheriting a batch-sized
+    ``spark.sql.shuffle.partitions``."""
+    with state_partitions(stream_df.sparkSession, n_state):
+        if complete_overwrite:
+            def write(batch: DataFrame, _epoch: int) -> None:
+                batch.write.mode("overwrite").parquet(sink_path)
+            q = stream_df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+        else:
+            q = stream_df.writeStream.outputMode(mode).format("parquet").option("path", sink_path) \
+                         .option("checkpointLocation", checkpoint)
+        q.trigger(availableNow=True).start().awaitTermination()
 
 
 # ---------------------------------------------------------------- R1
@@ -102,8 +120,9 @@ def stream_ingest(lines: DataFrame, good_path: str, bad_path: str, checkpoint: s
         batch.filter(F.col("reason").isNull()).drop("reason").write.mode("append").parquet(good_path)
         batch.filter(F.col("reason").isNotNull()).write.mode("append").parquet(bad_path)
         batch.unpersist()
-    p.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
-     .trigger(availableNow=True).start().awaitTermination()
+    with state_partitions(lines.sparkSession):
+        p.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
+         .trigger(availableNow=True).start().awaitTermination()
 
 
 # ---------------------------------------------------------------- R3
