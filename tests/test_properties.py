@@ -109,3 +109,18 @@ def test_attention_rows_and_causal_mask(spark):
             vs = np.array([dict(((a, b_), c) for a, b_, c in rows)[(u, t)] for t in range(2, s + 1)])
             assert np.all(np.array(r["pooled"]) <= vs.max(axis=0) + 1e-9)
             assert np.all(np.array(r["pooled"]) >= vs.min(axis=0) - 1e-9)
+
+
+def test_sequence_within_hot_key(spark):
+    """One key with ~90% of the rows: the bucketed numbering still equals the
+    plain window, and the hot key is split over one bucket per day."""
+    import datetime as dt
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(0 if i % 10 else 1 + i % 7, base + dt.timedelta(hours=i % 500), i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "user long, ts timestamp, id long")
+    plain = df.withColumn("seq", F.row_number().over(Window.partitionBy("user").orderBy("ts", "id")))
+    buck = sequence_within(df.repartition(6), "user", ["ts", "id"], bucket=F.to_date("ts"))
+    assert sorted(plain.select("id", "seq").collect()) == sorted(buck.select("id", "seq").collect())
+    days = df.filter("user = 0").select(F.to_date("ts")).distinct().count()
+    assert days > 10
