@@ -46,7 +46,8 @@ FROM (SELECT conv_id, turn, role,
       FROM conversations)""")
 def stream_chat_state(spark, sf):
     base = scratch_path(spark, "streams", uuid.uuid4().hex)
-    turns = b.table(spark, sf, "conversations").withColumn("_chunk", (F.col("turn") / 3).cast("int"))
+    # five turn levels per file: fewer micro-batches, state still spans several
+    turns = b.table(spark, sf, "conversations").withColumn("_chunk", (F.col("turn") / 5).cast("int"))
     src_path = _replay(spark, turns, "_chunk", f"{base}/in")
     stream = st.file_stream(spark, src_path, _schema(turns.drop("_chunk")))
     st.run_to_completion(st.stream_chat_state(stream), f"{base}/out", f"{base}/ckpt")
