@@ -7,7 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import oracles
 from .base import prepare, table
+from .decontaminate import decontaminate, verdicts
+from .mixing import mix
 from .quality import quality_rules
+from .simhash import simhash_groups
+from .tokencount import token_counts
+
+
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole document under the 32k sentencepiece model."""
+    import public_tokenizers
+    prepare(spark)
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,5 +27,26 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op5_quality_rules,)}
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    prepare(spark)
+    return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words and items found in every document."""
+    prepare(spark)
+    return verdicts(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op9_mixing_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the target mixture takes of every document."""
+    prepare(spark)
+    m = mix(table(spark, sf_dir, "documents"))
+    return m.select("doc_id", "size", "source_size", "target", (m["size"] * m["copies"]).alias("taken"),
+                    "source", "rate", "copies")
+
+
+QUERIES = {f.__name__: f for f in (
+    op2_token_counts, op5_quality_rules, op6_simhash_near_dedup, op7_benchmark_decontamination, op9_mixing_to_targets)}
 ORACLE: dict[str, str] = {"op5_quality_rules": oracles.quality_sql()}
