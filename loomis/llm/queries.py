@@ -3,15 +3,28 @@ tables) and DuckDB SQL where SQL can express the result."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
+from loomis.session import scratch_path
+
 from . import oracles
 from .base import prepare, table
 from .decontaminate import decontaminate, verdicts
+from .fixity import audit_files
+from .htmltext import extract_text
 from .mixing import mix
 from .quality import quality_rules
 from .simhash import simhash_groups
 from .tokencount import token_counts
+from .tokenfile import read_token_files, write_token_files
+
+
+def op1_warc_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixity of every WARC file of the pages against an aged replica."""
+    prepare(spark)
+    return audit_files(table(spark, sf_dir, "pages"))
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +34,26 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def token_files(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write all documents' ids as block files and read them back."""
+    import public_tokenizers
+    out = scratch_path(spark, "llm", f"tokens-{uuid.uuid4().hex}")
+    write_token_files(docs, public_tokenizers.path("byte_bpe_50k.json"), out)
+    return read_token_files(spark, out, with_ids=False)
+
+
+def op3_token_id_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of every document in the token files."""
+    prepare(spark)
+    return token_files(spark, table(spark, sf_dir, "documents"))
+
+
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    prepare(spark)
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Adaptive quality verdict for every document."""
     prepare(spark)
@@ -48,5 +81,6 @@ def op9_mixing_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_token_counts, op5_quality_rules, op6_simhash_near_dedup, op7_benchmark_decontamination, op9_mixing_to_targets)}
+    op1_warc_merkle_audit, op2_token_counts, op3_token_id_output, op4_html_extraction, op5_quality_rules, op6_simhash_near_dedup,
+    op7_benchmark_decontamination, op9_mixing_to_targets)}
 ORACLE: dict[str, str] = {"op5_quality_rules": oracles.quality_sql()}
