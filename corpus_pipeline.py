@@ -1,7 +1,88 @@
-"""placeholder"""
-STAGES = []
+"""The corpus pipeline: quality rules, SimHash near-duplicates, benchmark
+decontamination, mixing to target weights, token-id output.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
+as Parquet and read again as the next stage's docs.  All but the last return
+the columns of ``documents``.  A document is a doc_id: rows that share one stay
+together in the quality and decontamination stages (kept if any of them is),
+and the near-duplicate stage leaves one row of each group.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomis.llm.base import prepare, table
+from loomis.llm.decontaminate import decontaminate
+from loomis.llm.mixing import mix
+from loomis.llm.quality import quality_rules
+from loomis.llm.queries import token_files
+from loomis.llm.simhash import simhash_groups
+from loomis.session import scratch_path
+
+
+def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose doc_id (null included) is in ``ids``.  Both sides
+    meet by doc_id, which is a key, so no partition is larger than its share."""
+    return docs.join(ids.select(F.col("doc_id").alias("k_id")), F.col("doc_id").eqNullSafe(F.col("k_id")), "left_semi")
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go."""
+    prepare(spark)
+    return _with_ids(docs, quality_rules(docs).where("kept"))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest doc_id of each group of near-duplicates stays."""
+    prepare(spark)
+    groups = simhash_groups(docs)
+    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
+    return _with_ids(docs, first).dropDuplicates(["doc_id"])
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold benchmark windows go."""
+    prepare(spark)
+    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return _with_ids(docs, found.where(F.size("ranges") == 0))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the target mixture takes it."""
+    prepare(spark)
+    copies = mix(docs).where("copies > 0").select(F.col("doc_id").alias("k_id"), "copies")
+    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("k_id"))) \
+        .withColumn("k_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+
+
+def token_output_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Place, length and checksum of each document in the token files."""
+    prepare(spark)
+    return token_files(spark, docs)
+
+
+STAGES = [("quality rules", quality_stage), ("SimHash near-dedup", near_duplicate_stage),
+          ("benchmark decontamination", decontamination_stage), ("mixing to target weights", mixing_stage),
+          ("token-ID output", token_output_stage)]
+
+# SimHash (XXH64), entropy balancing and the tokenizer are beyond SQL; the
+# pipeline is tested against a brute-force version instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each result is written and read again."""
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        out = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            path = scratch_path(spark, "pipeline", f"{i}-{uuid.uuid4().hex}")
+            out.write.parquet(path)
+            out = spark.read.schema(out.schema).parquet(path)
+        docs = out
+    return docs

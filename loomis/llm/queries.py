@@ -14,8 +14,10 @@ from .base import prepare, table
 from .decontaminate import decontaminate, verdicts
 from .fixity import audit_files
 from .htmltext import extract_text
+from .lm import lm_scores
 from .mixing import mix
 from .quality import quality_rules
+from .repeats import remove_repeats
 from .simhash import simhash_groups
 from .tokencount import token_counts
 from .tokenfile import read_token_files, write_token_files
@@ -72,6 +74,12 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return verdicts(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 bytes and more removed where a smaller doc_id has them."""
+    prepare(spark)
+    return remove_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op9_mixing_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the target mixture takes of every document."""
     prepare(spark)
@@ -80,7 +88,14 @@ def op9_mixing_to_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "source", "rate", "copies")
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and attention-model scores of every document."""
+    import public_tokenizers
+    prepare(spark)
+    return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_merkle_audit, op2_token_counts, op3_token_id_output, op4_html_extraction, op5_quality_rules, op6_simhash_near_dedup,
-    op7_benchmark_decontamination, op9_mixing_to_targets)}
+    op7_benchmark_decontamination, op8_suffix_array_dedup, op9_mixing_to_targets, op10_lm_scoring)}
 ORACLE: dict[str, str] = {"op5_quality_rules": oracles.quality_sql()}
