@@ -17,13 +17,3 @@ from pyspark.sql import functions as F
 
 def pin_columns(df: DataFrame) -> DataFrame:
     return df.select("*", F.explode(F.array(F.lit(0))).alias("_pin")).drop("_pin")
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows over the cluster when the input has fewer
-    partitions than ``defaultParallelism`` (e.g. one unsplittable parquet row
-    group), so CPU-heavy per-row work (regex tokenizing, shingling, JSON
-    parsing) does not run in one task.  On a large input with many splits this
-    is a no-op -- no extra shuffle."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

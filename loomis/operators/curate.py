@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from loomis.functions.plan import pin_columns
 from loomis.functions.text import seeded_key
 from loomis.operators.chatml import last_role_index
-from loomis.operators.history import size_checked_broadcast
 from loomis.plans.sequence import dense_index
 from loomis.schemas import EMPTY_THINK_BLOCK, NO_THINK_SUFFIX, THINK_CLOSE, THINK_OPEN, THINK_SUFFIX
 
@@ -68,7 +67,7 @@ def minhash_signatures(rows: DataFrame, key: str, h: str, num_perm: int) -> Data
 
 
 def near_duplicates(df: DataFrame, key: str, text: str, num_perm: int = 32, bands: int = 8, k: int = 5,
-                    threshold: float = 0.8, max_iter: int | None = None) -> DataFrame:
+                    threshold: float = 0.8) -> DataFrame:
     """MinHash-LSH near-duplicate clusters over distinct texts.
 
     Band buckets never emit all pairs: each bucket links its members to the
@@ -78,8 +77,7 @@ def near_duplicates(df: DataFrame, key: str, text: str, num_perm: int = 32, band
     component representative only.  Output: (key, cluster_id, jaccard,
     is_duplicate)."""
     rows = num_perm // bands
-    # signature + shingle-hash set per text, written once (texts without
-    # words have no shingles and drop out here)
+    # signature + shingle-hash set per text, written once
     sig = minhash_signatures(shingle_hashes(df, key, text, k), key, "h", num_perm) \
         .withColumnRenamed("shingles", "sh").checkpoint(eager=True)
     members = sig.select(key, F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
@@ -88,11 +86,8 @@ def near_duplicates(df: DataFrame, key: str, text: str, num_perm: int = 32, band
     sizes = members.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("_n"))
     members = members.join(sizes.filter(F.col("_n") > 1).drop("_n"), ["band", "bucket"], "left_semi").checkpoint(eager=True)
     label = sig.select(key, F.col(key).alias("label"))
-    # iterate to convergence (at most the component diameter rounds); a cap
-    # would leave components split
-    rounds = 0
-    while max_iter is None or rounds < max_iter:
-        rounds += 1
+    # iterate to convergence (at most the component diameter rounds)
+    while True:
         bmin = members.join(label, key).groupBy("band", "bucket").agg(F.min("label").alias("_m"))
         new = members.join(bmin, ["band", "bucket"]).groupBy(key).agg(F.min("_m").alias("_nl"))
         nxt = label.join(new, key, "left").select(key, F.least("label", F.coalesce("_nl", "label")).alias("label"))
@@ -107,6 +102,9 @@ def near_duplicates(df: DataFrame, key: str, text: str, num_perm: int = 32, band
     union = F.size(F.array_union("sh", "_rsh"))
     jac = F.when(union > 0, inter / union).otherwise(F.lit(1.0))
     out = j.select(key, F.col("label").alias("cluster_id"), F.round(jac, 6).alias("jaccard"))
+    # texts without words have no shingles: each is a cluster of its own
+    rest = df.select(key).join(sig.select(key), key, "left_anti")
+    out = out.unionByName(rest.select(key, F.col(key).alias("cluster_id"), F.lit(1.0).alias("jaccard")))
     return out.withColumn("is_duplicate", (F.col(key) != F.col("cluster_id")) & (F.col("jaccard") >= threshold))
 
 
@@ -117,7 +115,7 @@ def balance_categories(df: DataFrame, category: str, key: str, target: int, seed
     (``copy`` numbers the repeats).  ``row_number() <= target`` gets a map-side
     group limit, so a category holding most rows is cut before the shuffle."""
     counts = df.groupBy(category).agg(F.count(F.lit(1)).alias("_n"))
-    withn = df.join(size_checked_broadcast(counts, 100_000), category)
+    withn = df.join(counts, category)
     rep = withn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.lit(target) / F.col("_n")).cast("int")))))
     w = Window.partitionBy(category).orderBy("copy", seeded_key(key, seed))
     return rep.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= target).drop("_r", "_n") \
@@ -138,7 +136,7 @@ def paraphrase_system(df: DataFrame, templates: DataFrame, category: str = "cate
                       messages: str = "messages") -> DataFrame:
     """One row per (sample, template of its category); the system turn is
     replaced by the template, or prepended when the sample has none."""
-    j = df.join(size_checked_broadcast(templates, 100_000), category)
+    j = df.join(templates, category)
     sys_turn = F.struct(F.lit("system").alias("role"), F.col("system").alias("content"))
     no_sys = F.filter(messages, lambda m: m["role"] != "system")
     return j.withColumn(messages, F.concat(F.array(sys_turn), no_sys))

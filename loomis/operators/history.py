@@ -1,35 +1,22 @@
 """Behaviour-history operators: truncation, seeded perturbation, next-item
-split, interest-evolution islands, embedding lookup and causal attention
-pooling.
+split, interest-evolution islands and embedding lookup.
 
 Per-user ordering work avoids one-task-per-user windows where a user can be
 arbitrarily large: neighbours are found with an equi-join on
 ``(user, seq ± 1)`` and running counts use ``cumulative_within`` /
 ``sequence_within`` (bucketed by day or hash prefix).  Windows remain only
 where a row limit bounds them (``row_number() <= N`` gets a map-side group
-limit); attention pooling runs on the capped N rows per key as batched numpy
-products inside ``mapInPandas``.
+limit).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomis.functions.text import seeded_key
 from loomis.plans.sequence import cumulative_within, sequence_within
 
-BROADCAST_ROWS = 1_000_000
-
-
-def size_checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only when the table's row count is within ``max_rows``;
-    otherwise a normal (shuffled, AQE-managed) join side."""
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 # ---------------------------------------------------------------- W4
 def truncate_history(h: DataFrame, n: int, key: str = "user_id", order: str = "seq") -> DataFrame:
     """Newest ``n`` events per user (``row_number() <= n`` → map-side limit)."""
@@ -53,8 +40,9 @@ def next_item_split(h: DataFrame, key: str = "user_id", seq: str = "seq", item:
     ``(user, seq + 1)``; the last event of a user is the ``target``, all
     earlier ones are ``input``."""
     nxt = h.select(F.col(key).alias("_k"), (F.col(seq) - 1).alias("_s"), F.col(item).alias("next_item"))
-    j = h.join(nxt, (h[key] == nxt["_k"]) & (h[seq] == nxt["_s"]), "left").drop("_k", "_s")
-    return j.withColumn("role", F.when(F.col("next_item").isNull(), F.lit("target")).otherwise(F.lit("input")))
+    j = h.join(nxt, (h[key] == nxt["_k"]) & (h[seq] == nxt["_s"]), "left")
+    return j.withColumn("role", F.when(F.col("_s").isNull(), F.lit("target")).otherwise(F.lit("input"))) \
+            .drop("_k", "_s")
 
 
 # ---------------------------------------------------------------- W7
@@ -89,83 +77,16 @@ def interest_transitions(events: DataFrame, key: str, topic: str, order: list[st
 # ---------------------------------------------------------------- J2
 def embedding_lookup(h: DataFrame, emb: DataFrame, item: str = "item", emb_id: str = "vec_id",
                      vector: str = "embedding", modulo: Column | None = None) -> DataFrame:
-    """History rows joined to their vectors, position kept.  ``modulo`` maps
+    """History rows joined to their vectors, position kept; an event without a
+    vector stays, with a null one.  The join strategy is Spark's, by bytes.  ``modulo`` maps
     item ids into the embedding id range (a scalar column, e.g. the table size)."""
     key = (F.col(item) % modulo) if modulo is not None else F.col(item)
-    e = size_checked_broadcast(emb.select(F.col(emb_id).alias("_vid"), F.col(vector).alias("vec"), *[
-        c for c in emb.columns if c not in (emb_id, vector)]))
-    return h.withColumn("_vid", key).join(e, "_vid").withColumnRenamed("_vid", emb_id)
+    e = emb.select(F.col(emb_id).alias("_vid"), F.col(vector).alias("vec"), *[
+        c for c in emb.columns if c not in (emb_id, vector)])
+    return h.withColumn("_vid", key).join(e, "_vid", "left").withColumnRenamed("_vid", emb_id)
 
 
 def vector_norm(v) -> Column:
     c = F.col(v) if isinstance(v, str) else v
     return F.sqrt(F.aggregate(F.transform(c, lambda x: x.cast("double") * x.cast("double")), F.lit(0.0),
                               lambda acc, x: acc + x))
-
-
-# ---------------------------------------------------------------- J7
-def _attention_batch(pdf, key: str, seq: str, vec: str, scale: float):
-    """Causal softmax pooling for whole key groups of one Arrow batch, all
-    groups at once: vectors go into a padded (groups, N, d) tensor, scores and
-    pooled vectors are two batched ``einsum`` products."""
-    import numpy as np
-    import pandas as pd
-
-    users = pdf[key].to_numpy()
-    n = len(users)
-    starts = np.flatnonzero(np.r_[True, users[1:] != users[:-1]])
-    sizes = np.diff(np.r_[starts, n])
-    g = np.repeat(np.arange(len(starts)), sizes)
-    pos = np.arange(n) - np.repeat(starts, sizes)
-    vecs = np.stack([np.asarray(x, dtype=np.float64) for x in pdf[vec]])
-    v = np.zeros((len(starts), int(sizes.max()), vecs.shape[1]))
-    v[g, pos] = vecs
-    s = np.einsum("gid,gjd->gij", v, v) * scale
-    i_idx = np.arange(v.shape[1])
-    invalid = (i_idx[None, None, :] > i_idx[None, :, None]) | (i_idx[None, None, :] >= sizes[:, None, None])
-    s[np.broadcast_to(invalid, s.shape)] = -np.inf
-    s -= s.max(axis=2, keepdims=True)
-    w = np.exp(s)
-    w /= w.sum(axis=2, keepdims=True)
-    pooled = np.einsum("gij,gjd->gid", w, v)
-    return pd.DataFrame({key: users, seq: pdf[seq].to_numpy(), "n_keys": (pos + 1).astype("int64"),
-                         "self_weight": w[g, pos, pos], "pooled": list(pooled[g, pos])})
-
-
-def causal_attention_pool(hv: DataFrame, n: int = 16, key: str = "user_id", seq: str = "seq", vec: str = "vec",
-                          dim: int = 64) -> DataFrame:
-    """softmax(q·k/√d)-weighted sum of the vectors at positions ≤ the query
-    (Q = K = V = item vector) over each key's newest ``n`` positions (the
-    history cap of the operator; applied here with a map-side group limit, so
-    the per-group tensor is at most n × n).
-
-    Rows are hash-partitioned by key and sorted by (key, seq); ``mapInPandas``
-    works on whole Arrow batches, carrying a key's rows over a batch boundary,
-    so the math is vectorized across all groups of a batch (numpy ``einsum``)
-    instead of ~N·d interpreted lambda calls per row.
-
-    Output: (key, seq, n_keys, self_weight, pooled array<double>)."""
-    import pandas as pd
-
-    scale = 1.0 / math.sqrt(dim)
-
-    def run(it):
-        carry = None
-        for pdf in it:
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            if pdf.empty:
-                continue
-            last = pdf[key].iloc[-1]
-            tail = pdf[key] == last
-            carry, done = pdf[tail].reset_index(drop=True), pdf[~tail].reset_index(drop=True)
-            if len(done):
-                yield _attention_batch(done, key, seq, vec, scale)
-        if carry is not None and len(carry):
-            yield _attention_batch(carry, key, seq, vec, scale)
-
-    capped = truncate_history(hv, n, key, seq)
-    schema = f"{key} long, {seq} long, n_keys long, self_weight double, pooled array<double>"
-    src = capped.select(F.col(key).cast("long"), F.col(seq).cast("long"), F.col(vec).cast("array<double>")) \
-            .repartition(key).sortWithinPartitions(key, seq)
-    return src.mapInPandas(run, schema)

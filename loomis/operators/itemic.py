@@ -52,19 +52,22 @@ def itemic_validate(df: DataFrame, text: str, group: list[str]) -> DataFrame:
 # ---------------------------------------------------------------- X8
 def itemic_history_prompts(history: DataFrame, item_tokens: DataFrame, n: int, key: str = "user_id",
                            seq: str = "seq", item: str = "item") -> DataFrame:
-    """(key, n_items, prompt, target_token): the user's last event is the
-    target; the ``n`` events before it, as itemic tokens in time order, are
-    the prompt.  One group-limited window keeps the newest n + 1 events per
-    user (map-side), one bounded ``collect_list`` splits prompt and target;
-    users with a single event have no prompt and are left out."""
+    """(key, n_items, n_unresolved, prompt, target_token): the user's last event
+    is the target, whether the catalogue has it or not (then its token is
+    null); the ``n`` events before it, as itemic tokens in time order, are the
+    prompt, and those without a catalogue row are counted.  One group-limited
+    window keeps the newest n + 1 events per user (map-side), one bounded
+    ``collect_list`` splits prompt and target; users with a single event have
+    no prompt and are left out."""
     w = Window.partitionBy(key).orderBy(F.desc(seq))
     capped = history.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= n + 1).drop("_r")
-    j = capped.join(item_tokens.select(F.col("item").alias(item), "token"), item)
+    j = capped.join(item_tokens.select(F.col("item").alias(item), "token"), item, "left")
     g = j.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(seq).alias("s"), "token"))).alias("_p"))
     g = g.filter(F.size("_p") >= 2)
-    body = F.slice("_p", 1, F.size("_p") - 1)
+    tokens = F.transform(F.slice("_p", 1, F.size("_p") - 1), lambda x: x["token"])
     return g.select(key, (F.size("_p") - 1).cast("long").alias("n_items"),
-                    F.array_join(F.transform(body, lambda x: x["token"]), "").alias("prompt"),
+                    F.size(F.filter(tokens, lambda t: t.isNull())).cast("long").alias("n_unresolved"),
+                    F.array_join(tokens, "").alias("prompt"),
                     F.element_at("_p", -1)["token"].alias("target_token"))
 
 

@@ -214,14 +214,19 @@ def material_prompts(df: DataFrame, title: str, description: str, tags: Column,
 
 
 # ---------------------------------------------------------------- P15
-OPTION_RE = r"[A-H]\.[^A-H]*"
+OPTION_HEAD = r"(^|[^A-Za-z0-9])([A-Z])\."
 
 
 def choice_options(df: DataFrame, key: str, question: str) -> DataFrame:
-    """Question → one row per option (key, letter, text, n_options)."""
-    opts = F.regexp_extract_all(F.col(question), F.lit(OPTION_RE), 0)
+    """Question → one row per option (key, letter, text, n_options).  An option
+    begins at a capital letter and a point that follow no letter or digit; its
+    text may hold any capitals and runs to the next option, less a control
+    suffix (/think, /no_think) at the question's end."""
+    q = F.regexp_replace(F.col(question), r"\s*/(no_)?think\s*$", "")
+    parts = F.split(F.regexp_replace(q, OPTION_HEAD, "$1\u0001$2"), "\u0001")
+    opts = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
     return df.select(key, F.size(opts).cast("long").alias("n_options"), F.explode(opts).alias("_o")) \
-             .select(key, F.substring("_o", 1, 1).alias("letter"), strip_ws(F.expr("substring(_o, 3)")).alias("text"),
+             .select(key, F.substring("_o", 1, 1).alias("letter"), strip_ws(F.expr("substring(_o, 2)")).alias("text"),
                      "n_options")
 
 

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomis.operators.history import size_checked_broadcast
+from loomis.plans.sequence import dense_index
 from loomis.schemas import DAILY_SUBMISSION_QUOTA, DEFAULT_BATCH_SIZE, WARMUP_RATIO
 
 
@@ -71,21 +71,22 @@ def retain_checkpoints(metric: DataFrame, keep: int = 2, run: str = "run", epoch
 
 
 # ---------------------------------------------------------------- W10
-def leaderboard(accepted: DataFrame, k: int = 10, team: str = "team", score: str = "score") -> DataFrame:
-    """Best accepted score per team; the top k (TakeOrdered, k rows leave each
-    task) are ranked with ``dense_rank`` -- no window over all teams."""
+def leaderboard(accepted: DataFrame, k: int | None = None, team: str = "team", score: str = "score") -> DataFrame:
+    """Best accepted score per team with its dense rank, all teams or, with
+    ``k``, those of the first k ranks (ties kept).  The distinct scores are
+    numbered by a range sort and joined back -- no window over all teams."""
     best = accepted.groupBy(team).agg(F.max(score).alias("best_score"))
-    top = best.orderBy(F.desc("best_score"), F.asc(team)).limit(k)
-    return top.withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("best_score"))).cast("long"))
+    levels = dense_index(best.select("best_score").distinct(), [F.desc("best_score")], name="rank", start=1)
+    if k is not None:
+        levels = levels.filter(F.col("rank") <= k)
+    return best.join(levels, "best_score").select(team, "best_score", "rank")
 
 
 # ---------------------------------------------------------------- J6
 def submissions_by_phase(sub: DataFrame, phases: DataFrame, ts: str = "ts") -> DataFrame:
     """Range join: the phase whose [start, end] day range holds the
     submission day (inclusive), ``none`` outside every phase.  The phase
-    calendar is a size-checked broadcast, so this is a broadcast nested-loop
-    join over a handful of rows."""
-    p = size_checked_broadcast(phases, 10_000)
+    calendar is a handful of rows, which Spark broadcasts by its size."""
     d = sub.withColumn("_day", F.to_date(ts))
-    j = d.join(p, (F.col("_day") >= F.col("start")) & (F.col("_day") <= F.col("end")), "left")
+    j = d.join(phases, (F.col("_day") >= F.col("start")) & (F.col("_day") <= F.col("end")), "left")
     return j.withColumn("phase", F.coalesce("phase", F.lit("none"))).drop("_day", "start", "end")

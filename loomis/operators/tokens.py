@@ -19,7 +19,6 @@ from loomis.functions.text import TOKEN_PATTERN, token_count, tokens, word_count
 from loomis.plans.sequence import dense_index
 from loomis.schemas import ENDOFTEXT, IGNORE_INDEX, IM_END, SPECIAL_TOKENS
 
-BROADCAST_VOCAB_LIMIT = 2_000_000
 
 
 def _c(c) -> Column:
@@ -44,8 +43,7 @@ def build_vocab(corpus: DataFrame, text: str = "text", specials: Sequence[str] =
     special_rows = F.broadcast(sp).join(counts, "token", "left") \
         .select("token", F.coalesce("freq", F.lit(0)).cast("long").alias("freq"), "id")
     rest = counts.join(F.broadcast(sp), "token", "left_anti")
-    ranked = dense_index(rest, [F.desc("freq"), F.asc("token")], name="id", start=len(specials),
-                         checkpoint=False)
+    ranked = dense_index(rest, [F.desc("freq"), F.asc("token")], name="id", start=len(specials))
     vocab = special_rows.unionByName(ranked.select("token", "freq", "id"))
     # The vocabulary is a dimension read by every later join and id lookup:
     # write it once (reliable checkpoint in spark.checkpoint.dir) so lookups do
@@ -53,15 +51,9 @@ def build_vocab(corpus: DataFrame, text: str = "text", specials: Sequence[str] =
     return vocab.checkpoint(eager=True) if checkpoint else vocab
 
 
-def _vocab_side(vocab: DataFrame, broadcast_limit: int) -> tuple[DataFrame, bool]:
-    n = vocab.count()  # size check before any broadcast
-    return (F.broadcast(vocab), True) if n <= broadcast_limit else (vocab, False)
-
-
 # ---------------------------------------------------------------- X1
 def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, out: str = "ids",
-           keep: Sequence[str] = (), unknown_id: int = -1,
-           broadcast_limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
+           keep: Sequence[str] = (), unknown_id: int = -1) -> DataFrame:
     """(key, ids, *keep): text → ``array<long>`` of vocabulary ids (unknown
     tokens → ``unknown_id``).
 
@@ -69,7 +61,7 @@ def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, out: str = "ids
     only after the size check; otherwise a shuffled join where AQE splits hot
     tokens) → regroup by key.  The text itself is never shuffled; small
     ``keep`` columns ride along via ``first``."""
-    v, _ = _vocab_side(vocab.select("token", "id"), broadcast_limit)
+    v = vocab.select("token", "id")
     exploded = df.select(key, *keep, F.posexplode_outer(tokens(text)).alias("pos", "token"))
     j = exploded.join(v, "token", "left")
     grouped = j.groupBy(key).agg(F.array_sort(F.collect_list(
@@ -80,14 +72,13 @@ def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, out: str = "ids
 
 # ---------------------------------------------------------------- X2
 def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame, out: str = "decoded",
-           skip_special: bool = False, sep: str = "", keep: Sequence[str] = (),
-           broadcast_limit: int = BROADCAST_VOCAB_LIMIT) -> DataFrame:
+           skip_special: bool = False, sep: str = "", keep: Sequence[str] = ()) -> DataFrame:
     """(key, decoded, *keep): ids → text, tokens joined by ``sep``; optionally
     drop special tokens.  Same one-shuffle shape as ``encode``."""
     voc = vocab.select(F.col("id").alias("_id"), F.col("token"))
     if skip_special:
         voc = voc.filter(~F.col("token").isin(list(SPECIAL_TOKENS)) & ~F.col("token").rlike(r"^<\|[a-z_]+\|>$"))
-    v, _ = _vocab_side(voc, broadcast_limit)
+    v = voc
     exploded = df.select(key, *keep, F.posexplode_outer(ids).alias("pos", "_id"))
     j = exploded.join(v, "_id", "left")
     grouped = j.groupBy(key).agg(F.array_sort(F.collect_list(

@@ -12,8 +12,9 @@ from loomis.operators import tokens as tk
 from loomis.plans import bindings as b
 from loomis.plans import sqlparts as s
 from loomis.plans.registry import register
+from loomis.schemas import DEFAULT_MAX_LEN
 
-MAX_LEN = 512      # truncation budget of the registered conversation queries
+MAX_LEN = DEFAULT_MAX_LEN
 BATCH = 4          # micro-batch size (2–4 recommended for an 8 GB card)
 LIMIT = 2048       # max_len flag of the length report
 

@@ -84,60 +84,43 @@ def embedding_lookup(spark, sf):
     return j.select("user_id", "seq", "vec_id", "label", F.round(hi.vector_norm("vec"), 6).alias("norm"))
 
 
-# ---------------------------------------------------------------- J7
-@register("causal_attention_pool", s.q(s.H, f"""HC AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY seq DESC) AS r FROM H)
-  WHERE r <= {N_HISTORY})""", """HV AS (
-  SELECT HC.user_id, HC.seq, list_transform(e.embedding, lambda x: CAST(x AS DOUBLE)) AS v
-  FROM HC JOIN embeddings e ON e.vec_id = HC.item % (SELECT count(*) FROM embeddings))""", """W AS (
-  SELECT user_id, seq, v, list(v) OVER (PARTITION BY user_id ORDER BY seq ROWS UNBOUNDED PRECEDING) AS ks FROM HV)""",
-                                      """S AS (
-  SELECT user_id, seq, ks,
-         list_transform(ks, lambda k: list_sum(list_transform(range(1, 65), lambda j: v[j] * k[j])) * 0.125) AS sc
-  FROM W)""", """X AS (SELECT *, list_transform(sc, lambda x: exp(x - list_max(sc))) AS ex FROM S)""",
-                                      """WT AS (SELECT *, list_transform(ex, lambda x: x / list_sum(ex)) AS w FROM X)""", """
-SELECT user_id, seq, CAST(len(ks) AS BIGINT) AS n_keys, round(w[-1], 6) AS self_weight,
-       round(sqrt(list_sum(list_transform(range(1, 65), lambda j:
-         pow(list_sum(list_transform(range(1, len(ks) + 1), lambda i: w[i] * ks[i][j])), 2)))), 5) AS pooled_norm
-FROM WT"""))
-def causal_attention_pool(spark, sf):
-    capped = hi.truncate_history(b.history(spark, sf), N_HISTORY)
-    hv = hi.embedding_lookup(capped, b.table(spark, sf, "embeddings"), modulo=_emb_count(spark, sf))
-    p = hi.causal_attention_pool(hv, n=N_HISTORY, dim=64)
-    return p.select("user_id", "seq", "n_keys", F.round("self_weight", 6).alias("self_weight"),
-                    F.round(hi.vector_norm("pooled"), 5).alias("pooled_norm"))
-
-
 # ---------------------------------------------------------------- X8
-PROMPTS = (s.H, s.TARGET, s.ITEM, f"""HP AS (
-  SELECT user_id, count(*) AS n_items, string_agg(token, '' ORDER BY seq) AS prompt FROM (
+@register("itemic_history_prompts", s.q(s.H, s.TARGET, s.ITEM, f"""HP AS (
+  SELECT user_id, count(*) AS n_items, count(*) FILTER (WHERE token IS NULL) AS n_unresolved,
+         coalesce(string_agg(token, '' ORDER BY seq), '') AS prompt FROM (
     SELECT H.user_id, H.seq, ITEM.token,
            row_number() OVER (PARTITION BY H.user_id ORDER BY H.seq DESC) AS r
-    FROM H JOIN TARGET USING (user_id) JOIN ITEM ON H.item = ITEM.item WHERE H.seq < TARGET.n_events)
-  WHERE r <= {N_HISTORY} GROUP BY user_id)""")
-
-
-def _history_prompts(spark, sf):
-    return it.itemic_history_prompts(b.history(spark, sf), b.items(spark, sf), N_HISTORY)
-
-
-@register("itemic_history_prompts", s.q(*PROMPTS, """
-SELECT HP.user_id, HP.n_items, HP.prompt, ITEM.token AS target_token
-FROM HP JOIN TARGET USING (user_id) JOIN ITEM ON TARGET.target = ITEM.item"""))
+    FROM H JOIN TARGET USING (user_id) LEFT JOIN ITEM ON H.item = ITEM.item AND ITEM.item % 50 <> 7
+    WHERE H.seq < TARGET.n_events)
+  WHERE r <= {N_HISTORY} GROUP BY user_id)""", """
+SELECT HP.user_id, HP.n_items, HP.n_unresolved, HP.prompt, ITEM.token AS target_token
+FROM HP JOIN TARGET USING (user_id) LEFT JOIN ITEM ON TARGET.target = ITEM.item AND ITEM.item % 50 <> 7"""))
 def itemic_history_prompts(spark, sf):
-    return _history_prompts(spark, sf).select("user_id", "n_items", "prompt", "target_token")
+    """Against a catalogue that lacks some items, which stay visible as unresolved."""
+    catalog = b.items(spark, sf).where("item % 50 <> 7")
+    return it.itemic_history_prompts(b.history(spark, sf), catalog, N_HISTORY).select(
+        "user_id", "n_items", "n_unresolved", "prompt", "target_token")
 
 
 # ---------------------------------------------------------------- X6
-@register("itemic_occurrences", s.q(*PROMPTS, f"""
-SELECT user_id, CAST(pos AS BIGINT) AS pos, regexp_extract(t, '{it.ITEMIC_RE}', 1) AS domain,
+@register("itemic_occurrences", s.q(s.H, s.ITEM, f"""DAYS AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, string_agg(token, '' ORDER BY seq) AS prompt
+  FROM H JOIN ITEM USING (item) GROUP BY user_id, CAST(ts AS DATE))""", f"""
+SELECT user_id, strftime(day, '%Y-%m-%d') AS day, CAST(pos AS BIGINT) AS pos,
+       regexp_extract(t, '{it.ITEMIC_RE}', 1) AS domain,
        CAST(regexp_extract(t, '{it.ITEMIC_RE}', 2) AS BIGINT) AS a,
        CAST(regexp_extract(t, '{it.ITEMIC_RE}', 3) AS BIGINT) AS b,
        CAST(regexp_extract(t, '{it.ITEMIC_RE}', 4) AS BIGINT) AS c
-FROM (SELECT user_id, unnest(toks) AS t, generate_subscripts(toks, 1) AS pos
-      FROM (SELECT user_id, regexp_extract_all(prompt, '{it.ITEMIC_RE}') AS toks FROM HP))"""))
+FROM (SELECT user_id, day, unnest(toks) AS t, generate_subscripts(toks, 1) AS pos
+      FROM (SELECT user_id, day, regexp_extract_all(prompt, '{it.ITEMIC_RE}') AS toks FROM DAYS))"""))
 def itemic_occurrences(spark, sf):
-    return it.itemic_occurrences(_history_prompts(spark, sf), "user_id", "prompt")
+    """Every event of the whole history, one text per user and day."""
+    h = b.history(spark, sf).join(b.items(spark, sf).select("item", "token"), "item")
+    parts = F.array_sort(F.collect_list(F.struct("seq", "token")))
+    days = h.groupBy("user_id", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(
+        F.array_join(F.transform(parts, lambda x: x["token"]), "").alias("prompt"))
+    occ = it.itemic_occurrences(days.withColumn("_k", F.struct("user_id", "day")), "_k", "prompt")
+    return occ.select("_k.user_id", "_k.day", *[c for c in occ.columns if c != "_k"])
 
 
 # ---------------------------------------------------------------- X7 / J8 corpus

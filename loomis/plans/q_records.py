@@ -231,18 +231,15 @@ def material_prompts(spark, sf):
 
 
 # ---------------------------------------------------------------- P15
-QUESTION = "p_name || '属于哪一类？A.' || lower(p_type) || ' B.' || lower(p_brand) || ' C.' || p_size || ' D.' || lower(p_name)"
-
-
-@register("choice_options", f"""
-SELECT prompt_id, substr(o, 1, 1) AS letter, {_strip('substr(o, 3)')} AS text, n_options FROM (
-  SELECT p_partkey AS prompt_id, unnest(regexp_extract_all(q, '{rc.OPTION_RE}')) AS o,
-         CAST(len(regexp_extract_all(q, '{rc.OPTION_RE}')) AS BIGINT) AS n_options
-  FROM (SELECT p_partkey, {QUESTION} AS q FROM part))""")
+@register("choice_options", """
+SELECT p_partkey AS prompt_id, o.letter, o.text, CAST(4 AS BIGINT) AS n_options FROM (
+  SELECT p_partkey, unnest([{'letter': 'A', 'text': p_type}, {'letter': 'B', 'text': p_brand},
+                            {'letter': 'C', 'text': CAST(p_size AS VARCHAR)}, {'letter': 'J', 'text': p_name}]) AS o
+  FROM part)""")
 def choice_options(spark, sf):
     part = b.table(spark, sf, "part")
-    q = F.concat(F.col("p_name"), F.lit("属于哪一类？A."), F.lower("p_type"), F.lit(" B."), F.lower("p_brand"),
-                 F.lit(" C."), F.col("p_size").cast("string"), F.lit(" D."), F.lower("p_name"))
+    q = F.concat(F.col("p_name"), F.lit("属于哪一类？A."), F.col("p_type"), F.lit(" B."), F.col("p_brand"),
+                 F.lit(" C."), F.col("p_size").cast("string"), F.lit("\nJ."), F.col("p_name"), F.lit(" /no_think"))
     return rc.choice_options(part.select(F.col("p_partkey").alias("prompt_id"), q.alias("q")), "prompt_id", "q")
 
 

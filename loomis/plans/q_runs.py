@@ -86,10 +86,10 @@ def retain_checkpoints(spark, sf):
 # ---------------------------------------------------------------- W10
 @register("leaderboard", s.q(s.SUB, QUOTA, """
 SELECT CAST(dense_rank() OVER (ORDER BY best_score DESC) AS BIGINT) AS rank, team, best_score FROM (
-  SELECT team, max(score) AS best_score FROM Q GROUP BY team ORDER BY best_score DESC, team LIMIT 10)"""))
+  SELECT team, max(score) AS best_score FROM Q GROUP BY team)"""))
 def leaderboard(spark, sf):
     accepted = ru.daily_quota(b.submissions(spark, sf))
-    return ru.leaderboard(accepted, 10).select("rank", "team", "best_score")
+    return ru.leaderboard(accepted).select("rank", "team", "best_score")
 
 
 # ---------------------------------------------------------------- J6

@@ -126,4 +126,4 @@ def batch_generate(spark, sf):
     prompts = cm.render_prompts(conv, "context").select(F.col("conv_id").alias("prompt_id"), "prompt")
     grid = sa.strategy_grid(prompts).select("prompt_id", "prompt", "strategy")
     out = sa.batch_generate(grid, batch_size=4)
-    return out.withColumn("response", cm.clean_response("response", 80))
+    return out.withColumn("response", cm.clean_response("response"))

@@ -1,5 +1,5 @@
 """Streaming queries.  Each replays a driver table as a file stream (files
-written oldest-first into the shared scratch folder, one file per micro-batch),
+written oldest-first into the shared scratch folder, one chunk per micro-batch),
 runs the streaming operator to completion (``availableNow``) and returns the
 sink contents.  Their results equal the batch operators, so the batch SQL is
 their oracle."""
@@ -21,16 +21,15 @@ from loomis.session import scratch_path
 from loomis.streaming import streams as st
 
 
-def _replay(spark: SparkSession, df: DataFrame, chunk: str, path: str) -> str:
-    """Write ``df`` as one parquet file per value of ``chunk``, in chunk
-    order, so a file stream sees them oldest-first (a short driver loop over
-    a handful of chunks; the data itself never passes the driver)."""
-    df = df.persist()
-    n = df.select(F.max(chunk)).first()[0]
-    for i in range(int(n if n is not None else -1) + 1):
-        df.filter(F.col(chunk) == i).drop(chunk).coalesce(1).write.mode("append").parquet(path)
-    df.unpersist()
-    return path
+def _replay(spark: SparkSession, df: DataFrame, chunk: str, path: str, run) -> None:
+    """Let ``df`` arrive chunk by chunk (null first): write a chunk's rows in
+    parallel, process all that is there (``run``, an ``availableNow`` query
+    whose checkpoint carries the state), go on with the next.  A short driver
+    loop over the chunk numbers; the rows never pass the driver or one task."""
+    chunks = [r[0] for r in df.select(chunk).distinct().orderBy(F.col(chunk).asc_nulls_first()).collect()]
+    for c in chunks or [None]:
+        df.filter(F.col(chunk).eqNullSafe(F.lit(c))).drop(chunk).write.mode("append").parquet(path)
+        run()
 
 
 def _schema(df: DataFrame) -> str:
@@ -46,11 +45,11 @@ FROM (SELECT conv_id, turn, role,
       FROM conversations)""")
 def stream_chat_state(spark, sf):
     base = scratch_path(spark, "streams", uuid.uuid4().hex)
-    # five turn levels per file: fewer micro-batches, state still spans several
+    # five turn levels arrive together; state still spans several micro-batches
     turns = b.table(spark, sf, "conversations").withColumn("_chunk", (F.col("turn") / 5).cast("int"))
-    src_path = _replay(spark, turns, "_chunk", f"{base}/in")
-    stream = st.file_stream(spark, src_path, _schema(turns.drop("_chunk")))
-    st.run_to_completion(st.stream_chat_state(stream), f"{base}/out", f"{base}/ckpt")
+    _replay(spark, turns, "_chunk", f"{base}/in", lambda: st.run_to_completion(
+        st.stream_chat_state(st.file_stream(spark, f"{base}/in", _schema(turns.drop("_chunk")))),
+        f"{base}/out", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/out")
 
 
@@ -74,14 +73,15 @@ def stream_ingest(spark, sf):
     tf = cm.to_three_field(cm.assemble_conversations(b.table(spark, sf, "conversations")))
     line = F.when(F.col("conv_id") % 10 == 9, F.concat(F.lit("not json "), F.col("conv_id").cast("string"))) \
             .otherwise(F.to_json(F.struct("system", "prompt", "response")))
-    ts = (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("conv_id")))
+    # all lines arrive within the watermark's hour
+    ts = F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(secs=F.col("conv_id") % 3000)
     lines = tf.select("conv_id", ts.alias("ts"), line.alias("value"))
     # every fifth line is sent twice (in a later file) to exercise de-duplication
     dup = lines.filter(F.col("conv_id") % 5 == 0).withColumn("_chunk", F.lit(1))
     src_df = lines.withColumn("_chunk", F.lit(0)).unionByName(dup)
-    src_path = _replay(spark, src_df, "_chunk", f"{base}/in")
-    stream = st.file_stream(spark, src_path, _schema(src_df.drop("_chunk")))
-    st.stream_ingest(stream, f"{base}/good", f"{base}/bad", f"{base}/ckpt", watermark="400 days")
+    _replay(spark, src_df, "_chunk", f"{base}/in", lambda: st.stream_ingest(
+        st.file_stream(spark, f"{base}/in", _schema(src_df.drop("_chunk"))), f"{base}/good", f"{base}/bad",
+        f"{base}/ckpt"))
     good = spark.read.schema("conv_id long").parquet(f"{base}/good").select("conv_id", F.lit("dataset").alias("sink"),
                                                                             F.lit(None).cast("string").alias("reason"))
     bad = spark.read.schema("conv_id long, reason string").parquet(f"{base}/bad") \
@@ -97,9 +97,8 @@ def stream_daily_quota(spark, sf):
     t0 = sub.select(F.min(F.unix_timestamp(F.col("ts").cast("timestamp")))).scalar()
     # ten-day files whose boundaries fall at noon, so a day's state spans two micro-batches
     chunk = F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) - t0 + 43200) / 864000).cast("int")
-    src_path = _replay(spark, sub.withColumn("_chunk", chunk), "_chunk", f"{base}/in")
-    stream = st.file_stream(spark, src_path, _schema(sub))
-    st.run_to_completion(st.stream_daily_quota(stream), f"{base}/out", f"{base}/ckpt")
+    _replay(spark, sub.withColumn("_chunk", chunk), "_chunk", f"{base}/in", lambda: st.run_to_completion(
+        st.stream_daily_quota(st.file_stream(spark, f"{base}/in", _schema(sub))), f"{base}/out", f"{base}/ckpt"))
     return spark.read.parquet(f"{base}/out")
 
 
@@ -112,10 +111,12 @@ def stream_run_metrics(spark, sf):
     base = scratch_path(spark, "streams", uuid.uuid4().hex)
     ev = b.table(spark, sf, "events").select(F.col("user_id").alias("run"), "ts", F.col("value").alias("loss"))
     chunk = F.floor((F.dayofmonth("ts") - 1) / 10).cast("int")
-    src_path = _replay(spark, ev.withColumn("_chunk", chunk), "_chunk", f"{base}/in")
-    stream = st.file_stream(spark, src_path, _schema(ev))
-    st.run_to_completion(st.stream_run_metrics(stream), f"{base}/out", f"{base}/ckpt", mode="complete",
-                         complete_overwrite=True)
-    out = spark.read.parquet(f"{base}/out")
+    _replay(spark, ev.withColumn("_chunk", chunk), "_chunk", f"{base}/in", lambda: st.run_to_completion(
+        st.stream_run_metrics(st.file_stream(spark, f"{base}/in", _schema(ev))), f"{base}/out", f"{base}/ckpt",
+        mode="update", by_batch=True))
+    # a window may be updated by several micro-batches: its last state counts
+    last = spark.read.parquet(f"{base}/out").groupBy("w", "run").agg(
+        F.max_by(F.struct("mean_loss", "min_loss", "n"), "batch").alias("m"))
+    out = last.select("w", "run", "m.*")
     return out.select("run", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       F.round("mean_loss", 6).alias("mean_loss"), F.round("min_loss", 6).alias("min_loss"), "n")

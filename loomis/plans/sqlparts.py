@@ -33,7 +33,7 @@ CAND = f"""CAND AS (
          target, {DOMAINS}[target % 5 + 1] AS domain
   FROM TARGET CROSS JOIN range(1, 65) r(attempt))"""
 
-CAPPED = """CAPPED AS (
+CAPPED = """CAPPED AS MATERIALIZED (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY prompt_id, mode ORDER BY attempt) AS _rn FROM CAND)
   WHERE _rn <= 32)"""
 

@@ -56,6 +56,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     a fresh scratch folder.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path and spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="loomis-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", path)

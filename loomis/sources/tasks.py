@@ -45,7 +45,9 @@ def parse_sections(files: DataFrame, text: str = "value", file: str = "file") ->
     found = pieces.withColumn("category", cat).filter(F.col("category").isNotNull()) \
         .groupBy(file, "category").agg(F.min_by("piece", "pos").alias("piece"))
     section = strip_ws(F.regexp_replace("piece", f"^{HEADING_ALT}", ""))
-    obj = F.from_json(section, "map<string,string>")
+    # exactly one object: text behind it, or a second one, makes a section bad
+    objs = F.from_json(F.concat(F.lit("["), section, F.lit("]")), "array<map<string,string>>")
+    obj = F.when(F.size(objs) == 1, F.get(objs, 0))
     found = found.select(file, "category", section.alias("section"), obj.alias("tasks"))
     expected = files.select(file, F.explode(F.array(*[F.lit(c) for c, _ in SECTION_HEADINGS])).alias("category"))
     j = expected.join(found, [file, "category"], "left")

@@ -38,19 +38,19 @@ def state_partitions(spark: SparkSession, n: int | None = None):
 
 
 def run_to_completion(stream_df: DataFrame, sink_path: str, checkpoint: str, mode: str = "append",
-                      complete_overwrite: bool = False, n_state: int | None = None) -> None:
+                      by_batch: bool = False, n_state: int | None = None) -> None:
     """Process everything available now and stop (``availableNow``).
 
-    ``complete`` results are rewritten per micro-batch via ``foreachBatch``;
-    append results go to a parquet file sink (exactly-once with the
-    checkpoint).  A stateful query fixes its number of state partitions when
+    With ``by_batch`` (update mode) each micro-batch writes its changed rows to
+    a folder of its own, which a retry overwrites; append results go to a
+    parquet file sink (exactly-once with the checkpoint).  A stateful query fixes its number of state partitions when
     its checkpoint is created; it is sized here to ``n_state``
     (default: the cluster's parallelism) rather than inheriting a batch-sized
     ``spark.sql.shuffle.partitions``."""
     with state_partitions(stream_df.sparkSession, n_state):
-        if complete_overwrite:
-            def write(batch: DataFrame, _epoch: int) -> None:
-                batch.write.mode("overwrite").parquet(sink_path)
+        if by_batch:
+            def write(batch: DataFrame, epoch: int) -> None:
+                batch.write.mode("overwrite").parquet(f"{sink_path}/batch={epoch}")
             q = stream_df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
         else:
             q = stream_df.writeStream.outputMode(mode).format("parquet").option("path", sink_path) \
@@ -77,10 +77,10 @@ def _chat_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterato
         if r.role == "user" and cmd in QUIT_WORDS:
             closed = True
             out.append((r.conv_id, r.turn, r.role, "closed", 0, ctx))
-        elif r.role == "user" and cmd == CLEAR_COMMAND:
+        elif r.role == "user" and r.exact == CLEAR_COMMAND:
             ctx = sys_tok
             out.append((r.conv_id, r.turn, r.role, "cleared", 0, ctx))
-        elif r.role == "user" and cmd == LEN_COMMAND:
+        elif r.role == "user" and r.exact == LEN_COMMAND:
             out.append((r.conv_id, r.turn, r.role, "len", 0, ctx))
         else:
             if r.role == "system" and sys_tok == 0:
@@ -95,30 +95,34 @@ def _chat_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterato
 
 def stream_chat_state(turns: DataFrame) -> DataFrame:
     """Per conversation: each turn extends the context (running ChatML token
-    count), ``/clear`` keeps only the system turn, ``/len`` reports the count,
-    quit words close the conversation, blank input is ignored.  Token counts
+    count), ``/clear`` keeps only the system turn, ``/len`` reports the count
+    (both exact), quit words in any case close the conversation, blank input
+    is ignored; a turn without a number is read as turn -1.  Token counts
     are computed in the JVM before the state operator."""
-    d = turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role",
+    d = turns.select(F.col("conv_id").cast("long"), F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), "role",
                      (F.coalesce(strip_ws("text"), F.lit("")) == "").alias("blank"),
-                     F.lower(strip_ws("text")).alias("command"),
+                     F.lower(strip_ws("text")).alias("command"), strip_ws("text").alias("exact"),
                      token_count(chatml_turn("role", "text")).cast("long").alias("turn_tokens"))
     return d.groupBy("conv_id").applyInPandasWithState(_chat_state, CHAT_OUT, CHAT_STATE, "append",
                                                        GroupStateTimeout.NoTimeout)
 
 
 # ---------------------------------------------------------------- R2
-def stream_ingest(lines: DataFrame, good_path: str, bad_path: str, checkpoint: str,
+def stream_ingest(lines: DataFrame, good_path: str, bad_path: str, checkpoint: str, id_: str = "conv_id",
                   watermark: str = "1 hour") -> None:
-    """Parse and validate arriving three-field lines; duplicates (same line
-    within the watermark) are dropped; good rows go to the dataset sink, bad
-    rows with their reason to the quarantine sink, in one ``foreachBatch``."""
+    """Parse and validate arriving three-field lines.  The same record sent
+    again within the watermark (same id and same line) is dropped; the state
+    keeps the line's hash, not the line.  Good rows go to the dataset sink, bad
+    rows with their reason to the quarantine sink, each into a folder of its
+    micro-batch that a retry overwrites."""
     p = parse_sft_lines(lines, "value").withColumn("reason", sft_reject_reason())
-    p = p.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["value"])
+    p = p.withColumn("_sha", F.sha2(F.coalesce("value", F.lit("")), 256)) \
+         .withWatermark("ts", watermark).dropDuplicatesWithinWatermark([id_, "_sha"]).drop("_sha")
 
-    def write(batch: DataFrame, _epoch: int) -> None:
+    def write(batch: DataFrame, epoch: int) -> None:
         batch.persist()
-        batch.filter(F.col("reason").isNull()).drop("reason").write.mode("append").parquet(good_path)
-        batch.filter(F.col("reason").isNotNull()).write.mode("append").parquet(bad_path)
+        batch.filter(F.col("reason").isNull()).drop("reason").write.mode("overwrite").parquet(f"{good_path}/batch={epoch}")
+        batch.filter(F.col("reason").isNotNull()).write.mode("overwrite").parquet(f"{bad_path}/batch={epoch}")
         batch.unpersist()
     with state_partitions(lines.sparkSession):
         p.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint) \
@@ -127,6 +131,7 @@ def stream_ingest(lines: DataFrame, good_path: str, bad_path: str, checkpoint: s
 
 # ---------------------------------------------------------------- R3
 QUOTA_OUT = "team long, day string, id long, rank long"
+QUOTA_BLOCK_DAYS = 8
 QUOTA_STATE = "counts string"   # JSON {day: accepted so far} for the team's open days
 
 
@@ -157,13 +162,14 @@ def _make_quota(quota: int):
 
 def stream_daily_quota(sub: DataFrame, quota: int = DAILY_SUBMISSION_QUOTA, watermark: str = "1 day") -> DataFrame:
     """Accept the first ``quota`` submissions per team and day in event
-    order.  State is keyed by team and holds one counter per open day (days
-    behind the watermark are dropped, an idle team times out), so each
-    micro-batch makes one vectorized pandas call per team rather than one per
-    (team, day)."""
+    order.  State is keyed by team and block of days, so a busy team is spread
+    over its blocks, and holds one counter per open day (days behind the
+    watermark are dropped, an idle block times out); a micro-batch makes one
+    vectorized pandas call per team and block."""
     d = sub.select(F.col("team").cast("long"), F.col("id").cast("long"), F.col("ts").cast("timestamp").alias("ts"),
-                   F.to_date("ts").cast("string").alias("day")).withWatermark("ts", watermark)
-    return d.groupBy("team").applyInPandasWithState(_make_quota(quota), QUOTA_OUT, QUOTA_STATE, "append",
+                   F.to_date("ts").cast("string").alias("day"),
+                   F.floor(F.unix_date(F.to_date("ts")) / QUOTA_BLOCK_DAYS).alias("block")).withWatermark("ts", watermark)
+    return d.groupBy("team", "block").applyInPandasWithState(_make_quota(quota), QUOTA_OUT, QUOTA_STATE, "append",
                                                     GroupStateTimeout.EventTimeTimeout)
 
 
@@ -185,7 +191,9 @@ def stream_run_metrics(metric: DataFrame, window: str = "1 day", slide: str | No
                                                F.count(F.lit(1)).alias("n"))
 
 
-def file_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", files_per_batch: int = 1) -> DataFrame:
-    """A file-source stream reading the oldest files first, ``files_per_batch`` per micro-batch."""
-    return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_batch) \
-                .option("latestFirst", "false").load(path)
+def file_stream(spark: SparkSession, path: str, schema: str, fmt: str = "parquet",
+                files_per_batch: int | None = None) -> DataFrame:
+    """A file-source stream reading the oldest files first; all that have
+    arrived since the last run in one micro-batch, or ``files_per_batch``."""
+    r = spark.readStream.format(fmt).schema(schema).option("latestFirst", "false")
+    return (r.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else r).load(path)

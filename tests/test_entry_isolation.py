@@ -18,7 +18,7 @@ spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "fal
 import __spark_entry__ as e
 q = e.queries()
 print("ROWS", q["batch_generate"](spark, "/root/testdata/sf0.001").count(),
-      q["causal_attention_pool"](spark, "/root/testdata/sf0.001").count())
+      q["stream_daily_quota"](spark, "/root/testdata/sf0.001").count())
 """
 
 

@@ -88,29 +88,6 @@ def test_near_duplicates_against_brute_force(spark):
         assert abs(r["jaccard"] - _jaccard(sh[k], sh[r["cluster_id"]])) < 1e-6
 
 
-def test_attention_rows_and_causal_mask(spark):
-    import numpy as np
-
-    from loomis.operators import history as hi
-    rng = np.random.default_rng(0)
-    rows = [(u, s, [float(x) for x in rng.normal(size=8)]) for u in (1, 2) for s in range(1, 6)]
-    hv = spark.createDataFrame(rows, "user_id long, seq long, vec array<double>")
-    out = {(r["user_id"], r["seq"]): r for r in hi.causal_attention_pool(hv, n=4, dim=8).collect()}
-    assert len(out) == 8                                    # newest 4 positions per user
-    for u in (1, 2):
-        first = out[(u, 2)]                                 # first kept position attends only to itself
-        assert first["n_keys"] == 1 and abs(first["self_weight"] - 1.0) < 1e-12
-        v = dict(((a, b_), c) for a, b_, c in rows)[(u, 2)]
-        assert np.allclose(first["pooled"], v)
-        for s in range(3, 6):
-            r = out[(u, s)]
-            assert r["n_keys"] == s - 1 and 0 < r["self_weight"] <= 1
-            # pooled vector is a convex combination of the visible vectors
-            vs = np.array([dict(((a, b_), c) for a, b_, c in rows)[(u, t)] for t in range(2, s + 1)])
-            assert np.all(np.array(r["pooled"]) <= vs.max(axis=0) + 1e-9)
-            assert np.all(np.array(r["pooled"]) >= vs.min(axis=0) - 1e-9)
-
-
 def test_sequence_within_hot_key(spark):
     """One key with ~90% of the rows: the bucketed numbering still equals the
     plain window, and the hot key is split over one bucket per day."""
