@@ -31,7 +31,7 @@ from .idcoder import decode_block, encode_block
 END_ID = 2
 BLOCK_IDS = 1 << 20
 PART_BYTES = 64 << 20
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
 # Two white-space characters in a row or a special string: encode as a whole.
 _WHOLE = re.compile(r"\s\s|<\|")
 _ODD = re.compile(r".\s", re.S)
@@ -51,49 +51,55 @@ class CachedTokenizer:
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.vocab = self.lib.get_vocab_size(with_added_tokens=True)
+        self.kind = np.dtype("<u2" if self.vocab <= 1 << 16 else "<u4")
         self.limit, self.cache = limit, {}
-        self.line = self._plain("\n")
+        self.line = self._ids(["\n"])[0]
 
-    def _plain(self, text: str) -> list[int]:
-        return self.lib.encode(text, add_special_tokens=False).ids
+    def _ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, words: list[str]) -> None:
+        """Keep the ids of new words, as bytes."""
         if len(self.cache) + len(words) > self.limit:
             self.cache.clear()
         safe = [w for w in words if w[0] == " " and not _ODD.search(w)] if len(self.line) == 1 else []
         known = set(safe)
+        width = self.kind.itemsize
         for a, b in size_batches([len(w) for w in safe], 1 << 14):
-            ids = np.array(self._plain("\n".join(safe[a:b])), dtype=np.int64)
+            ids = np.array(self._ids(["\n".join(safe[a:b])])[0], self.kind)
             cuts = np.flatnonzero(ids == self.line[0])
             if len(cuts) != b - a - 1:
                 known -= set(safe[a:b])
                 continue
-            for w, x in zip(safe[a:b], np.split(ids, cuts)):
-                self.cache[w] = x[1:].tolist() if w is not safe[a] else x.tolist()
+            raw = ids.tobytes()
+            starts = [0, *((cuts + 1) * width).tolist()]
+            for w, x, y in zip(safe[a:b], starts, [*(cuts * width).tolist(), len(raw)]):
+                self.cache[w] = raw[x:y]
         rest = [w for w in words if w not in known]
-        for w, e in zip(rest, self.lib.encode_batch_fast(rest, add_special_tokens=False)):
-            self.cache[w] = e.ids
+        for w, ids in zip(rest, self._ids(rest)):
+            self.cache[w] = np.array(ids, self.kind).tobytes()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        out: list = [None] * len(texts)
-        split = {}
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian bytes."""
+        out: list = [b""] * len(texts)
+        split, whole = {}, []
         for i, t in enumerate(texts):
-            if not t:
-                out[i] = []
-            elif _WHOLE.search(t):
-                out[i] = self._plain(t)
-            else:
+            if t and _WHOLE.search(t):
+                whole.append(i)
+            elif t:
                 first, *more = t.split(" ")
                 split[i] = ([first] if first else []) + [" " + w for w in more]
         new = {w for ws in split.values() for w in ws if w not in self.cache}
         if new:
-            self.learn(sorted(new))
+            self.learn(list(new))
         get = self.cache.__getitem__
         for i, ws in split.items():
             try:
-                out[i] = [x for w in ws for x in get(w)]
+                out[i] = b"".join(map(get, ws))
             except KeyError:  # dropped when the cache was emptied
-                out[i] = self._plain(texts[i])
+                whole.append(i)
+        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
+            out[i] = np.array(ids, self.kind).tobytes()
         return out
 
 
@@ -126,12 +132,12 @@ def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFr
 
     def run(batches):
         tk = tokenizer(path)
-        kind = np.dtype("<u2" if tk.vocab <= 1 << 16 else "<u4")
+        end = np.array([end_id], tk.kind).tobytes()
         for b in batches:
             size = pa.compute.binary_length(b.column(2)).to_pylist()
             for x, y in size_batches(size, 4 << 20):
                 c = b.slice(x, y - x)
-                ids = [np.array([*i, end_id], kind).tobytes() for i in tk.encode(c.column(2).to_pylist())]
+                ids = [raw + end for raw in tk.encode(c.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays([c.column(0), c.column(1), pa.array(ids, pa.binary())],
                                                  names=["part", "doc_id", "ids"])
 
