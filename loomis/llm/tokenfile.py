@@ -15,7 +15,6 @@ block raises an error when it is read.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -27,86 +26,11 @@ from pyspark.sql.window import Window
 
 from .base import size_batches, text_of
 from .idcoder import decode_block, encode_block
+from .subword import piece_tokenizer
 
 END_ID = 2
 BLOCK_IDS = 1 << 20
 PART_BYTES = 64 << 20
-CACHE_WORDS = 600_000
-# Two white-space characters in a row or a special string: encode as a whole.
-_WHOLE = re.compile(r"\s\s|<\|")
-_ODD = re.compile(r".\s", re.S)
-_TOKENIZERS: dict[str, tuple] = {}
-
-
-class CachedTokenizer:
-    """The library's ids of whole texts, word by word where that is the same.
-
-    The byte-level pre-tokenizer always starts a new piece at a single space
-    between other characters, so " word" parts can be encoded on their own and
-    repeat often; their ids are kept.  Texts with runs of white space or
-    special strings go through the library whole.  New words are encoded in one
-    text, separated by line feeds, which are pieces of their own there."""
-
-    def __init__(self, path: str, limit: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
-        self.lib = Tokenizer.from_file(path)
-        self.vocab = self.lib.get_vocab_size(with_added_tokens=True)
-        self.kind = np.dtype("<u2" if self.vocab <= 1 << 16 else "<u4")
-        self.limit, self.cache = limit, {}
-        self.line = self._ids(["\n"])[0]
-
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def learn(self, words: list[str]) -> None:
-        """Keep the ids of new words, as bytes."""
-        if len(self.cache) + len(words) > self.limit:
-            self.cache.clear()
-        safe = [w for w in words if w[0] == " " and not _ODD.search(w)] if len(self.line) == 1 else []
-        known = set(safe)
-        width = self.kind.itemsize
-        for a, b in size_batches([len(w) for w in safe], 1 << 14):
-            ids = np.array(self._ids(["\n".join(safe[a:b])])[0], self.kind)
-            cuts = np.flatnonzero(ids == self.line[0])
-            if len(cuts) != b - a - 1:
-                known -= set(safe[a:b])
-                continue
-            raw = ids.tobytes()
-            starts = [0, *((cuts + 1) * width).tolist()]
-            for w, x, y in zip(safe[a:b], starts, [*(cuts * width).tolist(), len(raw)]):
-                self.cache[w] = raw[x:y]
-        rest = [w for w in words if w not in known]
-        for w, ids in zip(rest, self._ids(rest)):
-            self.cache[w] = np.array(ids, self.kind).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian bytes."""
-        out: list = [b""] * len(texts)
-        split, whole = {}, []
-        for i, t in enumerate(texts):
-            if t and _WHOLE.search(t):
-                whole.append(i)
-            elif t:
-                first, *more = t.split(" ")
-                split[i] = ([first] if first else []) + [" " + w for w in more]
-        new = {w for ws in split.values() for w in ws if w not in self.cache}
-        if new:
-            self.learn(list(new))
-        get = self.cache.__getitem__
-        for i, ws in split.items():
-            try:
-                out[i] = b"".join(map(get, ws))
-            except KeyError:  # dropped when the cache was emptied
-                whole.append(i)
-        for i, ids in zip(whole, self._ids([texts[i] for i in whole])):
-            out[i] = np.array(ids, self.kind).tobytes()
-        return out
-
-
-def tokenizer(path: str) -> CachedTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = CachedTokenizer(path)
-    return _TOKENIZERS[path]
 
 
 def id_parts(docs: DataFrame, part_bytes: int = PART_BYTES) -> list:
@@ -131,7 +55,7 @@ def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFr
     id_type = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        tk = tokenizer(path)
+        tk = piece_tokenizer(path)
         end = np.array([end_id], tk.kind).tobytes()
         for b in batches:
             size = pa.compute.binary_length(b.column(2)).to_pylist()
@@ -146,7 +70,7 @@ def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFr
 
 def _blocks(batches, path: str, block_ids: int, id_type):
     """Rows sorted by part and doc_id become blocks."""
-    vocab = tokenizer(path).vocab
+    vocab = piece_tokenizer(path).vocab
     width = 2 if vocab <= 1 << 16 else 4
     part, seq, total, held, sizes, ids = None, 0, 0, [], [], []
 
