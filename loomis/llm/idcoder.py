@@ -21,12 +21,14 @@ import zlib
 
 import numpy as np
 
-MAGIC = b"LCM1"
+MAGIC = b"LCM2"
 LANE_STEPS = 256        # ids in a lane, about
 MAX_LANES = 4096
 REFRESH = 8             # steps between updates of the order-0 frequencies
 T_BITS, F_BITS = 24, 18  # total of the mixture, total of order 0
 PAIR_BITS = 20          # slots of the order-2 table
+# Confidence after a miss (first 16) and after a hit, by confidence before.
+CONF = np.array([1, 1] + [c >> 1 for c in range(2, 16)] + [min(c + 1, 15) for c in range(16)], np.int64)
 _U = np.uint64
 
 
@@ -39,8 +41,9 @@ class Model:
         self.vocab = vocab
         self.counts = np.zeros(vocab, np.int64)
         self.recent: list[np.ndarray] = []
-        self.id1, self.conf1 = np.zeros(vocab, np.int32), np.zeros(vocab, np.int8)
-        self.id2, self.conf2 = np.zeros(1 << PAIR_BITS, np.int32), np.zeros(1 << PAIR_BITS, np.int8)
+        # Predicted id and, in the low four bits, its confidence.
+        self.order1 = np.zeros(vocab, np.int32)
+        self.order2 = np.zeros(1 << PAIR_BITS, np.int32)
         self.prev1 = np.zeros(lanes, np.int64)
         self.prev2 = np.zeros(lanes, np.int64)
         self.tries = np.zeros(512, np.int64)   # by conf1, conf2 and agreement
@@ -61,53 +64,60 @@ class Model:
     def predict(self) -> None:
         """Set this step's predicted ids (a <= b) and masses."""
         self.slot = ((self.prev2 * 0x9E3779B1 + self.prev1 * 0x85EBCA6B) >> 7) & ((1 << PAIR_BITS) - 1)
-        self.p1, self.c1 = self.id1[self.prev1], self.conf1[self.prev1]
-        self.p2, self.c2 = self.id2[self.slot], self.conf2[self.slot]
+        e1, e2 = self.order1[self.prev1].astype(np.int64), self.order2[self.slot].astype(np.int64)
+        self.p1, self.c1 = e1 >> 4, e1 & 15
+        self.p2, self.c2 = e2 >> 4, e2 & 15
         same = self.p1 == self.p2
-        self.state = (same * 256 + self.c1.astype(np.int64) * 16 + self.c2)
+        self.state = same * 256 + (self.c1 << 4) + self.c2
         spare = (1 << T_BITS) - (1 << F_BITS)
-        share = (spare // (2 * self.tries + 6))
-        w1 = (share * (2 * self.hits1 + 1))[self.state]
-        w2 = (share * (2 * self.hits2 + 1))[self.state]
-        w1[same] = 0
-        first = self.p1 < self.p2
-        self.a, self.b = np.where(first, self.p1, self.p2), np.where(first, self.p2, self.p1)
-        self.wa, self.wb = np.where(first, w1, w2), np.where(first, w2, w1)
-        self.w0 = (1 << T_BITS) - w1 - w2
+        share = spare // (2 * self.tries + 6)
+        w1, w2 = share * (2 * self.hits1 + 1), share * (2 * self.hits2 + 1)
+        w1[256:] = 0  # one id, predicted by both: order 2 speaks for it
+        w1, w2 = w1[self.state], w2[self.state]
+        both = w1 + w2
+        self.a, self.b = np.minimum(self.p1, self.p2), np.maximum(self.p1, self.p2)
+        self.wa = np.where(self.p1 < self.p2, w1, w2)
+        self.wb = both - self.wa
+        self.w0 = (1 << T_BITS) - both
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(cumulative, frequency) of the ids out of 2**T_BITS."""
         lo = (self.cum[ids] * self.w0) >> F_BITS
-        hi = (self.cum[ids + 1] * self.w0) >> F_BITS
-        lo += np.where(ids > self.a, self.wa, 0) + np.where(ids > self.b, self.wb, 0)
-        hi += np.where(ids >= self.a, self.wa, 0) + np.where(ids >= self.b, self.wb, 0)
-        return lo, hi - lo
+        freq = ((self.cum[ids + 1] * self.w0) >> F_BITS) - lo
+        lo += (ids > self.a) * self.wa
+        lo += (ids > self.b) * self.wb
+        freq += (ids == self.a) * self.wa
+        freq += (ids == self.b) * self.wb
+        return lo, freq
 
     def find(self, t: np.ndarray) -> np.ndarray:
         """The id whose interval holds ``t``."""
-        lo_a, n_a = self.interval(self.a)
-        lo_b, n_b = self.interval(self.b)
-        at_a, at_b = (t >= lo_a) & (t < lo_a + n_a), (t >= lo_b) & (t < lo_b + n_b)
-        t0 = t - np.where(t >= lo_a + n_a, self.wa, 0) - np.where(t >= lo_b + n_b, self.wb, 0)
-        u = (((t0 + 1) << F_BITS) - 1) // self.w0
-        ids = self.inverse[np.clip(u, 0, (1 << F_BITS) - 1)].astype(np.int64)
-        ids[at_b] = self.b[at_b]
-        ids[at_a] = self.a[at_a]
+        end_a = ((self.cum[self.a + 1] * self.w0) >> F_BITS) + self.wa
+        end_b = ((self.cum[self.b + 1] * self.w0) >> F_BITS) + self.wa + self.wb
+        past_a, past_b = t >= end_a, t >= end_b
+        # Without the predictions' own shares, order 0 alone places the rest.
+        u = (((t - past_a * self.wa - past_b * self.wb + 1) << F_BITS) - 1) // self.w0
+        ids = self.inverse[np.minimum(u, (1 << F_BITS) - 1)].astype(np.int64)
+        at_b = ~past_b & (t >= ((self.cum[self.b] * self.w0) >> F_BITS) + self.wa)
+        at_b &= self.b > self.a
+        at_a = ~past_a & (t >= (self.cum[self.a] * self.w0) >> F_BITS)
+        np.copyto(ids, self.b, where=at_b)
+        np.copyto(ids, self.a, where=at_a)
         return ids
 
     def update(self, ids: np.ndarray, n: int, step: int) -> None:
         """Learn the first ``n`` lanes' ids."""
         i = ids[:n]
-        s, k1, k2 = self.state[:n], self.prev1[:n], self.slot[:n]
-        ok1, ok2 = self.p1[:n] == i, self.p2[:n] == i
-        self.tries += np.bincount(s, minlength=512)
-        self.hits1 += np.bincount(s[ok1], minlength=512)
-        self.hits2 += np.bincount(s[ok2], minlength=512)
-        for key, ok, old, table, conf in ((k1, ok1, self.c1[:n], self.id1, self.conf1),
-                                          (k2, ok2, self.c2[:n], self.id2, self.conf2)):
-            change = ~ok & (old <= 1)
-            table[key[change]] = i[change]
-            conf[key] = np.where(ok, np.minimum(old + 1, 15), np.where(old <= 1, 1, old >> 1))
+        k1, k2 = self.prev1[:n], self.slot[:n]
+        p1, p2, c1, c2 = self.p1[:n], self.p2[:n], self.c1[:n], self.c2[:n]
+        ok1, ok2 = p1 == i, p2 == i
+        seen = np.bincount(self.state[:n] * 4 + ok1 * 2 + ok2, minlength=2048).reshape(512, 4)
+        self.tries += seen.sum(1)
+        self.hits1 += seen[:, 2] + seen[:, 3]
+        self.hits2 += seen[:, 1] + seen[:, 3]
+        # A miss at low confidence gives the place to the id that came.
+        self.order1[k1] = (np.where(c1 <= 1, i, p1) << 4) + CONF[ok1 * 16 + c1]
+        self.order2[k2] = (np.where(c2 <= 1, i, p2) << 4) + CONF[ok2 * 16 + c2]
         self.recent.append(i)
         self.prev2[:n], self.prev1[:n] = k1.copy(), i
         if (step + 1) % REFRESH == 0:
@@ -121,10 +131,10 @@ def _lanes(n: int) -> tuple[int, int]:
 
 def _renorm(low, rng):
     """Lanes that put out a word, after cutting ranges that straddle one."""
-    out = rng < _U(1 << 32)
-    if out.any():
-        straddle = out & (((low ^ (low + rng - _U(1))) >> _U(32)) != 0)
-        rng[straddle] = _U(1 << 32) - (low[straddle] & _U(0xFFFFFFFF))
+    out = np.flatnonzero(rng < _U(1 << 32))
+    l, g = low[out], rng[out]
+    straddle = ((l ^ (l + g - _U(1))) >> _U(32)) != 0
+    rng[out] = np.where(straddle, _U(1 << 32) - (l & _U(0xFFFFFFFF)), g)
     return out
 
 
@@ -153,7 +163,7 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
         low[:k] += r * lo[:k].astype(_U)
         rng[:k] = r * freq[:k].astype(_U)
         l, g = low[:k], rng[:k]
-        out = np.flatnonzero(_renorm(l, g))
+        out = _renorm(l, g)
         words[out, count[out]] = (l[out] >> _U(32)).astype(np.uint32)
         count[out] += 1
         l[out] <<= _U(32)
@@ -198,7 +208,7 @@ def decode_block(data: bytes) -> np.ndarray:
         low[:k] += r[:k] * lo[:k].astype(_U)
         rng[:k] = r[:k] * freq[:k].astype(_U)
         l, g = low[:k], rng[:k]
-        out = np.flatnonzero(_renorm(l, g))
+        out = _renorm(l, g)
         l[out] <<= _U(32)
         g[out] <<= _U(32)
         code[out] = (code[out] << _U(32)) | body[np.minimum(at[out], len(body) - 1)]
