@@ -11,15 +11,17 @@ version, and all texts under a tokenizer of another kind.
 
 from __future__ import annotations
 
+import gc
 import json
 import unicodedata
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import regex
 from tokenizers import Tokenizer
 
 CACHE_PIECES = 1_000_000
-BATCH_PIECES = 2048
 PLAIN_MARKS = ".,;:!?"
 # Fixed value: the pattern of the byte-level pre-tokenizer.
 PIECE_RE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -44,6 +46,13 @@ def _steady(ch: str) -> bool:
     return old[0] == new[0] and old[0] in "LNPSM"
 
 
+def _cut(part: str) -> list[str]:
+    """Pieces of a part; a word with a mark, the usual case, without the pattern."""
+    if part[0] == " " and part[-1] in PLAIN_MARKS and part[1:-1].isalpha():
+        return [part[:-1], part[-1]]
+    return PIECE_RE.findall(part)
+
+
 class PieceTokenizer:
     """Ids of whole texts as little-endian bytes, 16 or 32 bits each."""
 
@@ -55,15 +64,11 @@ class PieceTokenizer:
         self.steady: set[str] = set()
         self.letters = byte_letters()
         self.model = self.lib.model
-        self.merger = Tokenizer(self.model)  # the library's merges alone, for pieces
         spec = json.loads(self.lib.to_str())
         cut, model = spec.get("pre_tokenizer") or {}, spec["model"]
         self.by_piece = (cut.get("type") == "ByteLevel" and not cut.get("add_prefix_space")
                          and cut.get("use_regex", True) and not spec.get("normalizer")
                          and model["type"] == "BPE" and not model.get("dropout"))
-        line = self.model.tokenize(self.letters[10]) if self.by_piece else []
-        self.by_piece = len(line) == 1
-        self.line = line[0].id if line else None
         special = [t["content"] for t in spec.get("added_tokens", [])]
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
 
@@ -72,49 +77,40 @@ class PieceTokenizer:
         return [np.array(e.ids, self.kind).tobytes()
                 for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _cut(self, part: str) -> list[str] | None:
-        """Pieces of a part; None if they may differ between versions."""
-        if not self.steady.issuperset(part):
-            fresh = set(part) - self.steady
-            if not all(map(_steady, fresh)):
-                return None
-            self.steady |= fresh
-        if part[0] == " ":  # the usual cases without the pattern: letters, and letters with a mark
-            if part[1:].isalpha():
-                return [part]
-            if part[-1] in PLAIN_MARKS and part[1:-1].isalpha():
-                return [part[:-1], part[-1]]
-        return PIECE_RE.findall(part)
-
-    def _spell(self, piece: str) -> str:
-        """A piece in the letters of the byte-level alphabet."""
-        return piece.encode().decode("latin-1").translate(self.letters)
-
     def _learn(self, parts: set[str]) -> None:
-        """Keep the ids of new parts, except those that may be cut differently."""
+        """Keep the ids of new parts, except those that may be cut differently
+        between versions."""
         if len(self.cache) + len(parts) > self.limit:
             self.cache.clear()
-        cuts = {p: c for p in parts if (c := self._cut(p)) is not None}
-        new = {piece for c in cuts.values() for piece in c if piece not in self.cache}
-        lines = [p for p in new if "\n" in p]
-        for piece in lines:
-            self.cache[piece] = np.array([t.id for t in self.model.tokenize(self._spell(piece))], self.kind).tobytes()
-        # The others in few calls; a line feed, which none of them holds, ends each.
-        plain = list(new.difference(lines))
-        mark, width = self.letters[10], self.kind.itemsize
-        groups = [plain[i:i + BATCH_PIECES] for i in range(0, len(plain), BATCH_PIECES)]
-        spelled = [[x for p in g for x in (self._spell(p), mark)] for g in groups]
-        for group, e in zip(groups, self.merger.encode_batch_fast(spelled, is_pretokenized=True,
-                                                                  add_special_tokens=False)):
-            ids = np.array(e.ids, self.kind)
-            raw, x = ids.tobytes(), 0
-            for piece, y in zip(group, (np.flatnonzero(ids == self.line) * width).tolist(), strict=True):
-                self.cache[piece] = raw[x:y]
-                x = y + width
+        fresh = set().union(*parts) - self.steady
+        doubt = {c for c in fresh if not _steady(c)}
+        self.steady |= fresh - doubt
+        if doubt:
+            parts = {p for p in parts if doubt.isdisjoint(p)}
+        single = {p for p in parts if p[0] == " " and p[1:].isalpha()}
+        cuts = {p: _cut(p) for p in parts - single}
+        new = list(single.union(*cuts.values()).difference(self.cache))
+        # All spelled in one go; NUL, which one of them may hold, parts them.
+        if any("\0" in p for p in new):
+            spelled = [self._spell(p) for p in new]
+        else:
+            spelled = self._spell("\0".join(new)).split(self.letters[0])
+        flat, ends, merge = [], [], self.model.tokenize
+        for s in spelled if new else []:
+            flat += [t.id for t in merge(s)]
+            ends.append(len(flat))
+        raw, width, x = np.array(flat, self.kind).tobytes(), self.kind.itemsize, 0
+        for piece, y in zip(new, ends):
+            self.cache[piece] = raw[x * width:y * width]
+            x = y
         for part, c in cuts.items():
             if len(c) > 1:
                 self.cache[part] = b"".join([self.cache[piece] for piece in c])
 
+    def _spell(self, pieces: str) -> str:
+        """Text in the letters of the byte-level alphabet."""
+        return pieces.encode().decode("latin-1").translate(self.letters)
+
     def _parts(self, text: str) -> list[str]:
         if _RUNS.search(text):
             return PIECE_RE.findall(text)
@@ -122,7 +118,17 @@ class PieceTokenizer:
         return ([first] if first else []) + [" " + w for w in more]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text."""
+        """Ids of each text.  The lists made on the way form no cycles, so the
+        collector, which would walk over all of them again and again, waits."""
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if on:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         out: list = [b""] * len(texts)
         whole, parts = [], {}
         for i, t in enumerate(texts):
@@ -130,18 +136,25 @@ class PieceTokenizer:
                 whole.append(i)
             elif t:
                 parts[i] = self._parts(t)
-        new = {p for ps in parts.values() for p in ps if p not in self.cache}
+        get, new, short = self.cache.get, set(), []
+        for i, ps in parts.items():
+            found = list(map(get, ps))
+            if None in found:
+                new.update(compress(ps, map(not_, found)))
+                short.append(i)
+            else:
+                out[i] = b"".join(found)
         if new:
             before = len(self.cache)
             self._learn(new)
             if len(self.cache) < before:  # emptied: parts known before are gone
-                self._learn({p for ps in parts.values() for p in ps if p not in self.cache})
-        get = self.cache.__getitem__
-        for i, ps in parts.items():
-            try:
-                out[i] = b"".join(map(get, ps))
-            except KeyError:
+                self._learn({p for i in short for p in parts[i] if p not in self.cache})
+        for i in short:
+            found = list(map(get, parts[i]))
+            if None in found:
                 whole.append(i)
+            else:
+                out[i] = b"".join(found)
         for i, raw in zip(whole, self.whole([texts[i] for i in whole])):
             out[i] = raw
         return out
