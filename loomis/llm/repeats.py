@@ -8,18 +8,23 @@ looked at.  The steps:
 
 1. texts are packed into chunks, a table bucketed by chunk, so that later joins
    on the chunk move only the other side;
-2. chunks send their anchors' hashes (32 bits, dealt to buckets) and get back a
-   bit for each: found elsewhere or not;
+2. chunks send their anchors' hashes (32 bits, dealt to buckets) and get back
+   two bits for each: found elsewhere or not, and crowded (more than CROWD
+   occurrences in the corpus) or not;
 3. chunks send the pieces of text around the anchors that were found (the
-   windows an anchor stands for), each different piece once;
+   windows an anchor stands for), each different piece once; a crowded anchor's
+   windows are sent one by one, dealt by their own bytes;
 4. a bucket builds the suffix array of its pieces' window starts with their
    common-prefix lengths, scans it with a stack for the intervals of common
    prefixes, keeps those whose members differ to the left (maximal repeats) and
    reports each with all its occurrences;
 5. a chunk gets the spans to remove and cuts them out.
 
-Hot passages cost one piece a chunk: a chunk folds its equal pieces and settles
-all but the smallest document's itself.  A repeat longer than an anchor's
+Hot passages cost one piece a chunk (one for each window if they are crowded):
+a chunk folds its equal pieces and settles all but the smallest document's
+itself.  Pieces at a passage's edge differ with what surrounds it; there the
+windows of a crowded anchor spread over the buckets, so no suffix array holds
+more than CROWD pieces of an anchor.  A repeat longer than an anchor's
 windows is reported piecewise; the pieces overlap, so their union is whole.
 
 Defined cases: null and empty texts, and texts shorter than ``span``, have
@@ -32,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +51,7 @@ SPAN = 50
 GRAM = 32
 CHUNK_BYTES = 4 << 20
 BLOCK_BYTES = 1 << 19
+CROWD = 1 << 14  # occurrences of an anchor that meet in one suffix array, at most
 NULL_ID = np.iinfo(np.int64).max
 _U = np.uint64
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
@@ -110,6 +117,21 @@ def _listed(h: np.ndarray, buckets: int):
     return np.unique((b.astype(_U) << _U(32)) | r, return_inverse=True, return_counts=True)
 
 
+def spread(data: np.ndarray, h: np.ndarray, j0: np.ndarray, j1: np.ndarray, crowded: np.ndarray, span: int = SPAN):
+    """Anchors (hash, first window, last window) with each crowded one replaced
+    by its windows, which get the hash of their own bytes."""
+    n = (j1 - j0 + 1)[crowded]
+    at = np.repeat(j0[crowded], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    own = np.zeros(len(at), _U)
+    for i in range(span):
+        own = own * _U(_MIX[0]) + data[at + i] + _U(1)
+    own ^= own >> _U(29)
+    own *= _U(_MIX[1])
+    own ^= own >> _U(32)
+    rest = ~crowded
+    return np.concatenate((h[rest], own)), np.concatenate((j0[rest], at)), np.concatenate((j1[rest], at))
+
+
 # -- suffix array of pieces ---------------------------------------------------
 
 def lcp_intervals(lcp: list[int], least: int) -> list[tuple[int, int, int]]:
@@ -139,7 +161,7 @@ def maximal_repeats(pieces: list[bytes], starts: list[int], span: int = SPAN):
     for i, p in enumerate(pieces):
         table[i, :len(p)] = np.frombuffer(p, np.uint8)
     size = np.array([len(p) for p in pieces])[pid] - off
-    suffix = table[pid[:, None], off[:, None] + np.arange(width)]
+    suffix = np.lib.stride_tricks.sliding_window_view(table, width, axis=1)[pid, off]
     order = np.argsort(np.ascontiguousarray(suffix).view(f"V{width}").ravel(), kind="stable")
     suffix, pid, off, size = suffix[order], pid[order], off[order], size[order]
     differ = suffix[1:] != suffix[:-1]
@@ -227,7 +249,7 @@ def _load(r) -> tuple[np.ndarray, np.ndarray]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", span: int = SPAN,
-                   gram: int = GRAM) -> DataFrame:
+                   gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, spans, kept_sha256) per row: every
     byte covered by a ``span``-byte string that also starts in a document with
     a smaller id is removed; ``spans`` are the removed runs (start, end)."""
@@ -243,26 +265,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 keys, _, n = _listed(anchors(*_load(r), span, gram)[0], buckets)
                 where = np.searchsorted(keys >> _U(32), np.arange(buckets + 1, dtype=_U))
                 rows = [(k, r["chunk"], (keys[x:y] & _U(0xFFFFFFFF)).astype("<u4").tobytes(),
-                         np.packbits(n[x:y] > 1).tobytes())
+                         zlib.compress(np.minimum(n[x:y], 65535).astype("<u2").tobytes(), 1))
                         for k, (x, y) in enumerate(zip(where[:-1].tolist(), where[1:].tolist())) if y > x]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([v[0] for v in rows], pa.int32()), pa.array([v[1] for v in rows], pa.int64()),
                      pa.array([v[2] for v in rows], pa.binary()), pa.array([v[3] for v in rows], pa.binary())],
-                    names=["bucket", "chunk", "hashes", "twice"])
+                    names=["bucket", "chunk", "hashes", "counts"])
 
     def found_bits(t: pa.Table) -> pa.Table:
         each = [np.frombuffer(x, "<u4") for x in t["hashes"].to_pylist()]
-        twice = [np.unpackbits(np.frombuffer(x, np.uint8))[:len(e)] for x, e in zip(t["twice"].to_pylist(), each)]
-        _, inverse, n = np.unique(np.concatenate(each), return_inverse=True, return_counts=True)
-        hot = (n > 1)[inverse] | (np.concatenate(twice) > 0)
+        times = np.concatenate([np.frombuffer(zlib.decompress(x), "<u2") for x in t["counts"].to_pylist()])
+        _, inverse = np.unique(np.concatenate(each), return_inverse=True)
+        n = np.bincount(inverse, times)[inverse]
         ends = np.cumsum([len(e) for e in each])
-        bits = [np.packbits(hot[e - len(x):e]).tobytes() for e, x in zip(ends.tolist(), each)]
-        return pa.table({"bucket": t["bucket"], "chunk": t["chunk"], "bits": pa.array(bits, pa.binary())})
+        bits, crowds = ([np.packbits(v[e - len(x):e]).tobytes() if v[e - len(x):e].any() else b""
+                         for e, x in zip(ends.tolist(), each)] for v in (n > 1, n > crowd))
+        return pa.table({"bucket": t["bucket"], "chunk": t["chunk"], "bits": pa.array(bits, pa.binary()),
+                         "crowds": pa.array(crowds, pa.binary())})
 
     bits = chunks.select("chunk", "sizes", "data").mapInArrow(
-        send_hashes, "bucket int, chunk bigint, hashes binary, twice binary") \
-        .groupBy("bucket").applyInArrow(found_bits, "bucket int, chunk bigint, bits binary") \
-        .groupBy(F.col("chunk").alias("b_chunk")).agg(F.collect_list(F.struct("bucket", "bits")).alias("bits"))
+        send_hashes, "bucket int, chunk bigint, hashes binary, counts binary") \
+        .groupBy("bucket").applyInArrow(found_bits, "bucket int, chunk bigint, bits binary, crowds binary") \
+        .groupBy(F.col("chunk").alias("b_chunk")).agg(F.collect_list(F.struct("bucket", "bits", "crowds")).alias("bits"))
 
     def send_pieces(batches):
         for b in batches:
@@ -271,18 +295,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 h, j0, j1 = anchors(data, offsets, span, gram)
                 keys, inverse, _ = _listed(h, buckets)
                 where = np.searchsorted(keys >> _U(32), np.arange(buckets + 1, dtype=_U))
-                hot = np.zeros(len(keys), bool)
+                hot, crowded = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
                 for x in r["bits"]:
                     a, e = where[x["bucket"]], where[x["bucket"] + 1]
-                    hot[a:e] = np.unpackbits(np.frombuffer(x["bits"], np.uint8))[:e - a] > 0
+                    for mark, got in ((hot, x["bits"]), (crowded, x["crowds"])):
+                        if got:
+                            mark[a:e] = np.unpackbits(np.frombuffer(got, np.uint8))[:e - a] > 0
                 pick = np.flatnonzero(hot[inverse])
+                h, j0, j1 = spread(data, h[pick], j0[pick], j1[pick], crowded[inverse[pick]], span)
                 ids = np.array([NULL_ID if d is None else d for d in r["ids"]], np.int64)
-                doc = ids[np.searchsorted(offsets, j0[pick], side="right") - 1]
-                bucket, rem = _dealt(h[pick], buckets)
-                j0, j1 = j0[pick], j1[pick]
+                doc = ids[np.searchsorted(offsets, j0, side="right") - 1]
+                bucket, rem = _dealt(h, buckets)
                 raw, stop = r["data"], (j1 + span).tolist()
                 pieces = [raw[x:y] for x, y in zip(j0.tolist(), stop)]
-                keep, gone = fold(h[pick].tolist(), doc.tolist(), pieces)
+                keep, gone = fold(h.tolist(), doc.tolist(), pieces)
                 done = np.array([(j0[i], stop[i]) for i in gone], "<i4").tobytes()
                 keep = np.array(keep, np.int64)
                 keep = keep[np.argsort(bucket[keep], kind="stable")]

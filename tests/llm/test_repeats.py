@@ -80,3 +80,29 @@ def test_maximal_repeats_have_all_occurrences():
     same_left = [b"xabcdef1", b"xabcdef2"]
     found = list(maximal_repeats(same_left, [2, 2], span=5))
     assert [n for n, _ in found] == [7]  # "abcdef" extends to the left: not maximal
+
+
+def licensed(n):
+    rng = np.random.default_rng(9)
+    line = "".join(chr(97 + x) for x in rng.integers(0, 26, 60))
+    sides = rng.integers(0, 26, (n, 2, 40)) + 97
+    return [bytes(a.tolist()).decode() + line + bytes(b.tolist()).decode() for a, b in sides]
+
+
+def test_crowded_anchors(spark):
+    # A 60-byte line between unique bytes, in more documents than may meet in one suffix array.
+    texts = licensed(3000) + passages(3)
+    assert got(remove_repeats(docs_of(spark, texts), crowd=50)) == brute(list(enumerate(texts)))
+
+
+def test_edge_pieces_of_a_crowded_anchor_spread():
+    texts = [t.encode() for t in licensed(3000)]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    h, j0, j1 = repeats.anchors(data, np.arange(len(texts) + 1) * 140)
+    key, inverse, n = np.unique(h, return_inverse=True, return_counts=True)
+    assert len({data[a:b + 50].tobytes() for a, b in zip(j0[h == key[n.argmax()]], j1[h == key[n.argmax()]])}) > 1000
+    h, j0, j1 = repeats.spread(data, h, j0, j1, (n > 100)[inverse])
+    groups = {}
+    for k, a, b in zip(h.tolist(), j0.tolist(), j1.tolist()):
+        groups.setdefault(k, set()).add(data[a:b + 50].tobytes())
+    assert max(map(len, groups.values())) <= 100
