@@ -3,9 +3,9 @@ decontamination, mixing to target weights, token-id output.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's docs.  All but the last return
-the columns of ``documents``.  A document is a doc_id: rows that share one stay
-together in the quality and decontamination stages (kept if any of them is),
-and the near-duplicate stage leaves one row of each group.
+the columns of ``documents``.  Every row is decided on its own, by a key made of
+all its columns (null and repeated ids are no exception); rows with one key are
+equal in every column, so it does not matter which of them stays.
 """
 
 from __future__ import annotations
@@ -24,39 +24,61 @@ from loomis.llm.simhash import simhash_groups
 from loomis.session import scratch_path
 
 
-def _with_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id (null included) is in ``ids``.  Both sides
-    meet by doc_id, which is a key, so no partition is larger than its share."""
-    return docs.join(ids.select(F.col("doc_id").alias("k_id")), F.col("doc_id").eqNullSafe(F.col("k_id")), "left_semi")
+KEY = "k_row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with a key for each row: in the order of doc_id (null last),
+    then two hashes of all columns.  Depends on the row only, not on the run."""
+    cols = [F.col(c) for c in docs.columns] + [F.col(c).isNull() for c in docs.columns]
+    return docs.withColumn(KEY, F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"),
+        F.xxhash64(*cols).alias("h"), F.xxhash64(F.lit(1), *cols).alias("h2")))
+
+
+def _by_key(keyed: DataFrame) -> DataFrame:
+    """The rows with their key as doc_id."""
+    return keyed.withColumn("doc_id", F.col(KEY)).drop(KEY)
+
+
+def _with_keys(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """Rows whose key is the doc_id of a row of ``keys``."""
+    return keyed.join(keys.select(F.col("doc_id").alias("k_key")), F.col(KEY).eqNullSafe(F.col("k_key")), "left_semi")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go."""
     prepare(spark)
-    return _with_ids(docs, quality_rules(docs).where("kept"))
+    keyed = _keyed(docs)
+    return _with_keys(keyed, quality_rules(_by_key(keyed)).where("kept")).drop(KEY)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group of near-duplicates stays."""
+    """The row with the smallest doc_id (then hash) of each group of
+    near-duplicates stays."""
     prepare(spark)
-    groups = simhash_groups(docs)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id")
-    return _with_ids(docs, first).dropDuplicates(["doc_id"])
+    keyed = _keyed(docs)
+    first = simhash_groups(_by_key(keyed)).where("doc_id = component_id")
+    return _with_keys(keyed, first).dropDuplicates([KEY]).drop(KEY)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark windows go."""
     prepare(spark)
-    found = decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _with_ids(docs, found.where(F.size("ranges") == 0))
+    keyed = _keyed(docs)
+    found = decontaminate(_by_key(keyed), table(spark, sf_dir, "benchmark"))
+    return _with_keys(keyed, found.where(F.size("ranges") == 0)).drop(KEY)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the target mixture takes it."""
+    """Every document as often as the target mixture takes it; equal rows
+    together as often as it takes all of them."""
     prepare(spark)
-    copies = mix(docs).where("copies > 0").select(F.col("doc_id").alias("k_id"), "copies")
-    return docs.join(copies, F.col("doc_id").eqNullSafe(F.col("k_id"))) \
-        .withColumn("k_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+    keyed = _keyed(docs).withColumn(KEY, F.to_json(KEY))
+    copies = mix(_by_key(keyed)).where("copies > 0").groupBy(F.col("doc_id").alias("k_key")) \
+        .agg(F.sum("copies").alias("k_copies"))
+    return keyed.dropDuplicates([KEY]).join(copies, F.col(KEY) == F.col("k_key")) \
+        .withColumn("k_copy", F.explode(F.sequence(F.lit(1), F.col("k_copies").cast("int")))).select(*docs.columns)
 
 
 def token_output_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

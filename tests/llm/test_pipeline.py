@@ -94,3 +94,37 @@ def test_empty_documents(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, docs, str(tmp_path))
         assert out.agg(F.count("*")).first()[0] == 0
+
+
+def test_null_and_repeated_ids(spark, tmp_path):
+    # Different texts without an id or with one id are documents of their own in every stage.
+    make(spark, str(tmp_path))
+    rng = random.Random(23)
+    v = [f"{a}{b}" for a in ("tor", "mel", "Kas", "win", "dor") for b in range(60)]
+    item = spark.read.parquet(f"{tmp_path}/benchmark.parquet").where("item_id = 0").first().text
+    rows, bad, leaky = [], [], []
+    for i, d in [(i, d) for d in (None, 7, 8) for i in range(20)]:
+        t = " ".join(rng.choice(v) for _ in range(60))
+        rows.append((d, t, "en", f"s{i % 4}", len(t)))
+    for d in (None, 7):
+        bad.append((d, "too short", "en", "s1", 9))
+        t = rows[0][1][:120] + f" {item} " + rows[1][1][:120]
+        leaky.append((d, t, "en", "s1", len(t)))
+    copies = [(None, *rows[25][1:]), rows[45], rows[3]]  # of a row with id 7, one with id 8, one without id
+
+    def docs(rs):
+        return spark.createDataFrame(rs, "doc_id long, text string, lang string, source string, n_chars long")
+
+    def after(stage, rs):
+        return Counter(map(tuple, stage(spark, docs(rs), str(tmp_path)).collect()))
+    want = Counter(rows)
+    assert after(corpus_pipeline.quality_stage, rows + bad) == want
+    assert after(corpus_pipeline.decontamination_stage, rows + leaky) == want
+    assert after(corpus_pipeline.near_duplicate_stage, rows + copies) == want
+    assert after(corpus_pipeline.near_duplicate_stage, (rows + copies)[::-1]) == want
+    mixed = after(corpus_pipeline.mixing_stage, rows)
+    assert set(mixed) <= want.keys() and max(mixed.values()) <= 2
+    twice = after(corpus_pipeline.mixing_stage, rows + rows)
+    assert set(twice) <= want.keys() and max(twice.values()) <= 4
+    words = 60 * sum(mixed.values())
+    assert words <= 1.5 * 60 * len(rows) + 60 * 4 and sum(twice.values()) > 1.6 * sum(mixed.values())
