@@ -110,7 +110,9 @@ FROM events GROUP BY user_id, date_trunc('day', ts)""")
 def stream_run_metrics(spark, sf):
     base = scratch_path(spark, "streams", uuid.uuid4().hex)
     ev = b.table(spark, sf, "events").select(F.col("user_id").alias("run"), "ts", F.col("value").alias("loss"))
-    chunk = F.floor((F.dayofmonth("ts") - 1) / 10).cast("int")
+    t0 = ev.select(F.min(F.unix_timestamp(F.col("ts").cast("timestamp")))).scalar()
+    # ten-day files in event order, so that no row is behind the watermark
+    chunk = F.floor((F.unix_timestamp(F.col("ts").cast("timestamp")) - t0) / 864000).cast("int")
     _replay(spark, ev.withColumn("_chunk", chunk), "_chunk", f"{base}/in", lambda: st.run_to_completion(
         st.stream_run_metrics(st.file_stream(spark, f"{base}/in", _schema(ev))), f"{base}/out", f"{base}/ckpt",
         mode="update", by_batch=True))

@@ -89,3 +89,17 @@ def test_clear_is_exact(spark):
     stream = st.file_stream(spark, f"{base}/in", "conv_id long, turn long, role string, text string")
     st.run_to_completion(st.stream_chat_state(stream), f"{base}/out", f"{base}/ckpt")
     assert [r.event for r in spark.read.parquet(f"{base}/out").orderBy("turn").collect()] == ["turn", "turn", "cleared"]
+
+
+def test_run_metrics_of_two_months(spark, tmp_path):
+    import datetime as dt
+
+    t0 = dt.datetime(2024, 1, 1, 9)
+    rows = [(i % 3, t0 + dt.timedelta(hours=6 * i), float(i)) for i in range(4 * 60)]
+    spark.createDataFrame(rows, "user_id long, ts timestamp_ntz, value double").write.parquet(f"{tmp_path}/events.parquet")
+    want = {}
+    for u, t, v in rows:
+        want.setdefault((u, f"{t:%Y-%m-%d} 00:00:00"), []).append(v)
+    got = {(r.run, r.window_start): (r.n, r.min_loss, r.mean_loss)
+           for r in q_streams.stream_run_metrics(spark, str(tmp_path)).collect()}
+    assert got == {k: (len(v), min(v), round(sum(v) / len(v), 6)) for k, v in want.items()}
