@@ -76,3 +76,95 @@ q_verdict AS MATERIALIZED (
 
 def quality_sql() -> str:
     return f"WITH {quality_ctes()} SELECT * FROM q_verdict"
+
+
+def interaction_sql() -> str:
+    """All orders are walked document by document: a filter removes what it
+    fails and no earlier filter of the order has removed."""
+    return rf"""
+WITH base AS (
+  SELECT d.doc_id, coalesce(d.source, '') AS part, coalesce(d.text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(d.text, ''), '{_SPACE}'), lambda x: x <> '') AS w,
+         coalesce(l.quality = 1, false) AS good, coalesce(l.toxic = 1, false) AS toxic
+  FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id) l
+    ON d.doc_id = l.doc_id),
+fails AS MATERIALIZED (
+  SELECT part, good, toxic, len(w) < 200 AS fa, 100 * len(list_distinct(w)) < 50 * len(w) AS fb,
+         100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 2 * length(t) AS fc,
+         regexp_matches(t, '[#$%&*|]') AS fd,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS fe
+  FROM base),
+kinds AS (SELECT part, good, toxic, [fa, fb, fc, fd, fe] AS f, count(*) AS n FROM fails GROUP BY ALL),
+letters AS (SELECT unnest([1, 2, 3, 4, 5]) AS x),
+orders AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o,
+         array_to_string([chr(64 + a.x), chr(64 + b.x), chr(64 + c.x), chr(64 + d.x), chr(64 + e.x)], '') AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT filter_order, o, unnest([1, 2, 3, 4, 5]) AS step FROM orders),
+parts AS (SELECT DISTINCT part FROM fails),
+counted AS (
+  SELECT part, filter_order, step, o[step] AS own,
+         sum(CASE WHEN gone THEN 0 WHEN f[o[step]] THEN 0 ELSE n END) AS kept,
+         sum(CASE WHEN NOT gone AND f[o[step]] THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN gone AND f[o[step]] THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN f[o[step]] AND len(list_filter(f, lambda y: y)) = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND f[o[step]] AND good THEN n ELSE 0 END) AS good_lost,
+         sum(CASE WHEN NOT gone AND f[o[step]] AND toxic THEN n ELSE 0 END) AS toxic_lost
+  FROM (SELECT *, len(list_filter(o[1:step - 1], lambda y: f[y])) > 0 AS gone FROM kinds, steps)
+  GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+       {", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))},
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM counted"""
+
+
+def _field(name: str, column: str | None = None) -> str:
+    column = column or name
+    return (f"CASE WHEN {column} IS NULL THEN '-' ELSE CAST(octet_length(encode(CAST({column} AS VARCHAR))) AS VARCHAR) "
+            f"|| ':' || CAST({column} AS VARCHAR) END")
+
+
+def manifest_sql(levels: int = 12) -> str:
+    """Trees as lists of digests, one list for each of ``levels`` levels (8 **
+    ``levels`` leaves), and every leaf folded upwards level by level.  DuckDB
+    has no crc32: it is computed bit by bit."""
+    crc = ("xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), "
+           "lambda b: [ascii(b), -1, -1, -1, -1, -1, -1, -1, -1]))), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) "
+           "ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)")
+    fields = ("doc_id", "source", "lang", "n_chars")
+    head = " || ".join(_field(f) for f in fields)
+    up = lambda k: (f"CASE WHEN len(l{k}) < 2 THEN l{k} ELSE list_transform(range(0, (len(l{k}) + 7) // 8), "
+                    f"lambda j: sha256(array_to_string(l{k}[j * 8 + 1:j * 8 + 8], ''))) END AS l{k + 1}")
+    ctes = [f"""leafs AS (
+  SELECT doc_id, lang, sha256({head} || {_field("text")}) AS h,
+         CASE WHEN coalesce({crc} % 3 = 0, false) THEN sha256({head} || {_field("text", "lowered")}) ELSE
+           sha256({head} || {_field("text")}) END AS th
+  FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lowered FROM documents))""",
+            "a0 AS (SELECT lang, list(h ORDER BY doc_id NULLS FIRST, h) AS l0 FROM leafs GROUP BY lang)"]
+    ctes += [f"a{k + 1} AS (SELECT *, {up(k)} FROM a{k})" for k in range(levels)]
+    ctes += [f"trees AS (SELECT *, l{levels}[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM a{levels})",
+             "b0 AS (SELECT list(subroot ORDER BY g) AS l0 FROM trees)"]
+    ctes += [f"b{k + 1} AS (SELECT *, {up(k)} FROM b{k})" for k in range(levels)]
+    ctes.append("""s0 AS (
+  SELECT doc_id, h, th AS fold, '' AS proof, lang, g, subroot,
+         row_number() OVER (PARTITION BY f.lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i
+  FROM leafs f JOIN (SELECT lang AS k_lang, g, subroot FROM trees) t ON f.lang IS NOT DISTINCT FROM k_lang)""")
+    step, place = 0, "i"
+    for tree, join in (("trees", "t.lang IS NOT DISTINCT FROM s.lang"), (f"b{levels}", "true")):
+        for k in range(levels):
+            lo = f"CAST(s.{place} // 8 * 8 AS BIGINT)"
+            before = f"array_to_string(t.l{k}[{lo} + 1:s.{place}], '')"
+            after = f"array_to_string(t.l{k}[s.{place} + 2:{lo} + 8], '')"
+            on = f"len(t.l{k}) > 1"
+            ctes.append(f"""s{step + 1} AS (
+  SELECT s.* REPLACE (CASE WHEN {on} THEN sha256({before} || fold || {after}) ELSE fold END AS fold,
+                      CASE WHEN {on} THEN proof || {before} || {after} ELSE proof END AS proof,
+                      CASE WHEN {on} THEN s.{place} // 8 ELSE s.{place} END AS {place})
+  FROM s{step} s JOIN {tree} t ON {join})""")
+            step += 1
+        place = "g"
+    return "WITH " + ", ".join(ctes) + f"""
+SELECT doc_id, h AS leaf, subroot, l{levels}[1] AS root, sha256(proof) AS proof_sha256, fold AS folded_root,
+       fold = l{levels}[1] AS verified
+FROM s{step}, b{levels}"""

@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators (production parameters, whole
+"""Registered queries of the thirteen operators (production parameters, whole
 tables) and DuckDB SQL where SQL can express the result."""
 
 from __future__ import annotations
@@ -14,10 +14,13 @@ from .base import prepare, table
 from .decontaminate import decontaminate, verdicts
 from .fixity import audit_files
 from .htmltext import extract_text
+from .interaction import interaction_audit
 from .lm import lm_scores
+from .manifest import manifest
 from .mixing import mix
 from .quality import quality_rules
 from .repeats import remove_repeats
+from .secrets import find_secrets, secret_digests
 from .simhash import simhash_groups
 from .tokencount import token_counts
 from .tokenfile import read_token_files, write_token_files
@@ -95,7 +98,28 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order of the five filters, step by step, for every part."""
+    prepare(spark)
+    return interaction_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, those under nested encodings included."""
+    prepare(spark)
+    return secret_digests(find_secrets(table(spark, sf_dir, "documents")))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, proof and recomputed root of every document."""
+    prepare(spark)
+    return manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_warc_merkle_audit, op2_token_counts, op3_token_id_output, op4_html_extraction, op5_quality_rules, op6_simhash_near_dedup,
-    op7_benchmark_decontamination, op8_suffix_array_dedup, op9_mixing_to_targets, op10_lm_scoring)}
-ORACLE: dict[str, str] = {"op5_quality_rules": oracles.quality_sql()}
+    op7_benchmark_decontamination, op8_suffix_array_dedup, op9_mixing_to_targets, op10_lm_scoring,
+    op11_filter_interaction_audit, op12_secret_scan, op13_merkle_manifest)}
+ORACLE: dict[str, str] = {"op5_quality_rules": oracles.quality_sql(),
+                          "op11_filter_interaction_audit": oracles.interaction_sql(),
+                          "op13_merkle_manifest": oracles.manifest_sql()}
