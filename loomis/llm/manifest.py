@@ -5,7 +5,7 @@ hashed in runs of eight up to the language's subroot; the subroots, in the
 order of the languages, likewise up to the root.  The levels are stored as
 parent-linked node rows: a node holds its children's digests, the id of its
 parent and its place there.  A recursive query (``WITH RECURSIVE``) starts from
-all leaves, some of them tampered with, and goes from parent to parent: a step
+all leaves, some of them tampered with, and goes from parent to parent: each step
 puts the digest folded so far into its place among the node's children, hashes
 them, and appends a row with the siblings it met.  The rows of a leaf, in the
 order of the steps, are its proof.
@@ -177,30 +177,38 @@ def build(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, str | None]
     return leaves, nodes, subroots, top["h"] if top else None
 
 
-CLIMB = """
-WITH RECURSIVE climb(doc_id, g, i, step, pg, pl, pi, pos, fold, found) AS (
-  SELECT doc_id, g, i, 0, pg, pl, pi, pos, th, h FROM {leaves}
+# One step: the digest folded so far goes into its place among the node's
+# children, the others are the siblings met.
+_STEP = """{link}, unhex(sha2(lower(hex(concat(substring(n.kids, 1, 32 * c.pos), c.{fold}, substring(n.kids, 32 * c.pos + 33)))), 256)),
+         concat(substring(n.kids, 1, 32 * c.pos), substring(n.kids, 32 * c.pos + 33))"""
+_MEETS = "n.bg = c.g AND n.block = c.i div {block} AND n.ng = c.pg AND n.nl = c.pl AND n.ni = c.pi"
+CLIMB = f"""
+WITH RECURSIVE climb(doc_id, leaf, g, i, step, pg, pl, pi, pos, fold, found) AS (
+  SELECT c.doc_id, c.h, c.g, c.i, 1, {_STEP.format(link="n.pg, n.pl, n.pi, n.pos", fold="th")}
+  FROM {{leaves}} c JOIN {{nodes}} n ON {_MEETS}
   UNION ALL
-  SELECT c.doc_id, c.g, c.i, c.step + 1, n.pg, n.pl, n.pi, n.pos,
-         unhex(sha2(lower(hex(concat(substring(n.kids, 1, 32 * c.pos), c.fold, substring(n.kids, 32 * c.pos + 33)))), 256)),
-         concat(substring(n.kids, 1, 32 * c.pos), substring(n.kids, 32 * c.pos + 33))
-  FROM climb c JOIN {nodes} n
-    ON n.bg = c.g AND n.block = c.i div {block} AND n.ng = c.pg AND n.nl = c.pl AND n.ni = c.pi
+  SELECT CAST(NULL AS {{id}}), CAST(NULL AS BINARY), c.g, c.i, c.step + 1, {_STEP.format(link="n.pg, n.pl, n.pi, n.pos", fold="fold")}
+  FROM climb c JOIN (SELECT * FROM {{nodes}} WHERE nl > 1 OR ng = {_TOP}) n ON {_MEETS}
 )
-SELECT doc_id, g, i, step, fold, found FROM climb"""
+SELECT doc_id, leaf, g, i, step, CASE WHEN pl IS NULL THEN fold END AS fold, found FROM climb
+UNION ALL
+SELECT doc_id, h, g, i, 0, th, CAST(NULL AS BINARY) FROM {{leaves}} WHERE pl IS NULL"""
 
 
 def climb(spark: SparkSession, leaves: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The recursive query: for every leaf a row for step 0 (``found``: its own
-    digest) and one for each parent (``found``: the siblings met there);
-    ``fold`` is the digest recomputed so far.  The recursion's row limit is
-    lifted: it counts the rows of all leaves."""
+    """The recursive query: for every leaf a row for each parent (``found``:
+    the siblings met there).  The first row has the id and the leaf's own
+    digest, the last one ``fold``, the recomputed root; a leaf that is the root
+    has a row for step 0 only.  The anchor takes the first step, from the leaves
+    into their runs, so that the recursion, which reads the node rows anew for
+    every step, reads no runs of leaves.  The recursion's row limit is lifted: it
+    counts the rows of all leaves."""
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")
     mark = uuid.uuid4().hex
     leaves.createOrReplaceTempView(f"manifest_leaves_{mark}")
     nodes.createOrReplaceTempView(f"manifest_nodes_{mark}")
     out = spark.sql(CLIMB.format(leaves=f"manifest_leaves_{mark}", nodes=f"manifest_nodes_{mark}",
-                                 block=FAN ** BLOCK_LEVEL))
+                                 block=FAN ** BLOCK_LEVEL, id=leaves.schema["doc_id"].dataType.simpleString()))
     for name in ("leaves", "nodes"):
         spark.catalog.dropTempView(f"manifest_{name}_{mark}")
     return out
@@ -212,10 +220,8 @@ def manifest(docs: DataFrame) -> DataFrame:
     rows = climb(docs.sparkSession, leaves, nodes)
     parts = F.array_sort(F.collect_list(F.when(F.col("step") > 0, F.struct("step", "found"))))
     proof = F.sha2(F.array_join(F.transform(parts, lambda x: _text(x["found"])), ""), 256)
-    own = rows.groupBy("g", "i").agg(
-        F.max(F.when(F.col("step") == 0, F.col("doc_id"))).alias("doc_id"),
-        F.max(F.when(F.col("step") == 0, F.col("found"))).alias("leaf"),
-        proof.alias("proof_sha256"), F.max_by("fold", "step").alias("folded_root"))
+    own = rows.groupBy("g", "i").agg(F.max("doc_id").alias("doc_id"), F.max("leaf").alias("leaf"),
+                                     proof.alias("proof_sha256"), F.max("fold").alias("folded_root"))
     # One row per language: Spark sizes the join.
     subs = subroots.select(F.col("g").alias("s_g"), F.col("h").alias("subroot"))
     return own.join(subs, F.col("g") == F.col("s_g")).select(
