@@ -68,7 +68,9 @@ def minhash_signatures(rows: DataFrame, key: str, h: str, num_perm: int) -> Data
 
 def near_duplicates(df: DataFrame, key: str, text: str, num_perm: int = 32, bands: int = 8, k: int = 5,
                     threshold: float = 0.8) -> DataFrame:
-    """MinHash-LSH near-duplicate clusters over distinct texts.
+    """MinHash-LSH near-duplicate clusters over distinct texts: approximate
+    (links are missed; ``similarity.near_groups`` is the exact form, against
+    which the tests measure this one's recall).
 
     Band buckets never emit all pairs: each bucket links its members to the
     bucket's smallest id (star edges, n rows for n members), components are

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loomis.operators import chatml as cm
 from loomis.operators import curate as cu
+from loomis.operators import similarity as sm
 from loomis.plans import bindings as b
 from loomis.plans import sqlparts as s
 from loomis.plans.registry import register
@@ -50,14 +51,24 @@ def dedup_samples(spark, sf):
     return cu.exact_duplicates(_docs(spark, sf), "doc_id", "text")
 
 
-@register("near_duplicates")
+@register("near_duplicates", r"""
+WITH RECURSIVE W AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+S AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM W WHERE len(w) > 0)),
+N AS (SELECT doc_id, count(*) AS n FROM S GROUP BY doc_id),
+L AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM S x JOIN S y ON x.g = y.g AND x.doc_id <> y.doc_id
+                    GROUP BY ALL) JOIN N p ON p.doc_id = a JOIN N q ON q.doc_id = b
+  WHERE 9 * c >= 4 * (p.n + q.n)),
+R AS (SELECT doc_id, doc_id AS root FROM documents UNION SELECT b, root FROM R JOIN L ON a = doc_id),
+C AS (SELECT doc_id, min(root) AS cluster_id FROM R GROUP BY doc_id)
+SELECT doc_id, cluster_id, count(*) OVER (PARTITION BY cluster_id) AS n_members, doc_id <> cluster_id AS is_duplicate FROM C""")
 def near_duplicates(spark, sf):
-    """MinHash-LSH clusters over the exact-deduplicated texts (rows-only: LSH
-    is probabilistic; tests check it against brute-force Jaccard)."""
-    docs = _docs(spark, sf)
-    kept = cu.exact_duplicates(docs, "doc_id", "text").select("doc_id")
-    distinct_docs = docs.join(kept, "doc_id", "left_semi")
-    return cu.near_duplicates(distinct_docs, "doc_id", "text")
+    """Clusters of near-duplicates: five words, similarity of 0.8 and more,
+    exact (copies are members, not pairs)."""
+    out = sm.near_groups(_docs(spark, sf), "doc_id", "text")
+    return out.withColumn("is_duplicate", F.col("doc_id") != F.col("cluster_id"))
 
 
 # ---------------------------------------------------------------- D2
