@@ -1,10 +1,11 @@
 """Token arrays: vocabulary, encode/decode, label masking, truncation,
 padded batches and the length reports built on them.
 
-Tokenization runs as ``regexp_extract_all`` inside the JVM.  Ids come from a
-vocabulary table joined on the token; the join is broadcast only after the
-vocabulary's row count has been checked against ``broadcast_limit``, otherwise
-it stays a shuffled join (AQE splits hot tokens such as "the").
+Counting runs as ``regexp_extract_all`` inside the JVM.  Ids come from a
+vocabulary table: in one narrow pass by a shipped trie while the vocabulary is
+below a byte limit (``encode_corpus``, ``decode_corpus``; see ``tokenizer``),
+by a join on the token beyond it (``encode``, ``decode``; AQE splits hot tokens
+such as "the").
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from loomis.functions.plan import pin_columns
 from loomis.functions.text import TOKEN_PATTERN, token_count, tokens, word_count
+from loomis.operators import tokenizer
 from loomis.plans.sequence import dense_index
 from loomis.schemas import ENDOFTEXT, IGNORE_INDEX, IM_END, SPECIAL_TOKENS
 
@@ -55,12 +57,11 @@ def build_vocab(corpus: DataFrame, text: str = "text", specials: Sequence[str] =
 def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, out: str = "ids",
            keep: Sequence[str] = (), unknown_id: int = -1) -> DataFrame:
     """(key, ids, *keep): text → ``array<long>`` of vocabulary ids (unknown
-    tokens → ``unknown_id``).
+    tokens → ``unknown_id``), for a vocabulary of any size.
 
-    One shuffle of (key, pos, id) rows: explode → vocabulary join (broadcast
-    only after the size check; otherwise a shuffled join where AQE splits hot
-    tokens) → regroup by key.  The text itself is never shuffled; small
-    ``keep`` columns ride along via ``first``."""
+    Shuffles (key, pos, id) rows: explode → vocabulary join (Spark sizes it;
+    AQE splits hot tokens) → regroup by key.  The text itself is never
+    shuffled; small ``keep`` columns ride along via ``first``."""
     v = vocab.select("token", "id")
     exploded = df.select(key, *keep, F.posexplode_outer(tokens(text)).alias("pos", "token"))
     j = exploded.join(v, "token", "left")
@@ -70,23 +71,44 @@ def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, out: str = "ids
     return grouped.select(key, F.transform("_p", lambda x: x["id"]).cast("array<bigint>").alias(out), *keep)
 
 
+def encode_corpus(df: DataFrame, key: str, text: str, vocab: DataFrame, out: str = "ids",
+                  unknown_id: int = -1, limit: int = tokenizer.LIMIT_BYTES) -> DataFrame:
+    """``df`` with the ids of its text: narrow by the vocabulary's trie if that
+    is within ``limit`` bytes, else by the join form on ``key`` (unique)."""
+    trie = tokenizer.tokenizer_for(vocab, limit, unknown_id)
+    if trie is not None:
+        return tokenizer.encode_with(df, text, trie, out)
+    return df.join(encode(df, key, text, vocab, out, unknown_id=unknown_id), key)
+
+
 # ---------------------------------------------------------------- X2
 def decode(df: DataFrame, key: str, ids: str, vocab: DataFrame, out: str = "decoded",
            skip_special: bool = False, sep: str = "", keep: Sequence[str] = ()) -> DataFrame:
     """(key, decoded, *keep): ids → text, tokens joined by ``sep``; optionally
-    drop special tokens.  Same one-shuffle shape as ``encode``."""
-    voc = vocab.select(F.col("id").alias("_id"), F.col("token"))
-    if skip_special:
-        voc = voc.filter(~F.col("token").isin(list(SPECIAL_TOKENS)) & ~F.col("token").rlike(r"^<\|[a-z_]+\|>$"))
-    v = voc
+    drop special tokens; an id that the vocabulary lacks becomes
+    ``UNKNOWN_TEXT``.  Same one-shuffle shape as ``encode``."""
+    voc = vocab.where("token is not null").select(F.col("id").alias("_id"), F.col("token"),
+                                                  (_is_special() & F.lit(skip_special)).alias("_gone"))
     exploded = df.select(key, *keep, F.posexplode_outer(ids).alias("pos", "_id"))
-    j = exploded.join(v, "_id", "left")
+    j = exploded.join(voc, "_id", "left").withColumn("token", F.coalesce("token", F.lit(tokenizer.UNKNOWN_TEXT)))
     grouped = j.groupBy(key).agg(F.array_sort(F.collect_list(
-        F.when(F.col("token").isNotNull(), F.struct("pos", "token")))).alias("_p"),
+        F.when(F.col("pos").isNotNull() & ~F.coalesce("_gone", F.lit(False)), F.struct("pos", "token")))).alias("_p"),
         *[F.first(c).alias(c) for c in keep])
     return grouped.select(key, F.array_join(F.transform("_p", lambda x: x["token"]), sep).alias(out), *keep)
 
 
+def _is_special() -> Column:
+    return F.col("token").isin(list(SPECIAL_TOKENS)) | F.col("token").rlike(r"^<\|[a-z_]+\|>$")
+
+
+def decode_corpus(df: DataFrame, key: str, ids: str, vocab: DataFrame, out: str = "decoded",
+                  skip_special: bool = False, sep: str = "", limit: int = tokenizer.LIMIT_BYTES) -> DataFrame:
+    """``df`` with the text of its ids: narrow while the vocabulary is within
+    ``limit`` bytes, else by the join form on ``key`` (unique)."""
+    narrow = tokenizer.decode_with(df, ids, vocab, out, _is_special() if skip_special else None, sep, limit)
+    return narrow if narrow is not None else df.join(decode(df, key, ids, vocab, out, skip_special, sep), key)
+
+
 def token_id(vocab: DataFrame, token: str) -> Column:
     """Scalar subquery: the id of one token (null when absent)."""
     return vocab.filter(F.col("token") == token).select(F.min("id")).scalar()
@@ -247,7 +269,7 @@ def split_routes(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return routed.filter(F.col("route") == "keep"), routed.filter(F.col("route") == "long")
 
 
-__all__ = ["TOKEN_PATTERN", "build_vocab", "encode", "decode", "mask_labels", "truncate_tokens",
+__all__ = ["TOKEN_PATTERN", "build_vocab", "encode", "encode_corpus", "decode", "decode_corpus", "mask_labels", "truncate_tokens",
            "pad_batches", "padding_stats", "token_length_stats", "length_by_task", "token_efficiency",
            "longest_samples", "length_filter", "split_routes", "supervised_count", "pad_id_rule", "token_id", "marker_starts",
            "first_marker"]

@@ -30,7 +30,7 @@ def rendered_conversations(spark, sf):
 def encoded_conversations(spark, sf):
     r = rendered_conversations(spark, sf).select("conv_id", "text")
     voc = tk.build_vocab(r, "text")
-    enc = tk.encode(r, "conv_id", "text", voc)
+    enc = tk.encode_corpus(r, "conv_id", "text", voc).select("conv_id", "ids")
     return enc, voc
 
 
@@ -80,7 +80,7 @@ def build_vocab(spark, sf):
 SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, {_sql_ids('ids')} AS ids FROM DENC"""))
 def tokenize_corpus(spark, sf):
     d = _docs(spark, sf).select("doc_id", "text")
-    enc = tk.encode(d, "doc_id", "text", tk.build_vocab(d, "text"))
+    enc = tk.encode_corpus(d, "doc_id", "text", tk.build_vocab(d, "text"))
     return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _ids_str("ids").alias("ids"))
 
 
@@ -94,10 +94,10 @@ FROM documents""")
 def decode_tokens(spark, sf):
     d = _docs(spark, sf).select("doc_id", "text")
     voc = tk.build_vocab(d, "text")
-    enc = tk.encode(d, "doc_id", "text", voc)
-    dec = tk.decode(enc.withColumn("n_ids", F.size("ids")), "doc_id", "ids", voc, out="decoded", keep=["n_ids"])
-    dec = dec.join(d, "doc_id")
-    return dec.select("doc_id", F.col("n_ids").cast("long").alias("n_tokens"),
+    enc = tk.encode_corpus(d, "doc_id", "text", voc)
+    # The text stays in its row, so the comparison needs no join.
+    dec = tk.decode_corpus(enc, "doc_id", "ids", voc)
+    return dec.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                       F.length("decoded").cast("long").alias("decoded_chars"),
                       (F.col("decoded") == F.regexp_replace("text", r"[\s\x{0b}]", "")).alias("roundtrip_ok"))
 
