@@ -31,6 +31,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomis.functions.plan import pin_columns
 from loomis.plans.sequence import dense_index
 
 from .base import cut
@@ -77,20 +78,33 @@ def _height(n: Column) -> Column:
     return out
 
 
+def _runs(h: str) -> Column:
+    """Digests of an array in runs of eight, each run's bytes joined."""
+    run = lambda j: F.slice(h, (j * FAN + 1).cast("int"), FAN)
+    return F.transform(F.sequence(F.lit(0), F.floor((F.size(h) - 1) / FAN)),
+                       lambda j: F.aggregate(run(j), F.lit(b""), lambda a, x: F.concat(a, x)))
+
+
 def _levels(leaves: DataFrame, most: int) -> list[DataFrame]:
     """Node levels 1, 2, ... of all trees: (g, n, i, kids, h); n is the number
-    of the tree's leaves, ``most`` the largest n."""
+    of the tree's leaves, ``most`` the largest n.  One pass gathers blocks of
+    512 digests and builds three levels of them."""
     out, level, size = [], leaves.select("g", "n", "i", "h"), 1
     while size < most:
-        kids = F.array_sort(F.collect_list(F.struct("i", "h")))
-        kids = F.aggregate(kids, F.lit(b""), lambda a, x: F.concat(a, x["h"]))
         # A tree whose level below is one node has ended there.
-        up = level.where(F.col("n") > size).groupBy("g", "n", F.floor(F.col("i") / FAN).alias("up")) \
-            .agg(kids.alias("kids"))
-        level = cut(up.select("g", "n", F.col("up").alias("i"), "kids", _digest(_text(F.col("kids"))).alias("h")),
-                    "manifest-level")
-        out.append(level)
-        size *= FAN
+        block = level.where(F.col("n") > size).groupBy("g", "n", F.floor(F.col("i") / FAN ** BLOCK_LEVEL).alias("up")) \
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "h"))), lambda x: x["h"]).alias("h0"))
+        for s in range(1, BLOCK_LEVEL + 1):
+            block = pin_columns(block.withColumn(f"k{s}", _runs(f"h{s - 1}")))
+            block = pin_columns(block.withColumn(f"h{s}", F.transform(f"k{s}", lambda k: _digest(_text(k)))))
+        block = cut(block.drop("h0"), "manifest-levels")
+        for s in range(1, BLOCK_LEVEL + 1):
+            if size < most:
+                level = block.where(F.col("n") > size).select("g", "n", "up", F.posexplode(F.arrays_zip(
+                    F.col(f"k{s}").alias("kids"), F.col(f"h{s}").alias("h"))).alias("at", "x"))
+                level = level.select("g", "n", (F.col("up") * FAN ** (BLOCK_LEVEL - s) + F.col("at")).alias("i"), "x.kids", "x.h")
+                out.append(level)
+            size *= FAN
     return out
 
 
@@ -120,7 +134,7 @@ def build(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, str | None]
     (None for an empty table)."""
     raw = cut(leaf_rows(docs), "manifest-leaves")
     ranked = dense_index(raw, ["lang", "doc_id", "h"], name="at")
-    langs = cut(ranked.groupBy("lang").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")), "manifest-langs")
+    langs = ranked.groupBy("lang").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
     langs = cut(dense_index(langs, ["lang"], name="g"), "manifest-langs")
     of = langs.agg(F.count(F.lit(1)).alias("trees"), F.max("n").alias("most")).first()
     trees, most = of["trees"], of["most"] or 0
