@@ -169,10 +169,10 @@ def context_length(turns: DataFrame, key: str = "conv_id", order: str = "turn",
 # ---------------------------------------------------------------- W3
 def context_segments(turns: DataFrame, key: str = "conv_id", order: str = "turn",
                      role: str = "role", text: str = "text") -> DataFrame:
-    """``/clear`` starts a new segment (the command itself is dropped); the
-    conversation's first system turn is carried into every segment."""
+    """``/clear`` from the user starts a new segment (the command itself is
+    dropped); the conversation's first system turn is carried into every segment."""
     w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    is_clear = (strip_ws(text) == CLEAR_COMMAND).cast("int")
+    is_clear = F.coalesce((F.col(role) == "user") & (strip_ws(text) == CLEAR_COMMAND), F.lit(False)).cast("int")
     t = turns.withColumn("segment", F.sum(is_clear).over(w).cast("long")).withColumn("_clr", is_clear)
     sys_turn = t.filter(F.col(role) == "system").groupBy(key).agg(
         F.min_by(F.col(text), F.col(order)).alias("_sys"))

@@ -78,16 +78,24 @@ def mode_comparison(matched: DataFrame, key: str = "prompt_id", group: Sequence[
 
 
 # ---------------------------------------------------------------- A8
-OPTION_NOISE = r"[A-Za-z]*[I-Za-z][A-Za-z]*"
-
-
-def extract_options(text, letters: str = "A-H") -> Column:
-    """Sorted distinct option letters in an answer such as "正确答案是 B" or
-    "A、C".  ASCII words holding anything but capital option letters are
-    removed first, so "Based on JSON" contributes nothing while "AB" counts."""
+# ASCII words that are no options: words with a small letter, and the pronoun.
+OPTION_NOISE = r"[A-Za-z]*[a-z][A-Za-z]*|(?<![A-Za-z])I(?=['’]|\s+[a-z])"
+_CAPITALS = r"(?<![A-Za-z])[A-Z]+(?![A-Za-z])"
+
+
+def extract_options(text, offered: Column | None = None) -> Column:
+    """Sorted distinct option letters A to Z in an answer such as "正确答案是 J"
+    or "A、C".  A capital that stands alone always counts, offered or not (an
+    option that was not offered makes an answer wrong).  A run of capitals is a
+    list of options only if all its letters are offered (``offered``: array of
+    letters; A to H where it is not given), so that "AB" counts and "JSON"
+    contributes nothing."""
     t = F.col(text) if isinstance(text, str) else text
-    cleaned = F.regexp_replace(t, OPTION_NOISE, " ")
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(cleaned, F.lit(f"[{letters}]"), 0)))
+    runs = F.regexp_extract_all(F.regexp_replace(t, OPTION_NOISE, " "), F.lit(_CAPITALS), 0)
+    given = F.coalesce(offered, F.array()) if offered is not None else F.array(*[F.lit(x) for x in "ABCDEFGH"])
+    letters = lambda r: F.split(r, "")
+    kept = F.filter(runs, lambda r: (F.length(r) == 1) | (F.size(F.array_except(letters(r), given)) == 0))
+    return F.array_sort(F.array_distinct(F.flatten(F.transform(kept, letters))))
 
 
 def letters_array(text) -> Column:

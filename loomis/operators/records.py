@@ -218,16 +218,39 @@ OPTION_HEAD = r"(^|[^A-Za-z0-9])([A-Z])\."
 
 
 def choice_options(df: DataFrame, key: str, question: str) -> DataFrame:
-    """Question → one row per option (key, letter, text, n_options).  An option
-    begins at a capital letter and a point that follow no letter or digit; its
-    text may hold any capitals and runs to the next option, less a control
-    suffix (/think, /no_think) at the question's end."""
+    """Question → one row per option (key, letter, text, n_options).
+
+    A head is a capital letter and a point that follow no letter or digit.  It
+    begins an option if its letter is the next expected one (A first).  Only if
+    that letter heads nothing further on, a later letter does, unless the head
+    touches another one as in an abbreviation ("U.S.").  All other heads belong to
+    the option's text, which runs to the next option, less a control suffix
+    (/think, /no_think) at the question's end."""
     q = F.regexp_replace(F.col(question), r"\s*/(no_)?think\s*$", "")
     parts = F.split(F.regexp_replace(q, OPTION_HEAD, "$1\u0001$2"), "\u0001")
-    opts = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
-    return df.select(key, F.size(opts).cast("long").alias("n_options"), F.explode(opts).alias("_o")) \
-             .select(key, F.substring("_o", 1, 1).alias("letter"), strip_ws(F.expr("substring(_o, 2)")).alias("text"),
-                     "n_options")
+    heads = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+                        lambda p: F.struct(p.substr(1, 1).alias("letter"), p.substr(2, 1 << 30).alias("text")))
+    d = pin_columns(df.select(key, heads.alias("_h")))
+
+    def step(state, i):
+        h, rest = F.get("_h", i), F.slice("_h", i + 1, F.greatest(F.size("_h"), F.lit(1)))
+        after = F.char(F.ascii(state["last"]) + 1)
+        touches = h["text"].rlike(r"^[A-Z]\.")
+        begins = (h["letter"] == after) | (~F.exists(rest, lambda x: x["letter"] == after)
+                                           & (h["letter"] > state["last"]) & ~touches)
+        n = F.size(state["opts"])
+        open_ = F.get(state["opts"], n - 1)
+        longer = F.struct(open_["letter"].alias("letter"),
+                          F.concat(open_["text"], h["letter"], F.lit("."), h["text"]).alias("text"))
+        return F.when(begins, F.struct(h["letter"].alias("last"), F.array_append(state["opts"], h).alias("opts"))) \
+            .when(n == 0, state) \
+            .otherwise(F.struct(state["last"].alias("last"), F.concat(F.slice(state["opts"], 1, n - 1), F.array(longer)).alias("opts")))
+
+    start = F.struct(F.lit("@").alias("last"), F.array().cast("array<struct<letter:string,text:string>>").alias("opts"))
+    opts = F.when(F.size("_h") > 0, F.aggregate(F.sequence(F.lit(0), F.size("_h") - 1), start, step)["opts"])
+    d = pin_columns(d.select(key, opts.alias("_opts")))
+    return d.select(key, F.size("_opts").cast("long").alias("n_options"), F.explode("_opts").alias("_o")) \
+            .select(key, F.col("_o.letter").alias("letter"), strip_ws(F.col("_o.text")).alias("text"), "n_options")
 
 
 # ---------------------------------------------------------------- A1

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomis.operators import evaluate as ev
+from loomis.operators import records as rc
 from loomis.plans import bindings as b
 from loomis.plans import sqlparts as s
 from loomis.plans.registry import register
@@ -80,6 +81,31 @@ def accuracy_exact(spark, sf):
     return ev.accuracy_exact(q, ev.extract_options("response"), ev.letters_array("gold"))
 
 
+# Answers to the questions of choice_options, by key: options right, wrong,
+# incomplete, behind words, and one that was not offered (K).
+CHOICE_CASES = [("正确答案是 A", "A", "A"), ("正确答案是 A、J", "A", "AJ"), ("JSON says: I think it is J.", "J", "J"),
+                ("答案: BC", "BC", "BC"), ("A、K", "A", "AK"), ("CJ", "CJ", "CJ"), ("no idea", "B", "")]
+
+
+@register("choice_accuracy", f"""
+SELECT gold, count(*) AS n_samples, CAST(sum(CASE WHEN picked = gold THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
+       round(avg(CASE WHEN picked = gold THEN 1 ELSE 0 END), 6) AS accuracy
+FROM part JOIN (VALUES {", ".join(f"({i}, '{g}', '{p}')" for i, (_, g, p) in enumerate(CHOICE_CASES))}) c(i, gold, picked)
+  ON p_partkey % {len(CHOICE_CASES)} = i
+GROUP BY gold""")
+def choice_accuracy(spark, sf):
+    """Answers checked against the letters that each question offers."""
+    part = b.table(spark, sf, "part")
+    q = F.concat(F.col("p_name"), F.lit("？A."), F.col("p_type"), F.lit(" B."), F.col("p_brand"), F.lit(" C."),
+                 F.col("p_size").cast("string"), F.lit("\nJ."), F.col("p_name"))
+    case = F.element_at(F.array(*[F.struct(F.lit(t).alias("response"), F.lit(g).alias("gold")) for t, g, _ in CHOICE_CASES]),
+                        (F.col("p_partkey") % len(CHOICE_CASES) + 1).cast("int"))
+    answers = part.select(F.col("p_partkey").alias("prompt_id"), q.alias("q"), case.alias("c")).select("prompt_id", "q", "c.*")
+    offered = rc.choice_options(answers, "prompt_id", "q").groupBy("prompt_id").agg(F.collect_set("letter").alias("offered"))
+    d = answers.join(offered, "prompt_id", "left")
+    return ev.accuracy_exact(d, ev.extract_options("response", F.col("offered")), ev.letters_array("gold"), ["gold"])
+
+
 @register("f1_score", s.q(s.QA, f"""S AS (
   SELECT {_OPT.format(t='response')} AS p, {_GOLD.format(t='gold')} AS g FROM QA)""", """T AS (
   SELECT len(list_intersect(p, g)) AS tp, len(p) AS np, len(g) AS ng FROM S)""", """
@@ -173,32 +199,43 @@ def json_format_rate(spark, sf):
 
 
 @register("compare_models", s.q(*s.CAND_BASE[:5], """
-SELECT bs.domain AS category, bs.prompt_id, bs.attempt AS slot, bs.response AS base_response,
-       tu.response AS tuned_response, tu.response IS DISTINCT FROM bs.response AS changed
-FROM (SELECT * FROM CAPPED WHERE mode = 'thinking') bs
-LEFT JOIN (SELECT domain, prompt_id, attempt - 32 AS slot, response FROM CAPPED WHERE mode = 'non_thinking') tu
-  ON bs.domain = tu.domain AND bs.prompt_id = tu.prompt_id AND bs.attempt = tu.slot"""))
+SELECT category, prompt_id, slot, base_response, tuned_response, tuned_response IS DISTINCT FROM base_response AS changed
+FROM (
+  SELECT domain AS category, prompt_id, CASE WHEN mode = 'thinking' THEN attempt ELSE attempt - 32 END AS slot,
+         max(response) FILTER (WHERE mode = 'thinking') AS base_response,
+         max(response) FILTER (WHERE mode = 'non_thinking') AS tuned_response,
+         count(*) FILTER (WHERE mode = 'thinking') AS n_base
+  FROM CAPPED GROUP BY ALL)
+WHERE n_base > 0"""))
 def compare_models(spark, sf):
-    capped = ev.cap_candidates(b.candidates(spark, sf)).withColumnRenamed("domain", "category")
+    # Both models read the candidates: derived once, written, read twice.
+    capped = ev.cap_candidates(b.candidates(spark, sf)).withColumnRenamed("domain", "category") \
+        .select("category", "prompt_id", "attempt", "mode", "response").checkpoint()
     base = capped.filter(F.col("mode") == "thinking").withColumnRenamed("attempt", "slot")
     tuned = capped.filter(F.col("mode") == "non_thinking").withColumn("slot", F.col("attempt") - 32)
     return ev.compare_models(base, tuned, ["category", "prompt_id", "slot"])
 
 
-@register("missing_generations", s.q(s.H, """
-SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM H)"""))
+# The second run answered the users with an urgent order; some have none.
+RUN2 = "SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'"
+
+
+def _second_run(spark, sf):
+    return b.table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
+
+
+@register("missing_generations", f"""
+SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN ({RUN2})""")
 def missing_generations(spark, sf):
     cust = b.table(spark, sf, "customer").select("c_custkey", "c_name")
-    h = b.history(spark, sf).select(F.col("user_id").alias("c_custkey"))
-    return ev.missing_generations(cust, h, "c_custkey")
+    return ev.missing_generations(cust, _second_run(spark, sf), "c_custkey")
 
 
-@register("covered_prompts", s.q(s.H, """
-SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT user_id FROM H)"""))
+@register("covered_prompts", f"""
+SELECT c_custkey, c_name FROM customer WHERE c_custkey IN ({RUN2})""")
 def covered_prompts(spark, sf):
     cust = b.table(spark, sf, "customer").select("c_custkey", "c_name")
-    h = b.history(spark, sf).select(F.col("user_id").alias("c_custkey"))
-    return ev.covered_prompts(cust, h, "c_custkey")
+    return ev.covered_prompts(cust, _second_run(spark, sf), "c_custkey")
 
 
 @register("merge_candidate_pools", s.q(*s.CAND_BASE[:5], """V AS (
@@ -211,6 +248,6 @@ SELECT * FROM (
          row_number() OVER (PARTITION BY prompt_id ORDER BY votes DESC, first_attempt, response) AS rank
   FROM V) WHERE rank <= 64"""))
 def merge_candidate_pools(spark, sf):
-    capped = ev.cap_candidates(b.candidates(spark, sf)).select("prompt_id", "attempt", "mode", "response")
+    capped = ev.cap_candidates(b.candidates(spark, sf)).select("prompt_id", "attempt", "mode", "response").checkpoint()
     pools = [capped.filter(F.col("mode") == m).drop("mode") for m in ("thinking", "non_thinking")]
     return ev.merge_candidate_pools(pools)

@@ -90,15 +90,14 @@ def embedding_lookup(spark, sf):
          coalesce(string_agg(token, '' ORDER BY seq), '') AS prompt FROM (
     SELECT H.user_id, H.seq, ITEM.token,
            row_number() OVER (PARTITION BY H.user_id ORDER BY H.seq DESC) AS r
-    FROM H JOIN TARGET USING (user_id) LEFT JOIN ITEM ON H.item = ITEM.item AND ITEM.item % 50 <> 7
+    FROM H JOIN TARGET USING (user_id) LEFT JOIN ITEM ON H.item = ITEM.item
     WHERE H.seq < TARGET.n_events)
   WHERE r <= {N_HISTORY} GROUP BY user_id)""", """
 SELECT HP.user_id, HP.n_items, HP.n_unresolved, HP.prompt, ITEM.token AS target_token
-FROM HP JOIN TARGET USING (user_id) LEFT JOIN ITEM ON TARGET.target = ITEM.item AND ITEM.item % 50 <> 7"""))
+FROM HP JOIN TARGET USING (user_id) LEFT JOIN ITEM ON TARGET.target = ITEM.item"""))
 def itemic_history_prompts(spark, sf):
-    """Against a catalogue that lacks some items, which stay visible as unresolved."""
-    catalog = b.items(spark, sf).where("item % 50 <> 7")
-    return it.itemic_history_prompts(b.history(spark, sf), catalog, N_HISTORY).select(
+    """Newest events of every user against the whole catalogue."""
+    return it.itemic_history_prompts(b.history(spark, sf), b.items(spark, sf), N_HISTORY).select(
         "user_id", "n_items", "n_unresolved", "prompt", "target_token")
 
 

@@ -6,7 +6,7 @@
   uploads with PERMISSIVE parsing and a corrupt-record column.
 * ``write_training_set`` (S4): versioned dataset partitioned by version and
   category, dynamic partition overwrite.
-* ``store_generations`` (S5): append-only generation results per run.
+* ``store_generations`` (S5): generation results, one replaceable partition per run.
 """
 
 from __future__ import annotations
@@ -116,6 +116,8 @@ def write_training_set(df: DataFrame, path: str, version: str, partition_by: Seq
 
 # ---------------------------------------------------------------- S5
 def store_generations(df: DataFrame, path: str, run: str) -> str:
-    """Append generation results of one run (partitioned by run)."""
-    df.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run").parquet(path)
+    """Store the generation results of one run: its partition is replaced, so
+    that a run stored again is not doubled; other runs stay."""
+    df.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("run").parquet(path)
     return path

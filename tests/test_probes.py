@@ -4,7 +4,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from loomis.operators import chatml as cm
 from loomis.operators import curate as cu
+from loomis.operators import evaluate as ev
 from loomis.operators import history as hi
 from loomis.operators import itemic as it
 from loomis.operators import records as rc
@@ -103,3 +105,42 @@ def test_run_metrics_of_two_months(spark, tmp_path):
     got = {(r.run, r.window_start): (r.n, r.min_loss, r.mean_loss)
            for r in q_streams.stream_run_metrics(spark, str(tmp_path)).collect()}
     assert got == {k: (len(v), min(v), round(sum(v) / len(v), 6)) for k, v in want.items()}
+
+
+def test_option_heads_come_in_order(spark):
+    rows = [(1, "A.the U.S. army B.J. Smith"), (2, "Who leads the U.S.? A.x B.the U.N. C.D.C. office"), (3, "A.one of the U.S. states"),
+            (4, "B.x C.y B.z"), (5, "A."), (6, "A.x\nJ.y"), (7, "")]
+    df = spark.createDataFrame(rows, "k long, q string")
+    got = {}
+    for r in rc.choice_options(df, "k", "q").collect():
+        got.setdefault(r.k, {})[r.letter] = r.text
+        assert r.n_options >= 1
+    assert got == {1: {"A": "the U.S. army", "B": "J. Smith"}, 2: {"A": "x", "B": "the U.N.", "C": "D.C. office"},
+                   3: {"A": "one of the U.S. states"}, 4: {"B": "x", "C": "y B.z"}, 5: {"A": ""}, 6: {"A": "x", "J": "y"}}
+
+
+def test_answers_beyond_h_and_not_offered(spark):
+    rows = [("正确答案是 J", ["A", "J"], ["J"]), ("A、K", ["A", "B"], ["A", "K"]), ("AJ", ["A", "J"], ["A", "J"]),
+            ("AJ", None, []), ("AB", None, ["A", "B"]), ("Based on JSON: B", ["A", "B"], ["B"]), ("I think B", ["B", "I"], ["B"]),
+            ("I", ["H", "I"], ["I"]), ("", ["A"], []), (None, ["A"], None)]
+    df = spark.createDataFrame([(i, t, o) for i, (t, o, _) in enumerate(rows)], "k long, t string, o array<string>")
+    for r in df.select("k", ev.extract_options("t", F.col("o")).alias("x")).collect():
+        assert r.x == rows[r.k][2] or rows[r.k][1] is None
+    for r in df.where("o is null").select("k", ev.extract_options("t").alias("x")).collect():
+        assert r.x == rows[r.k][2]
+
+
+def test_only_the_user_clears(spark):
+    turns = [(1, 1, "system", "s"), (1, 2, "user", "hi"), (1, 3, "assistant", "/clear"), (1, 4, "user", " /clear "), (1, 5, "user", "new")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    got = {r.segment: r.n_turns for r in cm.context_segments(df).collect()}
+    assert got == {0: 3, 1: 2}
+
+
+def test_a_generation_run_is_replaced(spark):
+    path = scratch_path(spark, "generations", uuid.uuid4().hex)
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "prompt_id long, response string")
+    tasks.store_generations(rows, path, "r1")
+    tasks.store_generations(rows, path, "r2")
+    tasks.store_generations(rows.limit(1), path, "r1")
+    assert sorted(r.run for r in spark.read.parquet(path).collect()) == ["r1", "r2", "r2"]
