@@ -115,12 +115,23 @@ def quarantine_rejects(spark, sf):
 
 
 # ---------------------------------------------------------------- S1
-@register("read_sectioned_tasks")
+_REASON = """CASE WHEN mt = 'absent' THEN 'no_messages' WHEN mt = 'bad_json' THEN 'bad_messages_json'
+                       WHEN mt = 'other' THEN 'bad_messages_type' WHEN atype = 'bad_metadata' THEN 'bad_metadata'
+                       WHEN coalesce(answer, '') = '' THEN 'no_answer' END"""
+_CATS = "['" + "','".join(CATEGORIES) + "']"
+
+
+@register("read_sectioned_tasks", s.q(*RAW, f"""F AS (
+  SELECT DISTINCT conv_id // {CONVS_PER_FILE} AS file_id, unnest({_CATS}) AS category FROM R)""", f"""
+SELECT CAST(F.file_id AS BIGINT) AS file_id, F.category, CASE WHEN conv_id IS NULL THEN NULL ELSE 'task_' || conv_id END AS task,
+       CASE WHEN conv_id IS NULL THEN 'missing' ELSE 'ok' END AS section_status, coalesce(mt, 'absent') AS messages_type,
+       coalesce(atype, 'absent') AS answer_type,
+       CASE WHEN conv_id IS NULL THEN 'missing_section' ELSE {_REASON} END AS reason
+FROM F LEFT JOIN A ON conv_id // {CONVS_PER_FILE} = F.file_id AND {_CATS}[conv_id % 4 + 1] = F.category"""))
 def read_sectioned_tasks(spark, sf):
     """Raw records grouped into task files of 50 conversations (heading per
     category, full-width or ASCII colon, a preamble line), written as text
-    files to the shared scratch folder and read back whole.  Rows-only: the
-    section split uses a look-ahead regex DuckDB cannot run."""
+    files to the shared scratch folder and read back by the data source."""
     r = raw_records(spark, sf).withColumn("file_id", (F.col("conv_id") / CONVS_PER_FILE).cast("long"))
     entry = F.concat(src.json_quote(F.col("task")), F.lit(":"), F.col("body_text"))
     sec = r.groupBy("file_id", "category").agg(

@@ -1,7 +1,8 @@
 """Sources and sinks of SFT data.
 
-* ``read_sectioned_tasks`` / ``parse_sections`` (S1): whole-text task files cut
-  at the four dimension headings, each section one JSON object of tasks.
+* ``read_sectioned_tasks`` / ``parse_sections`` (S1): task files cut at the
+  four dimension headings, each section one JSON object of tasks; by the data
+  source in ``sectioned``, or whole through Spark for other paths.
 * ``read_sft_records`` / ``parse_sft_lines`` (S2): three-field JSONL / CSV
   uploads with PERMISSIVE parsing and a corrupt-record column.
 * ``write_training_set`` (S4): versioned dataset partitioned by version and
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 
 from loomis.functions.text import strip_ws
 from loomis.schemas import SECTION_COLONS, SECTION_HEADINGS
+from loomis.sources import sectioned
 
 HEADING_ALT = "(" + "|".join(h for _, h in SECTION_HEADINGS) + ")" + SECTION_COLONS
 THREE_FIELD_DDL = "system string, prompt string, response string"
@@ -44,30 +46,39 @@ def parse_sections(files: DataFrame, text: str = "value", file: str = "file") ->
         cat = F.when(head == h, F.lit(c)).otherwise(cat)
     found = pieces.withColumn("category", cat).filter(F.col("category").isNotNull()) \
         .groupBy(file, "category").agg(F.min_by("piece", "pos").alias("piece"))
-    section = strip_ws(F.regexp_replace("piece", f"^{HEADING_ALT}", ""))
+    found = found.select(file, "category", F.regexp_replace("piece", f"^{HEADING_ALT}", "").alias("section"))
+    expected = files.select(file, F.explode(F.array(*[F.lit(c) for c, _ in SECTION_HEADINGS])).alias("category"))
+    return tasks_of_sections(expected.join(found, [file, "category"], "left"), file)
+
+
+def tasks_of_sections(sections: DataFrame, file: str = "file") -> DataFrame:
+    """(file, category, section_status, task, body_text, body) from the
+    sections' texts (null: heading missing), in one pass over them."""
+    section = strip_ws("section")
     # exactly one object: text behind it, or a second one, makes a section bad
     objs = F.from_json(F.concat(F.lit("["), section, F.lit("]")), "array<map<string,string>>")
-    obj = F.when(F.size(objs) == 1, F.get(objs, 0))
-    found = found.select(file, "category", section.alias("section"), obj.alias("tasks"))
-    expected = files.select(file, F.explode(F.array(*[F.lit(c) for c, _ in SECTION_HEADINGS])).alias("category"))
-    j = expected.join(found, [file, "category"], "left")
+    d = sections.select(file, "category", section.alias("section"), F.when(F.size(objs) == 1, F.get(objs, 0)).alias("tasks"))
     status = (F.when(F.col("section").isNull(), F.lit("missing")).when(F.col("section") == "", F.lit("empty"))
               .when(F.col("tasks").isNull(), F.lit("bad_json")).otherwise(F.lit("ok")))
-    j = j.withColumn("section_status", status)
-    entries = j.filter(F.col("section_status") == "ok").select(
-        file, "category", "section_status", F.posexplode("tasks").alias("_tpos", "task", "body_text"))
+    entries = d.select(file, "category", status.alias("section_status"), F.posexplode_outer("tasks").alias("_tpos", "task", "body_text"))
+    entries = entries.where((F.col("section_status") != "ok") | F.col("_tpos").isNotNull())
+    entries = entries.withColumns({c: F.when(F.col("section_status") == "ok", F.col(c)) for c in ("_tpos", "task", "body_text")})
     # a task key repeated inside one section object: the last one wins
-    ok = entries.groupBy(file, "category", "section_status", "task").agg(
-        F.max_by("body_text", "_tpos").alias("body_text"))
-    bad = j.filter(F.col("section_status") != "ok").select(
-        file, "category", "section_status", F.lit(None).cast("string").alias("task"),
-        F.lit(None).cast("string").alias("body_text"))
-    out = ok.unionByName(bad)
+    out = entries.groupBy(file, "category", "section_status", "task").agg(F.max_by("body_text", "_tpos").alias("body_text"))
     return out.withColumn("body", F.try_parse_json("body_text"))
 
 
 def read_sectioned_tasks(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Read task files whole (one row per file) and parse their sections."""
+    """Read task files and parse their sections: by the ``sectioned`` data
+    source where it opens the path, else whole files through Spark."""
+    if isinstance(path, str) and sectioned.readable(path):
+        return tasks_of_sections(sectioned.sections(spark, path))
+    return read_whole_files(spark, path)
+
+
+def read_whole_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Read task files whole (one row per file), from any path that Spark
+    reads, and parse their sections."""
     paths = [path] if isinstance(path, str) else list(path)
     files = spark.read.option("recursiveFileLookup", "true").text(paths, wholetext=True) \
                  .select("value", F.col("_metadata.file_path").alias("file"))
