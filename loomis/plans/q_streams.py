@@ -47,6 +47,8 @@ def stream_chat_state(spark, sf):
     base = scratch_path(spark, "streams", uuid.uuid4().hex)
     # five turn levels arrive together; state still spans several micro-batches
     turns = b.table(spark, sf, "conversations").withColumn("_chunk", (F.col("turn") / 5).cast("int"))
+    # a turn a minute: five turn levels lie within the watermark's hour
+    turns = turns.withColumn("ts", F.timestamp_seconds(F.lit(1704067200) + 60 * F.col("turn")))
     _replay(spark, turns, "_chunk", f"{base}/in", lambda: st.run_to_completion(
         st.stream_chat_state(st.file_stream(spark, f"{base}/in", _schema(turns.drop("_chunk")))),
         f"{base}/out", f"{base}/ckpt"))

@@ -2,10 +2,11 @@
 ingestion with a quarantine sink (R2), the daily submission quota (R3) and
 windowed run metrics (R4).
 
-Stateful logic uses ``applyInPandasWithState`` keyed by conversation or by
-team; state is one small record per key (running counts), never the key's
-rows.  Rows of a key inside one micro-batch arrive unordered, so each
-state function sorts them first.  Everything that can run in the JVM
+Stateful logic uses ``transformWithStateInPandas`` (R1, with timers) and
+``applyInPandasWithState`` (R3), keyed by conversation or by team and day; state
+is one small record per key (running counts), never the key's rows.  Rows of a
+key inside one micro-batch arrive unordered, so each state function sorts them
+first.  Everything that can run in the JVM
 (tokenizing, parsing, validation) is done before the state operator.
 """
 
@@ -14,9 +15,11 @@ from __future__ import annotations
 import contextlib
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from loomis.functions.text import chatml_turn, strip_ws, token_count
@@ -38,7 +41,7 @@ def state_partitions(spark: SparkSession, n: int | None = None):
 
 
 def run_to_completion(stream_df: DataFrame, sink_path: str, checkpoint: str, mode: str = "append",
-                      by_batch: bool = False, n_state: int | None = None) -> None:
+                      by_batch: bool = False, n_state: int | None = None, rocksdb: bool = True) -> None:
     """Process everything available now and stop (``availableNow``).
 
     With ``by_batch`` (update mode) each micro-batch writes its changed rows to
@@ -46,8 +49,14 @@ def run_to_completion(stream_df: DataFrame, sink_path: str, checkpoint: str, mod
     parquet file sink (exactly-once with the checkpoint).  A stateful query fixes its number of state partitions when
     its checkpoint is created; it is sized here to ``n_state``
     (default: the cluster's parallelism) rather than inheriting a batch-sized
-    ``spark.sql.shuffle.partitions``."""
-    with state_partitions(stream_df.sparkSession, n_state):
+    ``spark.sql.shuffle.partitions``.  State is kept in RocksDB
+    (``rocksdb=False``: in the session's state store)."""
+    spark = stream_df.sparkSession
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(provider, None)
+    with state_partitions(spark, n_state):
+        if rocksdb:
+            spark.conf.set(provider, ROCKSDB)
         if by_batch:
             def write(batch: DataFrame, epoch: int) -> None:
                 batch.write.mode("overwrite").parquet(f"{sink_path}/batch={epoch}")
@@ -55,56 +64,103 @@ def run_to_completion(stream_df: DataFrame, sink_path: str, checkpoint: str, mod
         else:
             q = stream_df.writeStream.outputMode(mode).format("parquet").option("path", sink_path) \
                          .option("checkpointLocation", checkpoint)
-        q.trigger(availableNow=True).start().awaitTermination()
+        try:
+            started = q.trigger(availableNow=True).start()
+        finally:
+            if rocksdb:
+                spark.conf.set(provider, old) if old else spark.conf.unset(provider)
+        started.awaitTermination()
 
 
 # ---------------------------------------------------------------- R1
 CHAT_OUT = "conv_id long, turn long, role string, event string, turn_tokens long, context_tokens long"
 CHAT_STATE = "system_tokens long, context_tokens long, closed boolean"
-
-
-def _chat_state(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    sys_tok, ctx, closed = state.get if state.exists else (0, 0, False)
-    rows = []
-    for pdf in pdfs:
-        rows.append(pdf)
-    pdf = pd.concat(rows).sort_values("turn")
-    out = []
-    for r in pdf.itertuples(index=False):
-        if closed or r.blank:
-            continue
-        cmd = r.command
-        if r.role == "user" and cmd in QUIT_WORDS:
-            closed = True
-            out.append((r.conv_id, r.turn, r.role, "closed", 0, ctx))
-        elif r.role == "user" and r.exact == CLEAR_COMMAND:
-            ctx = sys_tok
-            out.append((r.conv_id, r.turn, r.role, "cleared", 0, ctx))
-        elif r.role == "user" and r.exact == LEN_COMMAND:
-            out.append((r.conv_id, r.turn, r.role, "len", 0, ctx))
-        else:
-            if r.role == "system" and sys_tok == 0:
-                sys_tok = int(r.turn_tokens)
-            ctx += int(r.turn_tokens)
-            out.append((r.conv_id, r.turn, r.role, "turn", int(r.turn_tokens), ctx))
-    state.update((sys_tok, ctx, closed))
-    cols = ["conv_id", "turn", "role", "event", "turn_tokens", "context_tokens"]
-    yield pd.DataFrame(out, columns=cols).astype({"conv_id": "int64", "turn": "int64", "turn_tokens": "int64",
-                                                  "context_tokens": "int64"})
-
-
-def stream_chat_state(turns: DataFrame) -> DataFrame:
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class ChatContext(StatefulProcessor):
+    """Context of one conversation: a value state of three numbers and one
+    event-time timer, moved with every batch that brings turns."""
+
+    def __init__(self, idle_ms: int | None, report_expiry: bool):
+        self.idle_ms, self.report_expiry = idle_ms, report_expiry
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.context = handle.getValueState("context", CHAT_STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        d = pd.concat(list(rows))
+        system, start, closed = self.context.get() if self.context.exists() else (0, 0, False)
+        last = int(d["ts"].max())
+        d = d[~d["blank"]].sort_values("turn", kind="stable")
+        user = (d["role"] == "user").to_numpy()
+        quits = user & d["command"].isin(QUIT_WORDS).to_numpy()
+        n = 0 if closed else int(quits.argmax()) + 1 if quits.any() else len(d)
+        d, user, quits = d.iloc[:n], user[:n], quits[:n]
+        clear = user & ~quits & (d["exact"] == CLEAR_COMMAND).to_numpy()
+        asked = user & ~quits & (d["exact"] == LEN_COMMAND).to_numpy()
+        event = np.select([quits, clear, asked], ["closed", "cleared", "len"], "turn")
+        tokens = np.where(event == "turn", d["turn_tokens"].to_numpy(np.int64), 0)
+        # The first system turn stays through every /clear.
+        first = np.flatnonzero((event == "turn") & (d["role"] == "system").to_numpy() & (tokens > 0))
+        at = np.arange(n)
+        kept = np.full(n, system, np.int64)
+        if not system and len(first):
+            kept[at >= first[0]] = tokens[first[0]]
+        # Running sum that starts again from the system turn at each /clear.
+        total = np.cumsum(tokens)
+        cut = np.maximum.accumulate(np.where(clear, at, -1)) if n else at
+        context = np.where(cut < 0, start + total, kept[cut] + total - total[cut]) if n else total
+        if n:
+            system, start, closed = int(kept[-1]), int(context[-1]), closed or bool(quits.any())
+        self.context.update((system, start, closed))
+        if self.idle_ms is not None:
+            for t in list(self.handle.listTimers()):
+                last = max(last, t - self.idle_ms)
+                self.handle.deleteTimer(t)
+            self.handle.registerTimer(last + self.idle_ms)
+        yield pd.DataFrame({"conv_id": np.full(n, key[0], np.int64), "turn": d["turn"].to_numpy(np.int64), "role": d["role"],
+                            "event": event, "turn_tokens": tokens, "context_tokens": context})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        _, context, closed = self.context.get() if self.context.exists() else (0, 0, False)
+        self.context.clear()
+        n = int(self.report_expiry and not closed)
+        yield pd.DataFrame({"conv_id": np.full(n, key[0], np.int64), "turn": np.full(n, -1, np.int64), "role": [None] * n,
+                            "event": ["expired"] * n, "turn_tokens": np.zeros(n, np.int64),
+                            "context_tokens": np.full(n, context, np.int64)})
+
+    def close(self) -> None:
+        pass
+
+
+def stream_chat_state(turns: DataFrame, idle: str = "1 day", watermark: str = "1 hour",
+                      report_expiry: bool = False) -> DataFrame:
     """Per conversation: each turn extends the context (running ChatML token
     count), ``/clear`` keeps only the system turn, ``/len`` reports the count
     (both exact), quit words in any case close the conversation, blank input
-    is ignored; a turn without a number is read as turn -1.  Token counts
-    are computed in the JVM before the state operator."""
+    is ignored; a turn without a number is read as turn -1.  Token counts are
+    computed in the JVM before the state operator.  With an event time ``ts``
+    in ``turns`` the state is timed; without it conversations never leave.
+
+    A conversation leaves the state once the watermark is ``idle`` behind its
+    last turn (with ``report_expiry`` an open one says so, with its last count).
+    A turn that comes after that begins a new context, without the old system
+    turn and even if the old one was closed; a turn behind the watermark is
+    dropped.  Needs the RocksDB state store (``run_to_completion`` sets it)."""
+    spark, timed = turns.sparkSession, "ts" in turns.columns
+    idle_ms = int(spark.sql(f"SELECT timestamp'1970-01-01 00:00:00Z' + interval {idle} AS t").select(
+        F.unix_millis("t")).first()[0])
     d = turns.select(F.col("conv_id").cast("long"), F.coalesce(F.col("turn").cast("long"), F.lit(-1)).alias("turn"), "role",
+                     (F.col("ts") if timed else F.lit(0)).cast("timestamp").alias("event_time"),
                      (F.coalesce(strip_ws("text"), F.lit("")) == "").alias("blank"),
                      F.lower(strip_ws("text")).alias("command"), strip_ws("text").alias("exact"),
-                     token_count(chatml_turn("role", "text")).cast("long").alias("turn_tokens"))
-    return d.groupBy("conv_id").applyInPandasWithState(_chat_state, CHAT_OUT, CHAT_STATE, "append",
-                                                       GroupStateTimeout.NoTimeout)
+                     F.coalesce(token_count(chatml_turn("role", "text")), F.lit(0)).cast("long").alias("turn_tokens"))
+    if timed:
+        d = d.withWatermark("event_time", watermark)
+    return d.withColumn("ts", F.unix_millis("event_time")).groupBy("conv_id").transformWithStateInPandas(
+        ChatContext(idle_ms if timed else None, report_expiry), CHAT_OUT, "append", "eventtime" if timed else "none")
 
 
 # ---------------------------------------------------------------- R2
@@ -131,46 +187,41 @@ def stream_ingest(lines: DataFrame, good_path: str, bad_path: str, checkpoint: s
 
 # ---------------------------------------------------------------- R3
 QUOTA_OUT = "team long, day string, id long, rank long"
-QUOTA_BLOCK_DAYS = 8
-QUOTA_STATE = "counts string"   # JSON {day: accepted so far} for the team's open days
+QUOTA_STATE = "taken int"       # submissions of the day so far, the quota at most
+DAY_MS = 86_400_000
 
 
 def _make_quota(quota: int):
-    import json
-
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        counts = json.loads(state.get[0]) if state.exists else {}
-        pdf = pd.concat(list(pdfs)).sort_values(["ts", "id"], kind="stable")
-        prior = pdf["day"].map(counts).fillna(0).astype("int64")
-        rank = prior + pdf.groupby("day", sort=False).cumcount() + 1
-        out = pdf.assign(rank=rank)[rank <= quota]
-        for day, n in pdf.groupby("day", sort=False).size().items():
-            counts[day] = int(min(quota, counts.get(day, 0) + n))
-        # drop the days the watermark has passed; expire the team when idle
-        wm = state.getCurrentWatermarkMs()
-        counts = {d: c for d, c in counts.items()
-                  if int(pd.Timestamp(d).timestamp() * 1000) + 86_400_000 > wm}
-        last_end = max(int(pd.Timestamp(d).timestamp() * 1000) + 86_400_000 for d in counts) if counts else wm + 1
-        state.update((json.dumps(counts),))
-        state.setTimeoutTimestamp(max(last_end, wm + 1))
-        yield out[["team", "day", "id", "rank"]].astype({"team": "int64", "id": "int64", "rank": "int64"})
+        taken = state.get[0] if state.exists else 0
+        # Of the batch only the earliest rows that may still be accepted are held.
+        best = None
+        for pdf in pdfs:
+            best = pdf if best is None else pd.concat([best, pdf])
+            best = best.sort_values(["ts", "id"], kind="stable").head(quota)
+        best = best.head(max(0, quota - taken))
+        state.update((int(taken + len(best)),))
+        # The day's count goes once the watermark has passed the day.
+        end = (int(key[1]) + 1) * DAY_MS
+        state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
+        yield pd.DataFrame({"team": best["team"], "day": best["day"], "id": best["id"],
+                            "rank": np.arange(taken + 1, taken + 1 + len(best), dtype=np.int64)})
     return fn
 
 
 def stream_daily_quota(sub: DataFrame, quota: int = DAILY_SUBMISSION_QUOTA, watermark: str = "1 day") -> DataFrame:
-    """Accept the first ``quota`` submissions per team and day in event
-    order.  State is keyed by team and block of days, so a busy team is spread
-    over its blocks, and holds one counter per open day (days behind the
-    watermark are dropped, an idle block times out); a micro-batch makes one
-    vectorized pandas call per team and block."""
+    """Accept the first ``quota`` submissions per team and day in event order.
+    State is one count for a team's day, dropped once the watermark has passed
+    the day; a busy team is spread over its days, and a busy day streams through
+    its call, which holds one Arrow batch and the earliest ``quota`` rows."""
     d = sub.select(F.col("team").cast("long"), F.col("id").cast("long"), F.col("ts").cast("timestamp").alias("ts"),
                    F.to_date("ts").cast("string").alias("day"),
-                   F.floor(F.unix_date(F.to_date("ts")) / QUOTA_BLOCK_DAYS).alias("block")).withWatermark("ts", watermark)
-    return d.groupBy("team", "block").applyInPandasWithState(_make_quota(quota), QUOTA_OUT, QUOTA_STATE, "append",
-                                                    GroupStateTimeout.EventTimeTimeout)
+                   F.unix_date(F.to_date("ts")).alias("day_number")).withWatermark("ts", watermark)
+    return d.groupBy("team", "day_number").applyInPandasWithState(_make_quota(quota), QUOTA_OUT, QUOTA_STATE, "append",
+                                                                  GroupStateTimeout.EventTimeTimeout)
 
 
 # ---------------------------------------------------------------- R4
