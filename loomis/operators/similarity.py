@@ -16,9 +16,11 @@ in hardly any prefix.  Frequencies come from a count sketch of fixed size
 result does not depend on the sketch's precision.
 
 ``near_groups`` gives connected components without ever forming all pairs of a
-group: in each shingle's group all members are first compared with one star;
-components of those verified links are found; and only members of groups that
-still hold several components are then compared across components.
+group: in each shingle's group all members are first compared with one star,
+the member with the fewest rarer shingles (of near copies the one that was changed
+least, which the others are nearest to); components of those verified links are
+found; and only members of groups that still hold several components are then
+compared across components.
 ``similar_pairs`` gives every link between different texts.
 """
 
@@ -43,20 +45,24 @@ _WORD_CACHE = 1 << 20
 _PRESENT = 1 << 23          # bits of the filter in front of the shuffle of sets (131,072 rows)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                  0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
-_WORDS: dict[bytes, int] = {}
 
 
 # ---------------------------------------------------------------- sets
+class _Words(dict):
+    """64-bit hashes of the words a worker has seen."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        return h
+
+
+_WORDS = _Words()
+
+
 def _word_hashes(words: list[bytes]) -> np.ndarray:
     if len(_WORDS) > _WORD_CACHE:
         _WORDS.clear()
-    out = np.empty(len(words), np.uint64)
-    for i, w in enumerate(words):
-        h = _WORDS.get(w)
-        if h is None:
-            h = _WORDS[w] = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little")
-        out[i] = h
-    return out
+    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
 
 
 def shingle_set(text: str, k: int = SHINGLE) -> np.ndarray:
@@ -181,7 +187,7 @@ _GROUP = "token bigint, node bigint, n int, pos int, star bigint, star_n int, st
 
 def _starred(batches):
     """Members of groups of two and more with their group's first member, from
-    rows sorted by token, size and node; memory is one batch."""
+    rows sorted by token, position, size and node; memory is one batch."""
     star = None             # first member of the group that the last batch ended in
     last = None             # last member of that group
     lone = None             # its only member, if it has one so far
@@ -220,13 +226,13 @@ def _starred(batches):
 
 def token_groups(prefixes: DataFrame) -> DataFrame:
     """Prefix rows of shingles that several nodes share, each with its group's
-    star (the smallest set).  A shingle whose counter exceeds ``HOT`` is not
+    star (the member in which the shingle comes first).  A shingle whose counter exceeds ``HOT`` is not
     gathered: its star is a minimum combined map-side and joined back."""
     cold = prefixes.where(F.col("often") <= HOT).drop("often").repartition("token") \
-        .sortWithinPartitions("token", "n", "node").mapInArrow(_starred, _GROUP)
+        .sortWithinPartitions("token", "pos", "n", "node").mapInArrow(_starred, _GROUP)
     hot = prefixes.where(F.col("often") > HOT).select("token", "node", "n", "pos").distinct()
     stars = hot.groupBy(F.col("token").alias("s_token")).agg(
-        F.min(F.struct("n", "node", "pos")).alias("s"), F.count(F.lit(1)).alias("m")).where("m > 1")
+        F.min(F.struct("pos", "n", "node")).alias("s"), F.count(F.lit(1)).alias("m")).where("m > 1")
     hot = hot.join(stars, F.col("token") == F.col("s_token")).select(
         "token", "node", "n", "pos", F.col("s.node").alias("star"), F.col("s.n").alias("star_n"),
         F.col("s.pos").alias("star_pos"))
@@ -240,12 +246,12 @@ def _cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _possible(small: str, small_pos: str, large: str, large_pos: str, threshold: tuple[int, int]):
-    """Length and position filters (small has at most large's size)."""
+def _possible(n1: str, pos1: str, n2: str, pos2: str, threshold: tuple[int, int]):
+    """Length and position filters."""
     num, den = threshold
-    need = F.expr(f"({num} * ({small} + {large}) + {num + den - 1}) div {num + den}")
-    return (F.col(small) * den >= F.col(large) * num) & \
-        (F.least(F.col(small) - F.col(small_pos), F.col(large) - F.col(large_pos)) >= need)
+    need = F.expr(f"({num} * ({n1} + {n2}) + {num + den - 1}) div {num + den}")
+    return (F.least(n1, n2) * den >= F.greatest(n1, n2) * num) & \
+        (F.least(F.col(n1) - F.col(pos1), F.col(n2) - F.col(pos2)) >= need)
 
 
 # ---------------------------------------------------------------- verification
@@ -357,14 +363,14 @@ def near_groups(df: DataFrame, key: str, text: str, k: int = SHINGLE,
     # Groups that still hold several components: compare across components.
     named = groups.join(labels.withColumnRenamed("node", "l_node"), F.col("node") == F.col("l_node"), "left") \
         .withColumn("root", F.coalesce("root", "node")).drop("l_node")
-    named = _cut(named, "named")
+    named = _cut(named.select("token", "node", "n", "pos", "star", "root"), "named")
     open_ = named.groupBy(F.col("token").alias("o_token")).agg(F.min("root").alias("lo"), F.max("root").alias("hi")) \
         .where("lo <> hi").select("o_token")
     rest = named.join(open_, F.col("token") == F.col("o_token"), "left_semi")
     x, y = (rest.select("token", *[F.col(c).alias(f"{p}_{c}") for c in ("node", "n", "pos", "star", "root")])
             for p in ("x", "y"))
     # A group's star was compared with all its members.
-    pairs = x.where("x_node <> x_star").join(y, "token").where("x_root <> y_root") \
+    pairs = x.where("x_node <> x_star").join(y.where("y_node <> y_star"), "token").where("x_root <> y_root") \
         .where(F.struct("x_n", "x_node") < F.struct("y_n", "y_node")) \
         .where(_possible("x_n", "x_pos", "y_n", "y_pos", threshold))
     pairs = _cut(pairs.select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct(), "pairs")
