@@ -111,17 +111,63 @@ def near_duplicates(df: DataFrame, key: str, text: str, num_perm: int = 32, band
 
 
 # ---------------------------------------------------------------- D2
+RADIX = 3       # hex digits per round: histograms of 4,096 counts for each category
+DIGITS = 32     # of an md5
+
+
+def cut_off_keys(rows: DataFrame, category: str, hash_: str, wanted: DataFrame) -> DataFrame:
+    """(category, cut): the rows of a category whose hash prefix of ``len(cut)``
+    digits is at most ``cut`` are its ``want`` smallest ones (``wanted``:
+    category, want; 1 <= want <= rows).  A distributed radix select: each round
+    counts, map-side combined, the next digits of the rows in the one digit
+    bucket that holds the cut-off, and goes on inside it until the bucket is
+    taken whole or, at equal hashes, the digits end.  Nothing is sorted but 4,096
+    counts of a category."""
+    spark = rows.sparkSession
+    open_ = wanted.select(category, F.lit("").alias("prefix"), F.col("want").alias("need"))
+    done = None
+    for length in range(RADIX, DIGITS + RADIX, RADIX):
+        o = open_.select(F.col(category).alias("_c"), "prefix", "need")
+        inside = rows.join(o, F.col(category).eqNullSafe(F.col("_c"))) \
+            .where(F.col(hash_).startswith(F.col("prefix")))
+        counts = inside.groupBy(category, "prefix", "need", F.substring(hash_, 1, length).alias("digits")) \
+            .agg(F.count(F.lit(1)).alias("n"))
+        upto = Window.partitionBy(category).orderBy("digits").rowsBetween(Window.unboundedPreceding, 0)
+        at = counts.withColumn("upto", F.sum("n").over(upto)).where("upto >= need and upto - n < need") \
+            .select(category, "digits", "n", (F.col("need") - F.col("upto") + F.col("n")).alias("need")).checkpoint()
+        whole = (F.col("n") == F.col("need")) | F.lit(length >= DIGITS)
+        ended = at.where(whole).select(category, F.col("digits").alias("cut"), "need", "n")
+        done = ended if done is None else done.unionByName(ended)
+        open_ = at.where(~whole).select(category, F.col("digits").alias("prefix"), "need")
+        if open_.isEmpty():
+            break
+    return done if done is not None else spark.createDataFrame([], wanted.schema)
+
+
 def balance_categories(df: DataFrame, category: str, key: str, target: int, seed: int | str = 42) -> DataFrame:
     """Exactly ``target`` rows per category: down-sample by ``md5(id:seed)``;
     categories below target are repeated ``ceil(target / n)`` times first
-    (``copy`` numbers the repeats).  ``row_number() <= target`` gets a map-side
-    group limit, so a category holding most rows is cut before the shuffle."""
-    counts = df.groupBy(category).agg(F.count(F.lit(1)).alias("_n"))
-    withn = df.join(counts, category)
-    rep = withn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.lit(target) / F.col("_n")).cast("int")))))
-    w = Window.partitionBy(category).orderBy("copy", seeded_key(key, seed))
-    return rep.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= target).drop("_r", "_n") \
-              .withColumn("copy", F.col("copy").cast("long"))
+    (``copy`` numbers the repeats).  All copies but the last are taken whole; of
+    the last one the rows up to a cut-off hash, found by ``cut_off_keys``, so no
+    category is sorted or gathered, whatever its size and the target.  Rows of one
+    key are equal to the hash; among them the first ones of an order by all
+    columns are taken."""
+    d = df.withColumn("_h", seeded_key(key, seed))
+    counts = d.groupBy(category).agg(F.count(F.lit(1)).alias("_n")) \
+        .withColumn("_copies", F.greatest(F.lit(1), F.ceil(F.lit(target) / F.col("_n"))).cast("long")).checkpoint()
+    wanted = counts.select(category, (F.lit(target) - (F.col("_copies") - 1) * F.col("_n")).alias("want"))
+    cuts = cut_off_keys(d.select(category, "_h"), category, "_h", wanted)
+    plan = counts.select(F.col(category).alias("_c"), "_copies").join(
+        cuts.select(F.col(category).alias("_c2"), "cut", "need", "n"), F.col("_c").eqNullSafe(F.col("_c2"))).drop("_c2", "n")
+    j = d.join(plan, F.col(category).eqNullSafe(F.col("_c")))
+    head = F.substring("_h", 1, F.length("cut"))
+    full = j.where(F.col("_copies") > 1).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies") - 1)))
+    below = j.where((head < F.col("cut")) | ((head == F.col("cut")) & (F.length("cut") < DIGITS))).withColumn("copy", F.col("_copies"))
+    # Equal hashes at the cut-off: rows of one key.
+    ties = j.where((head == F.col("cut")) & (F.length("cut") >= DIGITS)).withColumn(
+        "_r", F.row_number().over(Window.partitionBy(category, "_h").orderBy(*[c for c in df.columns]))) \
+        .where("_r <= need").drop("_r").withColumn("copy", F.col("_copies"))
+    return full.unionByName(below).unionByName(ties).select(*df.columns, F.col("copy").cast("long").alias("copy"))
 
 
 # ---------------------------------------------------------------- D3

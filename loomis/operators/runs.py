@@ -45,6 +45,56 @@ def run_metrics(metric: DataFrame, run: str = "run", step: str = "step", loss: s
                                        F.round("smoothed_loss", 6).alias("smoothed_loss"))
 
 
+SMOOTH_BLOCK = 256
+
+
+def smoothed_series(metric: DataFrame, alpha: float = 0.1, run: str = "run", step: str = "step",
+                    loss: str = "loss") -> DataFrame:
+    """(run, step, loss, smoothed, best): exponential smoothing of every run,
+    ``s_1 = x_1, s_t = (1 - alpha) s_(t-1) + alpha x_t``, and the smallest loss so
+    far; steps are numbered from 1.  Runs overlay on ``step``.
+
+    A step is an affine map of the smoothed value, and maps compose: the 256
+    steps of a block make one map, whose offset is a partially aggregated sum.
+    The maps of a run's blocks are composed in order (a row for each 256 steps),
+    which gives the value at every block's start; inside a block the values are
+    a running sum in powers of ``1 - alpha``.  No window holds more than a block
+    or a run's blocks.  ``alpha`` in (0, 0.9]: (1 - alpha) ** -256 must be a
+    double."""
+    if not 0 < alpha <= 0.9:
+        raise ValueError("alpha must be in (0, 0.9]")
+    keep = 1.0 - alpha
+    d = metric.select(F.col(run).alias("run"), F.col(step).cast("long").alias("step"), F.col(loss).cast("double").alias("loss"))
+    d = d.withColumn("block", F.floor((F.col("step") - 1) / SMOOTH_BLOCK))
+    # The first value is taken whole.
+    weight = F.when(F.col("step") == 1, 1.0).otherwise(alpha)
+    end = (F.col("block") + 1) * SMOOTH_BLOCK
+    maps = d.groupBy("run", "block").agg(F.sum(weight * F.col("loss") * F.pow(F.lit(keep), end - F.col("step"))).alias("offset"),
+                                         F.min("loss").alias("low"))
+    before = Window.partitionBy("run").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # All blocks before the last are full, so every map has the slope keep ** 256.
+    slope = keep ** SMOOTH_BLOCK
+    runs = Window.partitionBy("run").orderBy("block")
+    earlier = F.collect_list("offset").over(runs.rowsBetween(-_reach(slope), -1))
+    start = F.aggregate(earlier, F.lit(0.0), lambda a, x: a * slope + x)
+    maps = maps.select(F.col("run").alias("m_run"), F.col("block").alias("m_block"), start.alias("start"),
+                       F.min("low").over(before).alias("low"))
+    j = d.join(maps, (F.col("run") == F.col("m_run")) & (F.col("block") == F.col("m_block")))
+    place = (F.col("step") - F.col("block") * SMOOTH_BLOCK).cast("double")
+    inside = Window.partitionBy("run", "block").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    total = F.sum(weight * F.col("loss") * F.pow(F.lit(keep), -place)).over(inside)
+    best = F.least(F.col("low"), F.min("loss").over(inside))
+    return j.select("run", "step", "loss", (F.pow(F.lit(keep), place) * (F.col("start") + total)).alias("smoothed"), best.alias("best"))
+
+
+def _reach(slope: float) -> int:
+    """Blocks back beyond which a block's share is below a double's precision."""
+    reach, share = 1, slope
+    while share > 1e-18:
+        reach, share = reach + 1, share * slope
+    return reach
+
+
 # ---------------------------------------------------------------- T4
 def best_config(df: DataFrame, group: str, config: str, score: str) -> DataFrame:
     """argmax of the score per group, ties to the smallest config id."""

@@ -213,6 +213,46 @@ def pad_batches(df: DataFrame, key: str, ids: str, batch_size: int, pad_id: Colu
             .withColumn("n_real", F.col("_n").cast("long")).drop("_n")
 
 
+def budget_batches(df: DataFrame, key: str, ids: str, budget: int, step: int = 64) -> DataFrame:
+    """Batches of at most ``budget`` padded tokens, packed by length.
+
+    Rows are range-sorted by length (ties by ``key``) and numbered by counts
+    carried across partitions.  Lengths are rounded up to ``step``; a class of
+    length L is cut after every ``budget div L`` rows, so no batch, padded to its
+    longest row, exceeds the budget and no row is padded by ``step`` or more
+    tokens.  There is no window and no shard count: a class of any size is split
+    by row numbers.  A row longer than the budget is a batch of its own, marked
+    ``over_budget``; rows without tokens form classes of length ``step``.
+
+    Adds length_class, batch, batch_len, n_real, n_pad, over_budget."""
+    n = F.coalesce(F.greatest(F.size(ids), F.lit(0)), F.lit(0)).cast("long")
+    d = df.withColumn("n_real", n)
+    d = d.withColumn("length_class", F.greatest(F.ceil(F.col("n_real") / step), F.lit(1)).cast("long") * step)
+    d = dense_index(d, ["n_real", key], name="_at")
+    # One row per length class: the longest row's length / step at most.
+    starts = d.groupBy(F.col("length_class").alias("_c")).agg(F.min("_at").alias("_first"))
+    d = d.join(starts, F.col("length_class") == F.col("_c")).drop("_c")
+    room = F.greatest(F.floor(F.lit(budget) / F.least(F.col("length_class"), F.lit(budget))), F.lit(1))
+    d = d.withColumn("batch", F.floor((F.col("_at") - F.col("_first")) / F.when(F.col("n_real") > budget, 1).otherwise(room)))
+    d = d.withColumn("over_budget", F.col("n_real") > budget).drop("_at", "_first")
+    longest = d.groupBy(F.col("length_class").alias("_c"), F.col("batch").alias("_b")).agg(F.max("n_real").alias("batch_len"))
+    d = d.join(longest, (F.col("length_class") == F.col("_c")) & (F.col("batch") == F.col("_b"))).drop("_c", "_b")
+    return d.withColumn("n_pad", F.col("batch_len") - F.col("n_real"))
+
+
+def budget_report(batches: DataFrame, budget: int) -> DataFrame:
+    """Per length class: rows, batches, real and padded tokens, waste, the
+    fullest batch and the rows that no budget of this size can hold."""
+    each = batches.groupBy("length_class", "batch").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum("n_real").alias("_real"), F.sum("n_pad").alias("_pad"),
+        F.sum("batch_len").alias("_size"), F.max(F.col("over_budget").cast("int")).alias("_over"))
+    return each.groupBy("length_class").agg(
+        F.sum("_n").alias("n_samples"), F.count(F.lit(1)).alias("n_batches"), F.sum("_real").alias("real_tokens"),
+        F.sum("_pad").alias("pad_tokens"), F.max(F.when(F.col("_over") == 0, F.col("_size"))).alias("largest_batch"),
+        F.sum("_over").cast("long").alias("n_over_budget"),
+        F.round(F.try_divide(F.sum("_pad"), F.sum("_size")), 6).alias("waste"))
+
+
 # ---------------------------------------------------------------- A18
 def padding_stats(padded: DataFrame) -> DataFrame:
     return padded.groupBy("bucket", "batch").agg(
@@ -270,6 +310,6 @@ def split_routes(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 __all__ = ["TOKEN_PATTERN", "build_vocab", "encode", "encode_corpus", "decode", "decode_corpus", "mask_labels", "truncate_tokens",
-           "pad_batches", "padding_stats", "token_length_stats", "length_by_task", "token_efficiency",
+           "pad_batches", "budget_batches", "budget_report", "padding_stats", "token_length_stats", "length_by_task", "token_efficiency",
            "longest_samples", "length_filter", "split_routes", "supervised_count", "pad_id_rule", "token_id", "marker_starts",
            "first_marker"]

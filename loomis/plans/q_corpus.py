@@ -187,6 +187,41 @@ def padding_stats(spark, sf):
     return tk.padding_stats(_padded(spark, sf))
 
 
+BUDGET = 8192      # padded tokens of a batch
+STEP = 64
+BUDGETED = [*CONV_VOCAB, s.encoded("CENC", "CRENDER", "conv_id", "CV"), f"""BC AS (
+  SELECT conv_id, CAST(len(ids) AS BIGINT) AS n_real,
+         CAST(greatest(ceil(len(ids) / {STEP}), 1) AS BIGINT) * {STEP} AS length_class FROM CENC)""", f"""BB AS (
+  SELECT *, n_real > {BUDGET} AS over_budget,
+         CAST((row_number() OVER (PARTITION BY length_class ORDER BY n_real, conv_id) - 1)
+              // (CASE WHEN n_real > {BUDGET} THEN 1 ELSE greatest({BUDGET} // least(length_class, {BUDGET}), 1) END)
+              AS BIGINT) AS batch FROM BC)""", """BL AS (
+  SELECT *, max(n_real) OVER (PARTITION BY length_class, batch) AS batch_len FROM BB)"""]
+
+
+def _budgeted(spark, sf):
+    enc, _ = encoded_conversations(spark, sf)
+    return tk.budget_batches(enc, "conv_id", "ids", BUDGET, STEP)
+
+
+@register("budget_batches", s.q(*BUDGETED, """
+SELECT conv_id, length_class, batch, batch_len, n_real, batch_len - n_real AS n_pad, over_budget FROM BL"""))
+def budget_batches(spark, sf):
+    """Conversations packed by length into batches of 8,192 padded tokens."""
+    return _budgeted(spark, sf).select("conv_id", "length_class", "batch", "batch_len", "n_real", "n_pad", "over_budget")
+
+
+@register("budget_report", s.q(*BUDGETED, """
+SELECT length_class, CAST(sum(n) AS BIGINT) AS n_samples, count(*) AS n_batches, CAST(sum(r) AS BIGINT) AS real_tokens,
+       CAST(sum(z - r) AS BIGINT) AS pad_tokens, max(CASE WHEN NOT o THEN z END) AS largest_batch,
+       CAST(sum(CASE WHEN o THEN 1 ELSE 0 END) AS BIGINT) AS n_over_budget, round(sum(z - r) / nullif(sum(z), 0), 6) AS waste
+FROM (SELECT length_class, batch, count(*) AS n, sum(n_real) AS r, CAST(sum(batch_len) AS BIGINT) AS z, bool_or(over_budget) AS o
+      FROM BL GROUP BY length_class, batch)
+GROUP BY length_class"""))
+def budget_report(spark, sf):
+    return tk.budget_report(_budgeted(spark, sf), BUDGET)
+
+
 # ---------------------------------------------------------------- A4
 @register("length_by_task", f"""
 SELECT lang AS category, source AS task, count(*) AS n_samples,

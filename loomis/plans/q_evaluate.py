@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomis.operators import evaluate as ev
+from loomis.operators import metrics as mt
 from loomis.operators import records as rc
 from loomis.plans import bindings as b
 from loomis.plans import sqlparts as s
 from loomis.plans.registry import register
+from loomis.schemas import LAYERS
 
 
 def matched_candidates(spark, sf):
@@ -153,6 +155,29 @@ def layered_scoreboard(spark, sf):
     return ev.layered_scoreboard(matched_candidates(spark, sf))
 
 
+# Evaluation layers and dimensions; prompts are dealt to them by their number.
+_LAYER_OF = [(layer, dimension) for layer, dimension, _ in LAYERS]
+
+
+@register("layer_scoreboard", s.q(*s.CAND_BASE, f"""LM AS (
+  SELECT m.*, l.layer, l.dimension FROM MATCHED m
+  JOIN (VALUES {", ".join(f"({i}, '{a}', '{d}')" for i, (a, d) in enumerate(_LAYER_OF))}) l(i, layer, dimension)
+    ON m.prompt_id % {len(_LAYER_OF)} = l.i)""", """
+SELECT layer, dimension, domain, mode, CAST(grouping_id(layer, dimension, domain, mode) AS BIGINT) AS gid,
+       count(*) AS n_candidates, count(DISTINCT prompt_id) AS n_prompts,
+       CAST(sum(CASE WHEN hit THEN 1 ELSE 0 END) AS BIGINT) AS n_hits,
+       round(avg(CASE WHEN hit THEN 1 ELSE 0 END), 6) AS hit_rate, min(CASE WHEN hit THEN attempt END) AS first_hit
+FROM LM GROUP BY GROUPING SETS ((layer, dimension, domain, mode), (layer, dimension, domain), (layer, dimension), (layer), (mode), ())"""))
+def layer_scoreboard(spark, sf):
+    """Registered metrics by layer, dimension, domain and mode with subtotals."""
+    pick = lambda k: F.element_at(F.array(*[F.lit(x[k]) for x in _LAYER_OF]),
+                                  (F.col("prompt_id") % len(_LAYER_OF) + 1).cast("int"))
+    m = matched_candidates(spark, sf).withColumn("layer", pick(0)).withColumn("dimension", pick(1))
+    full = ("layer", "dimension", "domain", "mode")
+    return mt.scoreboard(m, ["n_candidates", "n_prompts", "n_hits", "hit_rate", "first_hit"],
+                         [full, full[:3], full[:2], full[:1], ("mode",), ()])
+
+
 def _mode_domain_scores(spark, sf):
     m = matched_candidates(spark, sf)
     per = m.groupBy("prompt_id", "domain", "mode").agg(F.max(F.col("hit").cast("int")).alias("_h"))

@@ -4,14 +4,18 @@ size."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from loomis.operators import chatml as cm
+from loomis.operators import intervals as iv
 from loomis.operators import runs as ru
+from loomis.operators import sketches as sk
 from loomis.plans import bindings as b
 from loomis.plans import sqlparts as s
 from loomis.plans.registry import register
+from loomis.session import scratch_path
 
 RANKS, LRS, EPOCHS, ACCUMS = [8, 16, 32], [5e-5, 1e-4], [5], [8]
 
@@ -53,6 +57,21 @@ def run_metrics(spark, sf):
     return ru.run_metrics(b.run_metrics_table(spark, sf))
 
 
+ALPHA = 0.1
+
+
+@register("smoothed_series", "WITH RECURSIVE " + s.METRIC + f""", S AS (
+  SELECT run, step, loss, CAST(loss AS DOUBLE) AS smoothed, loss AS best FROM METRIC WHERE step = 1
+  UNION ALL
+  SELECT m.run, m.step, m.loss, {1 - ALPHA} * S.smoothed + {ALPHA} * m.loss, least(S.best, m.loss)
+  FROM S JOIN METRIC m ON m.run = S.run AND m.step = S.step + 1)
+SELECT run, CAST(step AS BIGINT) AS step, round(loss, 6) AS loss, round(smoothed, 6) AS smoothed, round(best, 6) AS best FROM S""")
+def smoothed_series(spark, sf):
+    """Smoothed loss of every step of every run, ready to be laid over one another."""
+    out = ru.smoothed_series(b.run_metrics_table(spark, sf), ALPHA)
+    return out.select("run", "step", *[F.round(c, 6).alias(c) for c in ("loss", "smoothed", "best")])
+
+
 # ---------------------------------------------------------------- T4
 @register("best_config", s.q(s.SUB, """
 SELECT team, id AS best_id, score AS best_score FROM (
@@ -103,3 +122,38 @@ FROM SUB LEFT JOIN (VALUES {_PH}) P(phase, start_day, end_day)
 def submissions_by_phase(spark, sf):
     phases = spark.createDataFrame(PHASES, "phase string, start date, end date")
     return ru.submissions_by_phase(b.submissions(spark, sf), phases).select("id", "team", "phase")
+
+
+@register("submissions_in_windows", s.q(s.SUB, """
+SELECT w.id AS window_id, w.team AS window_team, count(p.id) AS n_submissions, count(DISTINCT p.team) AS n_teams
+FROM SUB w JOIN SUB p ON epoch_us(p.ts) // 1000000 >= epoch_us(w.ts) // 1000000
+  AND epoch_us(p.ts) // 1000000 <= epoch_us(w.ts) // 1000000 + 60 * (w.id % 30)
+GROUP BY w.id, w.team"""))
+def submissions_in_windows(spark, sf):
+    """Every submission opens a window of up to half an hour; submissions of all
+    teams inside each (many overlapping intervals)."""
+    sub = b.submissions(spark, sf).withColumn("sec", F.unix_timestamp(F.col("ts").cast("timestamp")))
+    windows = sub.select(F.col("id").alias("window_id"), F.col("team").alias("window_team"), F.col("sec").alias("opens"),
+                         (F.col("sec") + 60 * (F.col("id") % 30)).alias("shuts"))
+    hit = iv.interval_join(sub.select("id", "team", "sec"), F.col("sec"), windows, F.col("opens"), F.col("shuts"))
+    return hit.groupBy("window_id", "window_team").agg(F.count(F.lit(1)).alias("n_submissions"),
+                                                       F.count_distinct("team").alias("n_teams"))
+
+
+@register("stored_sketches", """
+SELECT user_id AS run, count(*) AS n, true AS distinct_ok, true AS median_ok FROM events GROUP BY user_id""")
+def stored_sketches(spark, sf):
+    """Sketches of every day's events, stored by day and merged per run without
+    the events; the estimates are held against the exact figures (distinct events
+    within 5 %, the rank of the median within 2 %)."""
+    ev = b.table(spark, sf, "events").select(F.col("user_id").alias("run"), "event_id", F.col("value").alias("loss"),
+                                             F.to_date("ts").alias("day"))
+    path = sk.write_sketches(ev, scratch_path(spark, "sketches", uuid.uuid4().hex), "day", ["run"], ["event_id"], ["loss"])
+    est = sk.merged(spark, path, ["run"])
+    exact = ev.groupBy("run").agg(F.count_distinct("event_id").alias("events"))
+    rank = ev.join(est.select("run", "q50_loss"), "run").groupBy("run").agg(
+        F.avg((F.col("loss") < F.col("q50_loss")).cast("int")).alias("below"),
+        F.avg((F.col("loss") <= F.col("q50_loss")).cast("int")).alias("upto"))
+    j = est.join(exact, "run").join(rank, "run")
+    return j.select("run", "n", (F.abs(F.col("distinct_event_id") - F.col("events")) <= 0.05 * F.col("events") + 1).alias("distinct_ok"),
+                    ((F.col("below") <= 0.52) & (F.col("upto") >= 0.48)).alias("median_ok"))
