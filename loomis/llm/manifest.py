@@ -26,12 +26,13 @@ other columns of the input are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomis.functions.plan import pin_columns
 from loomis.plans.sequence import dense_index
 
 from .base import cut
@@ -78,33 +79,38 @@ def _height(n: Column) -> Column:
     return out
 
 
-def _runs(h: str) -> Column:
-    """Digests of an array in runs of eight, each run's bytes joined."""
-    run = lambda j: F.slice(h, (j * FAN + 1).cast("int"), FAN)
-    return F.transform(F.sequence(F.lit(0), F.floor((F.size(h) - 1) / FAN)),
-                       lambda j: F.aggregate(run(j), F.lit(b""), lambda a, x: F.concat(a, x)))
-
-
-def _levels(leaves: DataFrame, most: int) -> list[DataFrame]:
-    """Node levels 1, 2, ... of all trees: (g, n, i, kids, h); n is the number
-    of the tree's leaves, ``most`` the largest n.  One pass gathers blocks of
-    512 digests and builds three levels of them."""
-    out, level, size = [], leaves.select("g", "n", "i", "h"), 1
-    while size < most:
-        # A tree whose level below is one node has ended there.
-        block = level.where(F.col("n") > size).groupBy("g", "n", F.floor(F.col("i") / FAN ** BLOCK_LEVEL).alias("up")) \
-            .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "h"))), lambda x: x["h"]).alias("h0"))
-        for s in range(1, BLOCK_LEVEL + 1):
-            block = pin_columns(block.withColumn(f"k{s}", _runs(f"h{s - 1}")))
-            block = pin_columns(block.withColumn(f"h{s}", F.transform(f"k{s}", lambda k: _digest(_text(k)))))
-        block = cut(block.drop("h0"), "manifest-levels")
-        for s in range(1, BLOCK_LEVEL + 1):
-            if size < most:
-                level = block.where(F.col("n") > size).select("g", "n", "up", F.posexplode(F.arrays_zip(
-                    F.col(f"k{s}").alias("kids"), F.col(f"h{s}").alias("h"))).alias("at", "x"))
-                level = level.select("g", "n", (F.col("up") * FAN ** (BLOCK_LEVEL - s) + F.col("at")).alias("i"), "x.kids", "x.h")
-                out.append(level)
-            size *= FAN
+def _levels(leaves: DataFrame, most: int) -> DataFrame | None:
+    """All node rows above the leaves: (g, n, level, i, kids, h); n is the
+    number of the tree's leaves, ``most`` the largest n.  One pass gathers blocks
+    of 512 digests and builds three levels of them."""
+    def build(base):
+        def run(batches):
+            for b in batches:
+                rows = []
+                for g, n, up, digests in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                    for s in range(1, BLOCK_LEVEL + 1):
+                        # A tree whose level below is one node has ended there.
+                        if n <= FAN ** (base + s - 1):
+                            break
+                        kids = [b"".join(digests[j:j + FAN]) for j in range(0, len(digests), FAN)]
+                        digests = [hashlib.sha256(k.hex().encode()).digest() for k in kids]
+                        first = up * FAN ** (BLOCK_LEVEL - s)
+                        rows += [(g, n, base + s, first + j, k, h) for j, (k, h) in enumerate(zip(kids, digests, strict=True))]
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)],
+                                                     names=["g", "n", "level", "i", "kids", "h"])
+        return run
+
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    out, level, base = None, leaves.select("g", "n", "i", "h"), 0
+    while FAN ** base < most:
+        block = level.where(F.col("n") > FAN ** base).groupBy("g", "n", F.floor(F.col("i") / FAN ** BLOCK_LEVEL).alias("up")) \
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "h"))), lambda x: x["h"]).alias("digests"))
+        built = cut(block.mapInArrow(build(base), "g bigint, n bigint, level int, i bigint, kids binary, h binary"),
+                    "manifest-levels")
+        out = built if out is None else out.union(built)
+        base += BLOCK_LEVEL
+        level = built.where(F.col("level") == base)
     return out
 
 
@@ -143,52 +149,50 @@ def build(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, str | None]
         .select("doc_id", "g", "n", (F.col("at") - F.col("first")).alias("i"), "h", "th")
     leaves = leaves.select("*", *_linked(F.col("i"), F.lit(0), F.col("g"), F.col("n"), F.lit(trees)))
     leaves = cut(leaves, "manifest-ranked")
-    levels = _levels(leaves, most)
+    inner = _levels(leaves, most)
     # Subroots: the one node of each tree's highest level.
-    tops = [leaves.where("n = 1").select("g", "h")]
-    tops += [x.where((_height(F.col("n")) == k + 1)).select("g", "h") for k, x in enumerate(levels)]
-    subroots = tops[0]
-    for x in tops[1:]:
-        subroots = subroots.union(x)
+    subroots = leaves.where("n = 1").select("g", "h")
+    if inner is not None:
+        subroots = subroots.union(inner.where(F.col("level") == _height(F.col("n"))).select("g", "h"))
     subroots = cut(subroots, "manifest-subroots")
-    over = subroots.select(F.lit(_TOP).cast("long").alias("g"), F.lit(trees).cast("long").alias("n"),
-                           F.col("g").alias("i"), "h")
-    crown = _levels(over, trees)
-    last = crown[-1] if crown else subroots
+    crown = _levels(subroots.select(F.lit(_TOP).cast("long").alias("g"), F.lit(trees).cast("long").alias("n"),
+                                    F.col("g").alias("i"), "h"), trees)
+    last = subroots if crown is None else crown.where(F.col("level") == _height(F.lit(trees)))
     top = last.select(_text(F.col("h")).alias("h")).first()
+    nodes = _nodes(inner, crown, langs, trees)
+    return leaves, cut(nodes, "manifest-nodes"), subroots, top["h"] if top else None
 
-    rows = []
-    for k, x in enumerate(levels):
-        level = k + 1
-        link = _linked(F.col("i"), F.lit(level), F.col("g"), F.col("n"), F.lit(trees))
-        x = x.select(F.col("g").alias("bg"), "n", F.col("g").alias("ng"), F.lit(level).alias("nl"),
-                     F.col("i").alias("ni"), "kids", *link)
-        if level <= BLOCK_LEVEL:
-            x = x.withColumn("block", F.floor(F.col("ni") / FAN ** (BLOCK_LEVEL - level)))
-        else:
-            wide, ends = FAN ** (level - BLOCK_LEVEL), F.floor((F.col("n") - 1) / FAN ** BLOCK_LEVEL)
-            x = _blocks(x, F.col("ni") * wide, F.least((F.col("ni") + 1) * wide - 1, ends))
-        rows.append(x.drop("n"))
-    for k, x in enumerate(crown):
-        # The tree over the subroots lies above every block of its languages.
-        under = langs.select(F.col("g").alias("bg"), F.col("n").alias("bn"), F.floor(F.col("g") / FAN ** (k + 1)).alias("bi"))
-        link = _linked(F.col("i"), F.lit(k + 1), F.col("g"), F.col("n"), F.lit(trees))
-        x = x.select("g", "i", "kids", *link).join(under, F.col("i") == F.col("bi"))
-        x = x.select("bg", F.col("g").alias("ng"), F.lit(k + 1).alias("nl"), F.col("i").alias("ni"), "kids",
-                     "pg", "pl", "pi", "pos", "bn")
-        rows.append(_blocks(x, F.lit(0).cast("long"), F.floor((F.col("bn") - 1) / FAN ** BLOCK_LEVEL)).drop("bn"))
+
+def _nodes(inner: DataFrame | None, crown: DataFrame | None, langs: DataFrame, trees: int) -> DataFrame:
+    """Parent-linked node rows: (bg, block) the block of leaves they serve, (ng,
+    nl, ni) the node, its children, its parent and its place there."""
+    def linked(d):
+        return _linked(F.col("i"), F.col("level"), F.col("g"), F.col("n"), F.lit(trees))
     cols = ["bg", "block", "ng", "nl", "ni", "kids", "pg", "pl", "pi", "pos"]
-    nodes = None
-    for x in rows:
-        x = x.select(*cols)
-        nodes = x if nodes is None else nodes.union(x)
-    if nodes is None:
-        spark = docs.sparkSession
-        nodes = spark.createDataFrame([], "bg long, block long, ng long, nl int, ni long, kids binary, pg long, "
-                                          "pl int, pi long, pos int")
-    else:
-        nodes = cut(nodes, "manifest-nodes")
-    return leaves, nodes, subroots, top["h"] if top else None
+    own = [F.col("g").alias("ng"), F.col("level").alias("nl"), F.col("i").alias("ni"), "kids"]
+    low, high = None, None
+    if inner is not None:
+        d = inner.select(F.col("g").alias("bg"), *own, *linked(inner), F.col("n").alias("bn"))
+        wide = lambda k: F.pow(F.lit(float(FAN)), F.abs(F.col("nl") - BLOCK_LEVEL)).cast("long") * k
+        low = d.where(F.col("nl") <= BLOCK_LEVEL).withColumn("block", F.floor(F.col("ni") / wide(1))).select(*cols)
+        high = d.where(F.col("nl") > BLOCK_LEVEL).withColumn("lo", F.col("ni") * wide(1)) \
+            .withColumn("hi", (F.col("ni") + 1) * wide(1) - 1)
+    if crown is not None:
+        # The tree over the subroots lies above every block of its languages.
+        under = langs.select(F.col("g").alias("bg"), F.col("n").alias("bn"))
+        up = crown.withColumn("wide", F.pow(F.lit(float(FAN)), F.col("level")).cast("long")) \
+            .withColumn("child", F.explode(F.sequence(F.col("i") * F.col("wide"), F.least((F.col("i") + 1) * F.col("wide"), F.col("n")) - 1)))
+        up = up.join(under, F.col("child") == F.col("bg")).select("bg", *own, *linked(crown), "bn") \
+            .withColumn("lo", F.lit(0).cast("long")).withColumn("hi", F.lit(1 << 62))
+        high = up if high is None else high.unionByName(up)
+    if high is not None:
+        ends = F.floor((F.col("bn") - 1) / FAN ** BLOCK_LEVEL)
+        high = _blocks(high, F.col("lo"), F.least("hi", ends)).select(*cols)
+    some = [x for x in (low, high) if x is not None]
+    if not some:
+        return langs.sparkSession.createDataFrame([], "bg long, block long, ng long, nl int, ni long, kids binary, pg long, "
+                                                      "pl int, pi long, pos int")
+    return some[0] if len(some) == 1 else some[0].unionByName(some[1])
 
 
 # One step: the digest folded so far goes into its place among the node's
