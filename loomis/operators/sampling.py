@@ -11,12 +11,13 @@ partitioning or retries.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomis.plans.sequence import dense_index
 from loomis.schemas import DECODING_STRATEGIES, ITEMIC_DOMAINS
 
 
@@ -127,32 +128,34 @@ def itemic_echo_generator(batch: pd.DataFrame) -> pd.Series:
     return pd.Series(out, index=batch.index)
 
 
-def batch_generate(prompts: DataFrame, generator: Generator = itemic_echo_generator, batch_size: int = 4,
-                   key: str = "prompt_id", prompt: str = "prompt", strategy: str = "strategy") -> DataFrame:
-    """Run ``generator`` over micro-batches inside ``mapInPandas``.
+def recorded_generator(batch: pd.DataFrame) -> pd.Series:
+    """Answers recorded for the prompts (column ``recorded``, joined by Spark
+    beforehand): replays a run of a model instead of calling one."""
+    return batch["recorded"]
+
 
-    Rows are hash-partitioned by prompt id; inside each Arrow batch they are
-    sorted by prompt length and cut into micro-batches of ``batch_size``
-    (left padding then wastes least).  Output adds ``response``,
-    ``micro_batch`` and the pad count a left-padded batch would carry."""
+def batch_generate(prompts: DataFrame, generator: Generator = itemic_echo_generator, batch_size: int = 4,
+                   key: str = "prompt_id", prompt: str = "prompt", strategy: str = "strategy",
+                   carry: Sequence[str] = ()) -> DataFrame:
+    """Run ``generator`` over micro-batches of ``batch_size`` prompts.
+
+    The micro-batches follow the length of the prompts over all rows (a range
+    sort numbered across partitions, ties by key and strategy), so they and their
+    padding do not depend on the partitioning; a batch is one call of the
+    generator with the prompts, the ``carry`` columns and nothing else in memory.
+    Output: key, strategy, response, micro_batch, n_prompt_chars, and the padding
+    that a left-padded batch would carry."""
+    src = prompts.select(F.col(key).cast("long").alias(key), prompt, strategy, *carry) \
+        .withColumn("n_prompt_chars", F.coalesce(F.length(prompt), F.lit(0)).cast("long"))
+    src = dense_index(src, ["n_prompt_chars", key, strategy], name="_at")
+    src = src.withColumn("micro_batch", F.floor(F.col("_at") / batch_size)).drop("_at")
     schema = (f"{key} long, {strategy} string, response string, micro_batch long, "
               f"n_prompt_chars long, n_pad_chars long")
 
-    def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in it:
-            if pdf.empty:
-                continue
-            pdf = pdf.assign(_len=pdf[prompt].str.len()).sort_values(["_len", key, strategy]).reset_index(drop=True)
-            pdf["micro_batch"] = (pdf.index // batch_size).astype("int64")
-            longest = pdf.groupby("micro_batch")["_len"].transform("max")
-            resp = []
-            for _, mb in pdf.groupby("micro_batch", sort=True):
-                resp.append(generator(mb))
-            pdf["response"] = pd.concat(resp).reindex(pdf.index)
-            yield pd.DataFrame({key: pdf[key].astype("int64"), strategy: pdf[strategy],
-                                "response": pdf["response"], "micro_batch": pdf["micro_batch"],
-                                "n_prompt_chars": pdf["_len"].astype("int64"),
-                                "n_pad_chars": (longest - pdf["_len"]).astype("int64")})
-
-    src = prompts.select(F.col(key).cast("long").alias(key), prompt, strategy).repartition(key)
-    return src.mapInPandas(run, schema)
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["n_prompt_chars", key, strategy]).reset_index(drop=True)
+        return pd.DataFrame({key: pdf[key], strategy: pdf[strategy], "response": generator(pdf),
+                             "micro_batch": pdf["micro_batch"], "n_prompt_chars": pdf["n_prompt_chars"],
+                             "n_pad_chars": pdf["n_prompt_chars"].max() - pdf["n_prompt_chars"]})
+
+    return src.groupBy("micro_batch").applyInPandas(run, schema)

@@ -262,6 +262,17 @@ def padding_stats(padded: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A3
+def supervised_lengths(df: DataFrame, text: str, marker: Sequence[str], max_len: int) -> DataFrame:
+    """``df`` with n_tokens and n_sup: tokens of the text, and those behind its
+    first marker that remain after truncation (0 without a marker).  Counts
+    need no ids: no vocabulary, no exchange."""
+    d = pin_columns(df.withColumn("_t", F.coalesce(tokens(text), F.array().cast("array<string>"))))
+    d = pin_columns(d.withColumn("_s", F.array_min(marker_starts("_t", F.array(*[F.lit(x) for x in marker]), len(marker)))))
+    n = F.size("_t").cast("long")
+    sup = F.greatest(F.least(n, F.lit(max_len)) - (F.col("_s") + len(marker) - 1), F.lit(0))
+    return d.withColumn("n_tokens", n).withColumn("n_sup", F.coalesce(sup, F.lit(0)).cast("long")).drop("_t", "_s")
+
+
 def token_length_stats(df: DataFrame, n_tokens: str, n_supervised: str, max_len: int) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_samples"), F.min(n_tokens).cast("long").alias("min_tokens"),
                   F.max(n_tokens).cast("long").alias("max_tokens"),

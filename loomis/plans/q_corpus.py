@@ -141,9 +141,7 @@ SELECT count(*) AS n_samples, CAST(min(len(ids)) AS BIGINT) AS min_tokens, CAST(
        count(*) FILTER (WHERE len(list_filter(labels_first[1:{MAX_LEN}], lambda x: x <> -100)) = 0) AS n_zero_supervised
 FROM MASKED"""))
 def token_length_stats(spark, sf):
-    m, _ = masked_conversations(spark, sf)
-    t = tk.truncate_tokens(m, ["ids", "labels_first"], MAX_LEN)
-    t = t.withColumn("n_sup", tk.supervised_count("labels_first"))
+    t = tk.supervised_lengths(rendered_conversations(spark, sf), "text", ["<|im_start|>", "assistant"], MAX_LEN)
     return tk.token_length_stats(t, "n_tokens", "n_sup", MAX_LEN)
 
 

@@ -9,6 +9,7 @@ from loomis.operators import chatml as cm
 from loomis.operators import sampling as sa
 from loomis.plans import bindings as b
 from loomis.plans import sqlparts as s
+from loomis.plans.q_records import CTX, IDS, LA
 from loomis.plans.registry import register
 
 T = 0.7
@@ -118,12 +119,20 @@ def strategy_grid(spark, sf):
 
 
 # ---------------------------------------------------------------- G6
-@register("batch_generate")
+@register("batch_generate", s.q(LA, CTX, IDS, f"""P AS (
+  SELECT i.conv_id, LA.ans,
+         coalesce((SELECT string_agg('<|im_start|>' || role || {s.NL} || text || '<|im_end|>' || {s.NL}, '' ORDER BY turn)
+                   FROM CTX WHERE CTX.conv_id = i.conv_id), '') || '<|im_start|>assistant' || {s.NL} AS prompt
+  FROM IDS i JOIN LA USING (conv_id))""", f"""G AS (
+  SELECT conv_id, strategy, ans, CAST(length(prompt) AS BIGINT) AS n
+  FROM P CROSS JOIN (VALUES {_STRAT_VALUES}) st(strategy, do_sample, temperature, top_p))""", """N AS (
+  SELECT *, CAST((row_number() OVER (ORDER BY n, conv_id, strategy) - 1) // 4 AS BIGINT) AS micro_batch FROM G)""", """
+SELECT conv_id AS prompt_id, strategy, ans AS response, micro_batch, n AS n_prompt_chars,
+       max(n) OVER (PARTITION BY micro_batch) - n AS n_pad_chars FROM N"""))
 def batch_generate(spark, sf):
-    """Prompts (P6) × strategies (J5) → generator in mapInPandas → P12
-    cleanup.  Rows-only: the stand-in generator is deterministic but Python."""
+    """Prompts (P6) × strategies (J5), the recorded last assistant turns as the
+    model's answers, whole."""
     conv = cm.split_answer(cm.assemble_conversations(b.table(spark, sf, "conversations")))
-    prompts = cm.render_prompts(conv, "context").select(F.col("conv_id").alias("prompt_id"), "prompt")
-    grid = sa.strategy_grid(prompts).select("prompt_id", "prompt", "strategy")
-    out = sa.batch_generate(grid, batch_size=4)
-    return out.withColumn("response", cm.clean_response("response"))
+    prompts = cm.render_prompts(conv, "context").select(F.col("conv_id").alias("prompt_id"), "prompt", "answer")
+    grid = sa.strategy_grid(prompts).select("prompt_id", "prompt", "strategy", F.col("answer").alias("recorded"))
+    return sa.batch_generate(grid, sa.recorded_generator, batch_size=4, carry=["recorded"])

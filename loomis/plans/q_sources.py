@@ -184,22 +184,59 @@ def ingest_sft_records(spark, sf):
     return p.select("conv_id", "system", "prompt", "response", src.sft_reject_reason().alias("reason"))
 
 
+@register("read_sft_uploads", s.q(LA, CTX, IDS, f"""T3 AS (
+  SELECT i.conv_id,
+         coalesce((SELECT arg_min(text, turn) FROM conversations x WHERE x.conv_id = i.conv_id AND x.role = 'system'), '') AS system,
+         coalesce((SELECT string_agg(text, {s.NL} ORDER BY turn) FROM CTX WHERE CTX.conv_id = i.conv_id
+                   AND CTX.role <> 'system'), '') AS prompt,
+         LA.ans AS response
+  FROM IDS i JOIN LA USING (conv_id))""", """
+SELECT f.format, sha256(concat_ws('|', system, prompt, coalesce(response, 'none'))) AS record, count(*) AS n
+FROM T3 CROSS JOIN (VALUES ('csv'), ('json')) f(format) GROUP BY ALL
+UNION ALL SELECT 'json', 'corrupt', count(*) FROM IDS"""))
+def read_sft_uploads(spark, sf):
+    """Uploads written as JSON lines (each followed by a garbled line) and as CSV
+    with newlines, quotes and commas inside fields, read by ``read_sft_records``."""
+    tf = cm.to_three_field(cm.assemble_conversations(b.table(spark, sf, "conversations"))).select("system", "prompt", "response")
+    base = scratch_path(spark, "uploads", uuid.uuid4().hex)
+    lines = tf.select(F.explode(F.array(F.to_json(F.struct("system", "prompt", "response")), F.lit("not json"))).alias("value"))
+    lines.write.text(f"{base}/json")
+    tf.write.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false") \
+        .option("ignoreTrailingWhiteSpace", "false").csv(f"{base}/csv")
+    both = None
+    for fmt in ("json", "csv"):
+        r = src.read_sft_records(spark, f"{base}/{fmt}", fmt)
+        body = F.sha2(F.concat_ws("|", F.coalesce("system", F.lit("")), F.coalesce("prompt", F.lit("")),
+                                  F.coalesce("response", F.lit("none"))), 256)
+        r = r.select(F.lit(fmt).alias("format"), F.when(F.col("_corrupt").isNotNull(), F.lit("corrupt")).otherwise(body).alias("record"))
+        both = r if both is None else both.unionByName(r)
+    return both.groupBy("format", "record").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ---------------------------------------------------------------- S4
 @register("write_training_set", f"""
 WITH LA AS (SELECT conv_id, max(turn) FILTER (WHERE role = 'assistant') AS la,
                    arg_max(text, turn) FILTER (WHERE role = 'assistant') AS ans FROM conversations GROUP BY conv_id)
-SELECT 'v1' AS version, ['{"','".join(CATEGORIES)}'][c.conv_id % 4 + 1] AS category, c.conv_id, count(*) AS n_turns
-FROM conversations c JOIN LA USING (conv_id)
-WHERE LA.la IS NOT NULL AND length(LA.ans) > 0 AND c.turn <= LA.la
-GROUP BY c.conv_id""")
+SELECT v.version, ['{"','".join(CATEGORIES)}'][c.conv_id % 4 + 1] AS category, c.conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || ': ' || text, chr(10) ORDER BY turn)) AS content
+FROM conversations c JOIN LA USING (conv_id) CROSS JOIN (VALUES ('v1'), ('v2')) v(version)
+WHERE LA.la IS NOT NULL AND length(LA.ans) > 0 AND c.turn <= LA.la AND (v.version = 'v1' OR c.conv_id % 4 <> 1)
+GROUP BY v.version, c.conv_id""")
 def write_training_set(spark, sf):
+    """Two versions of a dataset as JSON lines, the second without a category;
+    the first is written twice, which replaces it.  Contents are read back."""
     sp = cm.split_answer(cm.assemble_conversations(b.table(spark, sf, "conversations")))
     rec = cm.append_answer_turn(sp.drop("messages"), "context", "answer", out="messages")
     cat = F.element_at(F.array(*[F.lit(c) for c in CATEGORIES]), (F.col("conv_id") % 4 + 1).cast("int"))
     rec = rec.select("conv_id", cat.alias("category"), "messages")
-    path = src.write_training_set(rec, scratch_path(spark, "datasets", uuid.uuid4().hex), "v1")
-    back = spark.read.parquet(path)
-    return back.select("version", "category", "conv_id", F.size("messages").cast("long").alias("n_turns"))
+    path = scratch_path(spark, "datasets", uuid.uuid4().hex)
+    for version, part in (("v1", rec.limit(5)), ("v1", rec), ("v2", rec.where("conv_id % 4 <> 1"))):
+        src.write_training_set(part, path, version, fmt="json")
+    schema = "version string, category string, conv_id long, messages array<struct<role:string,content:string>>"
+    back = spark.read.schema(schema).json(path)
+    text = F.array_join(F.transform("messages", lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n")
+    return back.select("version", "category", "conv_id", F.size("messages").cast("long").alias("n_turns"),
+                       F.sha2(text, 256).alias("content"))
 
 
 # ---------------------------------------------------------------- S5
