@@ -135,29 +135,35 @@ def mask_labels(df: DataFrame, ids: str, marker: Sequence[Column | int], end_id:
     ``first``: everything up to the end of the first assistant marker is
     ignored (no marker → all ignored).  ``assistant_only``: only tokens after
     an assistant marker up to and including the next ``end_id`` are kept.
-    Marker ids may be scalar subqueries; they are attached as columns first
-    (higher-order functions cannot hold subqueries)."""
+    The labels are put together from slices, in time that grows with the tokens
+    plus the square of the markers.  Marker ids may be scalar subqueries; they
+    are attached as columns first (higher-order functions cannot hold them)."""
     m = len(marker)
     d = pin_columns(df.withColumn("_mk", _marker_col(marker)))
     d = pin_columns(d.withColumn("_st", marker_starts(ids, F.col("_mk"), m)))
+    n = F.size(ids)
+    ignored = lambda k: F.array_repeat(F.lit(IGNORE_INDEX).cast("bigint"), k.cast("int"))
     if mode == "first":
-        d = pin_columns(d.withColumn("_first", F.array_min("_st")))
-        first = F.col("_first")
-        lab = F.transform(ids, lambda x, i: F.when(first.isNotNull() & (i + 1 >= first + m), x)
-                          .otherwise(F.lit(IGNORE_INDEX).cast("bigint")))
+        d = pin_columns(d.withColumn("_first", F.coalesce(F.array_min("_st") + (m - 1), n)))
+        lab = F.concat(ignored(F.col("_first")), F.slice(ids, F.col("_first") + 1, F.greatest(n, F.lit(0))))
     elif mode == "assistant_only":
         d = pin_columns(d.withColumn("_end", (end_id if isinstance(end_id, Column) else F.lit(end_id)).cast("bigint")))
         d = pin_columns(d.withColumn("_en", F.filter(F.transform(ids, lambda x, i: F.when(x == F.col("_end"), i + 1)),
                                                      lambda p: p.isNotNull())))
-
-        def keep(x, i):
-            s = F.array_max(F.filter("_st", lambda st: st + m <= i + 1))
-            e = F.array_max(F.filter("_en", lambda en: en < i + 1))
-            return F.when(s.isNotNull() & (e.isNull() | (e < s)), x).otherwise(F.lit(IGNORE_INDEX).cast("bigint"))
-        lab = F.transform(ids, keep)
+        # The span of a marker runs from behind it to the next end (or the last token).
+        spans = F.transform("_st", lambda st: F.struct((st + m).alias("a"), F.greatest(F.coalesce(F.array_min(
+            F.filter("_en", lambda en: en > st)), n), st + (m - 1)).alias("b")))
+        d = pin_columns(d.withColumn("_sp", spans))
+        # Markers with the same end are one span, the first one's.
+        d = pin_columns(d.withColumn("_sp", F.filter("_sp", lambda x, i: (i == 0) | (F.get("_sp", i - 1)["b"] != x["b"]))))
+        before = lambda i: F.coalesce(F.get("_sp", i - 1)["b"], F.lit(0))
+        pieces = F.transform("_sp", lambda x, i: F.concat(
+            ignored(x["a"] - 1 - before(i)), F.slice(ids, x["a"], F.greatest(x["b"] - x["a"] + 1, F.lit(0)))))
+        last = F.coalesce(F.get("_sp", F.size("_sp") - 1)["b"], F.lit(0))
+        lab = F.concat(F.flatten(pieces), ignored(n - last))
     else:
         raise ValueError(f"unknown mode {mode}")
-    return d.withColumn(out, lab).drop("_mk", "_st", "_en", "_end", "_first")
+    return d.withColumn(out, lab.cast("array<bigint>")).drop("_mk", "_st", "_en", "_end", "_first", "_sp")
 
 
 def first_marker(df: DataFrame, ids: str, marker: Sequence[Column | int], out: str) -> DataFrame:

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomis.operators.itemic import itemic_token
 from loomis.plans.sequence import sequence_within
 from loomis.schemas import CANDIDATES_PER_MODE, CANDIDATES_TOTAL, ITEMIC_DOMAINS
 
@@ -55,11 +56,6 @@ def targets(h: DataFrame) -> DataFrame:
                                     F.max("seq").alias("n_events"))
 
 
-def itemic_text(domain, a, b, c):
-    return F.concat(F.lit("<|"), domain, F.lit("_begin|><s_a_"), a.cast("string"),
-                    F.lit("><s_b_"), b.cast("string"), F.lit("><s_c_"), c.cast("string"), F.lit(">"))
-
-
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item catalogue: (item, description, domain, a, b, c, token)."""
     part = table(spark, sf_dir, "part")
@@ -71,7 +67,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("p_partkey") * 7919 % 8192).cast("int").alias("a"),
         (F.col("p_partkey") * 104729 % 8192).cast("int").alias("b"),
         (F.col("p_partkey") * 1299709 % 8192).cast("int").alias("c"))
-    return out.withColumn("token", itemic_text(F.col("domain"), F.col("a"), F.col("b"), F.col("c")))
+    return out.withColumn("token", itemic_token(F.col("domain"), F.col("a"), F.col("b"), F.col("c")))
 
 
 def candidates(spark: SparkSession, sf_dir: str, h: DataFrame | None = None) -> DataFrame:

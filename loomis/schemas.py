@@ -65,7 +65,6 @@ WARMUP_RATIO = 0.05
 # Candidate generation protocol: 64 generations, 32 thinking + 32 non-thinking.
 CANDIDATES_PER_MODE = 32
 CANDIDATES_TOTAL = 64
-MODES = ["thinking", "non_thinking"]
 
 # Decoding strategies compared on one prompt (name, do_sample, T, top_p).
 DECODING_STRATEGIES = [
@@ -74,11 +73,9 @@ DECODING_STRATEGIES = [
     ("sample_t0.7", True, 0.7, 0.95),
     ("sample_t1.5", True, 1.5, 0.95),
 ]
-DEFAULT_TOP_P = 0.95
 DEFAULT_TEMPERATURE = 0.7
 
-# Material-understanding JSON answer keys (type, audience, keywords, scenario).
-MATERIAL_JSON_KEYS = ["type", "audience", "keywords", "scenario"]
+# Material understanding: instruction and prompt of the catalogue rows.
 MATERIAL_SYSTEM_PROMPT = (
     "你是一个视频内容理解助手。\n"
     "请分析给定的视频物料，输出：\n"
@@ -95,17 +92,6 @@ LAYERS = [("R0", "物料", "item understanding"), ("R2", "用户", "user evoluti
           ("R3", "推荐", "recommendation"), ("world", "世界", "world knowledge")]
 DAILY_SUBMISSION_QUOTA = 3
 
-# Answer-option extraction: capital option letters.
-OPTION_LETTERS = "ABCDEFGH"
-
-# ---------------------------------------------------------------------------
-# Reason codes for quarantined rows, in rule order.
-# ---------------------------------------------------------------------------
-REASONS = [
-    "missing_section", "empty_section", "bad_section_json", "no_messages",
-    "bad_messages_json", "bad_messages_type", "bad_metadata", "no_answer",
-]
-
 # ---------------------------------------------------------------------------
 # Canonical record shapes
 # ---------------------------------------------------------------------------

@@ -113,3 +113,21 @@ def test_round_trip(spark):
     dec = tz.decode_with(enc, "ids", vocab)
     for r in dec.collect():
         assert r.decoded == re.sub(r"\s", "", r.text or "", flags=re.ASCII)
+
+
+def test_labels_from_spans_equal_token_by_token_masks(spark):
+    rng = random.Random(8)
+    rows = [(i, [rng.choice([1, 2, 3, 9]) for _ in range(rng.choice([0, 1, 2, 3, 12, 60]))]) for i in range(300)]
+    df = spark.createDataFrame(rows, "k long, ids array<long>")
+    m = tk.mask_labels(df, "ids", [1, 2], mode="first", out="first")
+    m = tk.mask_labels(m, "ids", [1, 2], end_id=9, mode="assistant_only", out="only")
+    for r in m.collect():
+        ids = r.ids
+        starts = [i for i in range(len(ids) - 1) if ids[i:i + 2] == [1, 2]]
+        assert r.first == [x if starts and i >= starts[0] + 2 else -100 for i, x in enumerate(ids)]
+        want = []
+        for i, x in enumerate(ids):
+            s = max((q for q in starts if q + 2 <= i), default=None)
+            e = max((q for q in range(i) if ids[q] == 9), default=-1)
+            want.append(x if s is not None and e < s else -100)
+        assert r.only == want, ids
