@@ -103,7 +103,13 @@ def scan(automaton, text: bytes) -> tuple[int, list[list[int]], set]:
 
 def char_spans(text: str, ranges: list[list[int]]) -> list[tuple[int, int]]:
     """Character offsets in the original text of word ranges."""
-    raw = text.encode()
+    return byte_text_spans(text.encode(), ranges)
+
+
+def byte_text_spans(raw: bytes, ranges: list[list[int]]) -> list[tuple[int, int]]:
+    """``char_spans`` of a text given as UTF-8."""
+    if not ranges:
+        return []
     flags = np.frombuffer(raw.translate(_TABLE), np.uint8) != 32
     edge = np.diff(np.concatenate(([0], flags.astype(np.int8), [0])))
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -116,8 +122,9 @@ _OUT = "n_words bigint, ranges array<array<int>>, items array<string>"
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text: str = "text", size: int = WINDOW,
-                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """(doc_id, n_words, ranges, items): hit word ranges and items per row."""
+                  shard_bytes: int = SHARD_BYTES, spans: bool = False) -> DataFrame:
+    """(doc_id, n_words, ranges, items): hit word ranges and items per row;
+    with ``spans`` also their (start, end) in the original text, in characters."""
     spark = docs.sparkSession
     wins = cut(item_windows(benchmark, item_col, item_text, size), "windows")
     total = wins.agg(F.coalesce(F.sum(F.length("win")), F.lit(0))).first()[0]
@@ -144,16 +151,23 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                 out = [b.column(0), pa.array(n, pa.int64()), pa.array(ranges, pa.list_(pa.list_(pa.int32()))),
                        pa.array(items, pa.list_(pa.string()))]
                 names = ["doc_id", "n_words", "ranges", "items"]
+                if last and spans:
+                    found = [byte_text_spans(t.as_py(), r) for t, r in zip(b.column(1), out[2].to_pylist())]
+                    out.append(pa.array(found, pa.list_(pa.list_(pa.int64()))))
+                    names.append("spans")
                 yield pa.RecordBatch.from_arrays(out if last else [out[0], b.column(1), *out[1:]],
                                                  names=names if last else [names[0], "q_text", *names[1:]])
 
-        d = d.mapInArrow(run, f"doc_id {id_type}, {'' if last else 'q_text binary, '}{_OUT}")
+        more = ", spans array<array<bigint>>" if last and spans else ""
+        d = d.mapInArrow(run, f"doc_id {id_type}, {'' if last else 'q_text binary, '}{_OUT}{more}")
     return d
 
 
 def verdicts(found: DataFrame) -> DataFrame:
     """Digest of ``decontaminate``'s rows."""
     n_hit = F.aggregate("ranges", F.lit(0).cast("bigint"), lambda a, r: a + F.get(r, 1) - F.get(r, 0))
+    places = [F.array_join(F.transform("spans", lambda x: F.concat_ws(":", F.get(x, 0).cast("string"), F.get(x, 1).cast("string"))),
+                           ",").alias("leaks")] if "spans" in found.columns else []
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join(F.array_sort("items"), ","), 256).alias("items_sha256"),
-                        (n_hit > 0).alias("contaminated"))
+                        (n_hit > 0).alias("contaminated"), *places)

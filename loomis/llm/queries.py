@@ -74,7 +74,7 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words and items found in every document."""
     prepare(spark)
-    return verdicts(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return verdicts(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), spans=True))
 
 
 def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -187,6 +187,23 @@ def test_leak_spans_map_to_the_original():
     assert char_spans("Élan, vital!  AB c", [[0, 2], [3, 4]]) == [(0, 11), (17, 18)]
 
 
+def test_leak_spans_in_the_result(spark):
+    item = "Étoile one TWO three-four five six seven eight nine ten eleven"
+    body = "début. " + "filler words " * 20_000
+    texts = [None, "", "nothing here", body + "… " + item.upper().replace(" ", "  ") + "!", item + " and " + item.lower(),
+             "one two three four five six seven eight nine ten"]
+    bench = spark.createDataFrame([(7, item, 0), (8, None, 0), (9, "", 0)], "item_id long, text string, n_words long")
+    for shard in (1 << 22, 40):         # one automaton, several
+        got = {r.doc_id: r for r in verdicts(decontaminate(docs_of(spark, texts), bench, shard_bytes=shard, spans=True)).collect()}
+        assert [got[i].leaks for i in (0, 1, 2)] == ["", "", ""]
+        for i in (3, 4, 5):
+            spans = [tuple(map(int, x.split(":"))) for x in got[i].leaks.split(",")]
+            words = [w for a, b in spans for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(
+                c.lower() if "A" <= c <= "Z" else c for c in texts[i][a:b]))]
+            assert len(words) == got[i].n_hit > 0 and got[i].contaminated
+            assert all(not texts[i][a - 1:a].strip(" …!") or a == 0 for a, b in spans)
+
+
 def test_mixing(spark):
     rng = random.Random(11)
     texts, src = [None, "", "one"], ["a", None, "c"]
