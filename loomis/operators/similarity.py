@@ -41,34 +41,60 @@ THRESHOLD = (4, 5)          # similarity as a fraction
 SKETCH = 1 << 20            # counters of the frequency sketch (8 MB where it is broadcast)
 _SLICES = 64
 HOT = 1 << 16               # a shingle counted more often gets its star by an aggregate, not by a sorted group
-_WORD_CACHE = 1 << 20
 _PRESENT = 1 << 23          # bits of the filter in front of the shuffle of sets (131,072 rows)
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
                  0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
 # ---------------------------------------------------------------- sets
-class _Words(dict):
-    """64-bit hashes of the words a worker has seen."""
-
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-
-_WORDS = _Words()
-
-
-def _word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_WORDS) > _WORD_CACHE:
-        _WORDS.clear()
-    return np.fromiter(map(_WORDS.__getitem__, words), np.uint64, len(words))
+# Word hashes are polynomials of a table of 64-bit numbers, modulo 2**64, taken
+# for all words of a text at once from one running sum.
+_BASE = 0x9FB21C651E98DF25
+_TABLE = np.frombuffer(b"".join(hashlib.blake2b(bytes([i]), digest_size=8).digest() for i in range(256)), np.uint64)
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\x0b\x0c\r")] = True
+_PIECE = 1 << 18
+_POWERS: dict[str, np.ndarray] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, as many as a piece has needed."""
+    if len(_POWERS.get("up", ())) < n:
+        for name, x in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            p = np.full(n, x, np.uint64)
+            p[0] = 1
+            _POWERS[name] = np.cumprod(p, dtype=np.uint64)
+    return _POWERS["up"], _POWERS["down"]
+
+
+def _word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hashes of the words of a text, in their order; the text is taken in
+    pieces that end at white space."""
+    flat = np.frombuffer(text, np.uint8)
+    out, at = [], 0
+    while at < len(flat):
+        end = min(at + _PIECE, len(flat))
+        while end < len(flat) and not _SPACE[flat[end]]:
+            rest = np.flatnonzero(_SPACE[flat[end:end + _PIECE]])
+            end = end + int(rest[0]) if len(rest) else min(end + _PIECE, len(flat))
+        piece = flat[at:end]
+        edge = np.diff(np.concatenate(([True], _SPACE[piece], [True])).astype(np.int8))
+        begin, stop = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
+        up, down = _powers(len(piece) + 1)
+        total = np.zeros(len(piece) + 1, np.uint64)
+        np.cumsum(_TABLE[piece] * up[:len(piece)], out=total[1:])
+        h = (total[stop] - total[begin]) * down[begin]
+        # The lower bits of a sum of odd multiples are weak: fold the upper ones in.
+        h ^= h >> np.uint64(31)
+        out.append(h * _ODD[0])
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
 def shingle_set(text: str, k: int = SHINGLE) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word k-grams of a lower-cased text
     (words are cut at ASCII white space; fewer than k words are one k-gram)."""
-    w = _word_hashes(text.lower().encode("utf-8", "surrogatepass").split())
+    w = _word_hashes(text.lower().encode("utf-8", "surrogatepass"))
     n = len(w)
     if n == 0:
         return w
@@ -262,9 +288,13 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, threshold: tuple[int, i
     others where they are made."""
     num, den = threshold
     bit = lambda c: F.col(c).bitwiseAND(F.lit(_PRESENT - 1))
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("x"))
+    nodes = pairs.select(F.inline(F.array(F.struct(F.col("a").alias("x"), F.lit(True).alias("first")),
+                                          F.struct(F.col("b").alias("x"), F.lit(False).alias("first")))))
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), bit("x").bitwiseAND(F.lit(63)).cast("int"))
+    none = F.lit(0).cast("long")
     words = nodes.groupBy(F.shiftright(bit("x"), 6).alias("word")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), bit("x").bitwiseAND(F.lit(63)).cast("int"))).alias("bits"))
+        F.bit_or(F.when(F.col("first"), mark).otherwise(none)).alias("bits_a"),
+        F.bit_or(F.when(F.col("first"), none).otherwise(mark)).alias("bits_b"))
 
     def run(batches):
         held, size = [], 0
@@ -284,10 +314,11 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, threshold: tuple[int, i
 
     sets = texts.mapInArrow(run, "node bigint, toks array<bigint>")
     sets = sets.join(F.broadcast(words), F.shiftright(bit("node"), 6) == F.col("word"))
-    sets = sets.where(F.call_function("getbit", F.col("bits"), bit("node").bitwiseAND(F.lit(63)).cast("int")) == 1)
-    sets = _cut(sets.select("node", "toks").dropDuplicates(["node"]), "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("toks").alias("ta"))
-    right = sets.select(F.col("node").alias("b"), F.col("toks").alias("tb"))
+    has = lambda c: F.call_function("getbit", F.col(c), bit("node").bitwiseAND(F.lit(63)).cast("int")) == 1
+    sets = sets.select("node", "toks", has("bits_a").alias("is_a"), has("bits_b").alias("is_b")).where("is_a or is_b")
+    sets = _cut(sets.dropDuplicates(["node"]), "sets")
+    left = sets.where("is_a").select(F.col("node").alias("a"), F.col("toks").alias("ta"))
+    right = sets.where("is_b").select(F.col("node").alias("b"), F.col("toks").alias("tb"))
     j = pairs.select("a", "b").join(right, "b").join(left, "a")
     j = j.select("a", "b", F.size("ta").alias("na"), F.size("tb").alias("nb"),
                  F.size(F.array_intersect("ta", "tb")).alias("inter"))
