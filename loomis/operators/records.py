@@ -228,29 +228,34 @@ def choice_options(df: DataFrame, key: str, question: str) -> DataFrame:
     (/think, /no_think) at the question's end."""
     q = F.regexp_replace(F.col(question), r"\s*/(no_)?think\s*$", "")
     parts = F.split(F.regexp_replace(q, OPTION_HEAD, "$1\u0001$2"), "\u0001")
-    heads = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))),
+    heads = F.transform(F.slice(parts, 2, 1 << 30),
                         lambda p: F.struct(p.substr(1, 1).alias("letter"), p.substr(2, 1 << 30).alias("text")))
-    d = pin_columns(df.select(key, heads.alias("_h")))
-
-    def step(state, i):
-        h, rest = F.get("_h", i), F.slice("_h", i + 1, F.greatest(F.size("_h"), F.lit(1)))
-        after = F.char(F.ascii(state["last"]) + 1)
-        touches = h["text"].rlike(r"^[A-Z]\.")
-        begins = (h["letter"] == after) | (~F.exists(rest, lambda x: x["letter"] == after)
-                                           & (h["letter"] > state["last"]) & ~touches)
-        n = F.size(state["opts"])
-        open_ = F.get(state["opts"], n - 1)
-        longer = F.struct(open_["letter"].alias("letter"),
-                          F.concat(open_["text"], h["letter"], F.lit("."), h["text"]).alias("text"))
-        return F.when(begins, F.struct(h["letter"].alias("last"), F.array_append(state["opts"], h).alias("opts"))) \
-            .when(n == 0, state) \
-            .otherwise(F.struct(state["last"].alias("last"), F.concat(F.slice(state["opts"], 1, n - 1), F.array(longer)).alias("opts")))
-
-    start = F.struct(F.lit("@").alias("last"), F.array().cast("array<struct<letter:string,text:string>>").alias("opts"))
-    opts = F.when(F.size("_h") > 0, F.aggregate(F.sequence(F.lit(0), F.size("_h") - 1), start, step)["opts"])
-    d = pin_columns(d.select(key, opts.alias("_opts")))
-    return d.select(key, F.size("_opts").cast("long").alias("n_options"), F.explode("_opts").alias("_o")) \
-            .select(key, F.col("_o.letter").alias("letter"), strip_ws(F.col("_o.text")).alias("text"), "n_options")
+
+    def options(h_all):
+        def step(state, i):
+            h, rest = F.get(h_all, i), F.slice(h_all, i + 1, F.greatest(F.size(h_all), F.lit(1)))
+            after = F.char(F.ascii(state["last"]) + 1)
+            touches = h["text"].rlike(r"^[A-Z]\.")
+            begins = (h["letter"] == after) | (~F.exists(rest, lambda x: x["letter"] == after)
+                                               & (h["letter"] > state["last"]) & ~touches)
+            n = F.size(state["opts"])
+            open_ = F.get(state["opts"], n - 1)
+            longer = F.struct(open_["letter"].alias("letter"),
+                              F.concat(open_["text"], h["letter"], F.lit("."), h["text"]).alias("text"))
+            return F.when(begins, F.struct(h["letter"].alias("last"), F.array_append(state["opts"], h).alias("opts"))) \
+                .when(n == 0, state) \
+                .otherwise(F.struct(state["last"].alias("last"), F.concat(F.slice(state["opts"], 1, n - 1), F.array(longer)).alias("opts")))
+
+        start = F.struct(F.lit("@").alias("last"), F.array().cast("array<struct<letter:string,text:string>>").alias("opts"))
+        return F.when(F.size(h_all) > 0, F.aggregate(F.sequence(F.lit(0), F.size(h_all) - 1), start, step)["opts"])
+
+    # Heads and options are bound to lambda variables.  As columns they would be
+    # put back into every place that reads them, also in the filter that Spark
+    # infers from an explode of a column, and split the question again each time.
+    opts = F.flatten(F.transform(F.transform(F.array(heads), options), lambda o: F.transform(o, lambda x: F.struct(
+        x["letter"].alias("letter"), x["text"].alias("text"), F.size(o).cast("long").alias("n_options")))))
+    return df.select(key, F.explode(opts).alias("_o")) \
+             .select(key, F.col("_o.letter").alias("letter"), strip_ws(F.col("_o.text")).alias("text"), F.col("_o.n_options"))
 
 
 # ---------------------------------------------------------------- A1
