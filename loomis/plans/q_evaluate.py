@@ -249,11 +249,13 @@ def _second_run(spark, sf):
     return b.table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
 
 
-@register("missing_generations", f"""
-SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN ({RUN2})""")
+@register("missing_generations", s.q(s.H, """
+SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM H)"""))
 def missing_generations(spark, sf):
+    """Prompts (customers) without any result in the whole history."""
     cust = b.table(spark, sf, "customer").select("c_custkey", "c_name")
-    return ev.missing_generations(cust, _second_run(spark, sf), "c_custkey")
+    h = b.history(spark, sf).select(F.col("user_id").alias("c_custkey"))
+    return ev.missing_generations(cust, h, "c_custkey")
 
 
 @register("covered_prompts", f"""
