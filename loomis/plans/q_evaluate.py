@@ -241,14 +241,6 @@ def compare_models(spark, sf):
     return ev.compare_models(base, tuned, ["category", "prompt_id", "slot"])
 
 
-# The second run answered the users with an urgent order; some have none.
-RUN2 = "SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'"
-
-
-def _second_run(spark, sf):
-    return b.table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
-
-
 @register("missing_generations", s.q(s.H, """
 SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM H)"""))
 def missing_generations(spark, sf):
@@ -258,11 +250,13 @@ def missing_generations(spark, sf):
     return ev.missing_generations(cust, h, "c_custkey")
 
 
-@register("covered_prompts", f"""
-SELECT c_custkey, c_name FROM customer WHERE c_custkey IN ({RUN2})""")
+@register("covered_prompts", s.q(s.H, """
+SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT user_id FROM H)"""))
 def covered_prompts(spark, sf):
+    """Prompts (customers) with a result anywhere in the whole history."""
     cust = b.table(spark, sf, "customer").select("c_custkey", "c_name")
-    return ev.covered_prompts(cust, _second_run(spark, sf), "c_custkey")
+    h = b.history(spark, sf).select(F.col("user_id").alias("c_custkey"))
+    return ev.covered_prompts(cust, h, "c_custkey")
 
 
 @register("merge_candidate_pools", s.q(*s.CAND_BASE[:5], """V AS (
