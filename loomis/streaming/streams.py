@@ -3,7 +3,7 @@ ingestion with a quarantine sink (R2), the daily submission quota (R3) and
 windowed run metrics (R4).
 
 Stateful logic uses ``transformWithStateInPandas`` (R1, with timers) and
-``applyInPandasWithState`` (R3), keyed by conversation or by team and day; state
+``applyInPandasWithState`` (R3), keyed by conversation or by day and group of teams; state
 is one small record per key (running counts), never the key's rows.  Rows of a
 key inside one micro-batch arrive unordered, so each state function sorts them
 first.  Everything that can run in the JVM
@@ -187,7 +187,9 @@ def stream_ingest(lines: DataFrame, good_path: str, bad_path: str, checkpoint: s
 
 # ---------------------------------------------------------------- R3
 QUOTA_OUT = "team long, day string, id long, rank long"
-QUOTA_STATE = "taken int"       # submissions of the day so far, the quota at most
+# Teams of the group with submissions that day, and how many so far (the quota at most).
+QUOTA_STATE = "teams array<long>, taken array<int>"
+QUOTA_GROUPS = 512      # groups of teams in a day
 DAY_MS = 86_400_000
 
 
@@ -196,32 +198,42 @@ def _make_quota(quota: int):
         if state.hasTimedOut:
             state.remove()
             return
-        taken = state.get[0] if state.exists else 0
-        # Of the batch only the earliest rows that may still be accepted are held.
+        teams, taken = state.get if state.exists else ([], [])
+        so_far = dict(zip(teams, taken, strict=True))
+        # Of the batch only the earliest rows of a team that may still be accepted are held.
         best = None
         for pdf in pdfs:
             best = pdf if best is None else pd.concat([best, pdf])
-            best = best.sort_values(["ts", "id"], kind="stable").head(quota)
-        best = best.head(max(0, quota - taken))
-        state.update((int(taken + len(best)),))
-        # The day's count goes once the watermark has passed the day.
-        end = (int(key[1]) + 1) * DAY_MS
+            best = best.sort_values(["ts", "id"], kind="stable")
+            best = best[best.groupby("team", dropna=False).cumcount() < quota]
+        team = [None if pd.isna(t) else int(t) for t in best["team"]]
+        rank = best.groupby("team", dropna=False).cumcount().to_numpy(np.int64) + 1 \
+            + np.array([so_far.get(t, 0) for t in team], np.int64)
+        accepted = rank <= quota
+        for t, r in zip(team, rank.tolist(), strict=True):
+            so_far[t] = max(so_far.get(t, 0), min(r, quota))
+        state.update((list(so_far), list(so_far.values())))
+        # The day's counts go once the watermark has passed the day.
+        end = (int(key[0]) + 1) * DAY_MS
         state.setTimeoutTimestamp(max(end, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"team": best["team"], "day": best["day"], "id": best["id"],
-                            "rank": np.arange(taken + 1, taken + 1 + len(best), dtype=np.int64)})
+        yield pd.DataFrame({"team": best["team"], "day": best["day"], "id": best["id"], "rank": rank})[accepted]
     return fn
 
 
 def stream_daily_quota(sub: DataFrame, quota: int = DAILY_SUBMISSION_QUOTA, watermark: str = "1 day") -> DataFrame:
     """Accept the first ``quota`` submissions per team and day in event order.
-    State is one count for a team's day, dropped once the watermark has passed
-    the day; a busy team is spread over its days, and a busy day streams through
-    its call, which holds one Arrow batch and the earliest ``quota`` rows."""
-    d = sub.select(F.col("team").cast("long"), F.col("id").cast("long"), F.col("ts").cast("timestamp").alias("ts"),
+    A call settles a group of teams on a day, so its cost is shared by them; the
+    state is a count for each of these teams, dropped once the watermark has passed
+    the day.  A busy team is spread over its days, and a busy day streams through
+    its calls, which hold one Arrow batch and the earliest ``quota`` rows of a team."""
+    team = F.col("team").cast("long")
+    # Submissions without a team are a group of their own.
+    group = F.when(team.isNull(), -1).otherwise(F.pmod(F.xxhash64(team), F.lit(QUOTA_GROUPS)).cast("int"))
+    d = sub.select(team.alias("team"), F.col("id").cast("long"), F.col("ts").cast("timestamp").alias("ts"),
                    F.to_date("ts").cast("string").alias("day"),
-                   F.unix_date(F.to_date("ts")).alias("day_number")).withWatermark("ts", watermark)
-    return d.groupBy("team", "day_number").applyInPandasWithState(_make_quota(quota), QUOTA_OUT, QUOTA_STATE, "append",
-                                                                  GroupStateTimeout.EventTimeTimeout)
+                   F.unix_date(F.to_date("ts")).alias("day_number"), group.alias("team_group")).withWatermark("ts", watermark)
+    return d.groupBy("day_number", "team_group").applyInPandasWithState(_make_quota(quota), QUOTA_OUT, QUOTA_STATE, "append",
+                                                                        GroupStateTimeout.EventTimeTimeout)
 
 
 # ---------------------------------------------------------------- R4
