@@ -135,9 +135,9 @@ def submissions_in_windows(spark, sf):
     sub = b.submissions(spark, sf).withColumn("sec", F.unix_timestamp(F.col("ts").cast("timestamp")))
     windows = sub.select(F.col("id").alias("window_id"), F.col("team").alias("window_team"), F.col("sec").alias("opens"),
                          (F.col("sec") + 60 * (F.col("id") % 30)).alias("shuts"))
-    hit = iv.interval_join(sub.select("id", "team", "sec"), F.col("sec"), windows, F.col("opens"), F.col("shuts"))
-    return hit.groupBy("window_id", "window_team").agg(F.count(F.lit(1)).alias("n_submissions"),
-                                                       F.count_distinct("team").alias("n_teams"))
+    out = iv.interval_counts(sub, F.col("sec"), F.col("team"), windows, F.col("opens"), F.col("shuts"),
+                             ["window_id", "window_team"])
+    return out.select("window_id", "window_team", F.col("n").alias("n_submissions"), F.col("n_of").alias("n_teams"))
 
 
 @register("stored_sketches", """
