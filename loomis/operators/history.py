@@ -26,12 +26,13 @@ def truncate_history(h: DataFrame, n: int, key: str = "user_id", order: str = "s
 
 # ---------------------------------------------------------------- W5
 def perturb_history(h: DataFrame, seed: int | str, key: str = "user_id", seq: str = "seq",
-                    out: str = "new_pos") -> DataFrame:
+                    out: str = "new_pos", tasks: int | None = None) -> DataFrame:
     """Seeded reorder within each user: position by ``md5(user:seq:seed)``,
-    numbered in 256 hash-prefix buckets so a heavy user is split."""
+    numbered in 256 hash-prefix buckets so a heavy user is split, in ``tasks``
+    partitions (default: the session's)."""
     k = seeded_key(F.concat_ws(":", F.col(key).cast("string"), F.col(seq).cast("string")), seed)
     d = h.withColumn("_k", k)
-    return sequence_within(d, key, ["_k"], bucket=F.substring("_k", 1, 2), name=out).drop("_k")
+    return sequence_within(d, key, ["_k"], bucket=F.substring("_k", 1, 2), name=out, tasks=tasks).drop("_k")
 
 
 # ---------------------------------------------------------------- W6

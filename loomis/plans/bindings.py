@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomis.operators.itemic import itemic_token
-from loomis.plans.sequence import sequence_within
+from loomis.plans.sequence import sequence_within, tasks_for
 from loomis.schemas import CANDIDATES_PER_MODE, CANDIDATES_TOTAL, ITEMIC_DOMAINS
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -33,18 +33,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def history_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions for the history's rows (a count from the files' footers)."""
+    lines = table(spark, sf_dir, "lineitem")
+    return tasks_for(lines, lines.count())
+
+
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(user_id, item, ts, seq): every purchased part of a customer, numbered
     in time order with a full tie-break (line numbers repeat within an order).
     Numbering is bucketed by order day so one heavy customer spreads over
-    many tasks (see ``sequence_within``)."""
+    many tasks (see ``sequence_within``), and tasks are as many as the lines ask for."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    joined = orders.join(lines, orders.o_orderkey == lines.l_orderkey)
+    tasks = history_tasks(spark, sf_dir)
+    joined = orders.repartition(tasks, "o_orderkey").join(lines.repartition(tasks, "l_orderkey"),
+                                                          orders.o_orderkey == lines.l_orderkey)
     numbered = sequence_within(
         joined, "o_custkey",
         ["o_orderdate", "o_orderkey", "l_linenumber", "l_partkey"],
-        bucket=F.col("o_orderdate"))
+        bucket=F.col("o_orderdate"), tasks=tasks)
     return numbered.select(F.col("o_custkey").alias("user_id"), F.col("l_partkey").alias("item"),
                            F.col("o_orderdate").alias("ts"), "seq")
 

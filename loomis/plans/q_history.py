@@ -29,7 +29,7 @@ SELECT user_id, seq, item,
        row_number() OVER (PARTITION BY user_id ORDER BY md5(user_id || ':' || seq || ':' || '{SEED}')) AS new_pos
 FROM H"""))
 def perturb_history(spark, sf):
-    return hi.perturb_history(b.history(spark, sf), SEED).select("user_id", "seq", "item", "new_pos")
+    return hi.perturb_history(b.history(spark, sf), SEED, tasks=b.history_tasks(spark, sf)).select("user_id", "seq", "item", "new_pos")
 
 
 # ---------------------------------------------------------------- W6

@@ -16,17 +16,33 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+ROWS_PER_TASK = 1 << 19
+
+
+def tasks_for(df: DataFrame, n_rows: int) -> int:
+    """Partitions that keep a task to ``ROWS_PER_TASK`` of ``n_rows`` rows, the
+    session's number at least: a task's sorts then take the same memory however
+    large the input is."""
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // ROWS_PER_TASK))
+
+
 def sequence_within(df: DataFrame, key: str | list[str], order: list[Column | str],
-                    bucket: Column | None = None, name: str = "seq") -> DataFrame:
+                    bucket: Column | None = None, name: str = "seq", tasks: int | None = None) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
     if bucket is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)).cast("long"))
 
     with_bucket = df.withColumn("_bkt", bucket)
+    if tasks is not None:
+        with_bucket = with_bucket.repartition(tasks, *keys, "_bkt")
     counts = with_bucket.groupBy(*keys, "_bkt").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    if tasks is not None:
+        counts = counts.repartition(tasks, *keys)
     offsets = counts.select(*keys, "_bkt", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"))
+    if tasks is not None:
+        offsets = offsets.repartition(tasks, *keys, "_bkt")
     inner = Window.partitionBy(*keys, "_bkt").orderBy(*order_cols)
     return (with_bucket.join(offsets, [*keys, "_bkt"])
             .withColumn(name, (F.row_number().over(inner) + F.col("_off")).cast("long"))

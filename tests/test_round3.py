@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loomis.operators import intervals as iv
 from loomis.operators import records as rc
+from loomis.plans import bindings, sequence
 from loomis.plans.registry import load_all
 from loomis.streaming import streams as st
 
@@ -107,3 +108,14 @@ def test_windows_of_repeated_submissions(spark):
             want[i, u] += [v for _, v, x in sec if x is not None and s <= x <= s + 60 * (i % 30)]
     got = {(r.window_id, r.window_team): (r.n_submissions, r.n_teams) for r in out.collect()}
     assert got == {k: (len(v), len({x for x in v if x is not None})) for k, v in want.items()}
+
+
+def test_history_tasks_grow_with_the_lines(spark, shop, monkeypatch):
+    monkeypatch.setattr(sequence, "ROWS_PER_TASK", 1)
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    big = spark.range(own + 3)
+    assert sequence.tasks_for(big, big.count()) == own + 3 and sequence.tasks_for(big, 1) == own
+    monkeypatch.setattr(bindings, "tasks_for", lambda df, n: 7)
+    for out in (bindings.history(spark, shop), QUERIES["perturb_history"](spark, shop)):
+        assert out.rdd.getNumPartitions() == 7
+        assert sorted((r.user_id, r.seq, r.item) for r in out.collect()) == [(1, 1, 7), (4, 1, 8)]
