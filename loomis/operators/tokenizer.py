@@ -10,7 +10,9 @@ longest entry at each place of the text.
 
 A vocabulary is shipped only if its trie stays below a byte limit that is
 checked before anything leaves the executors; above it ``tokenizer_for``
-returns None and the join form (``tokens.encode``) does the work.
+returns None.  ``tokens.encode_corpus`` and ``decode_corpus`` then ship the head
+of the vocabulary, its smallest ids (the most frequent tokens), within the same
+limit, and only the tokens outside it, once a row, are joined.
 
 Defined cases: null text has no ids (an empty list); a pre-token that the
 vocabulary lacks gets ``unknown_id``; a null token of the vocabulary is
@@ -22,7 +24,7 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -181,7 +183,12 @@ class TrieTokenizer:
     def __call__(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         if self.pre_token is None:
             return [self._greedy((t or "").encode()) for t in texts]
-        parts = [self.pre_token.findall(t) if t else [] for t in texts]
+        return self.ids_of(self.split(texts))
+
+    def split(self, texts: Sequence[str | None]) -> list[list[str]]:
+        return [self.pre_token.findall(t) if t else [] for t in texts]
+
+    def ids_of(self, parts: list[list[str]]) -> list[np.ndarray]:
         cache = self._cache
         new = list({w for p in parts for w in p if w not in cache})
         if new:
@@ -215,6 +222,25 @@ def vocabulary_bytes(vocab: DataFrame, token: str = "token") -> int:
     return 12 * int(n) + 16 * 1024
 
 
+def head_end(vocab: DataFrame, limit: int = LIMIT_BYTES) -> int | None:
+    """The id at which the head of the vocabulary ends: the tokens with smaller
+    ids take at most ``limit`` bytes.  Summed over 1024 ranges of ids, so that
+    the driver sees as many rows at most.  None: no range of them fits."""
+    v = vocab.where("token is not null")
+    lo, hi = v.agg(F.min("id"), F.max("id")).first()
+    if lo is None:
+        return None
+    width = (hi - lo) // 1024 + 1
+    sums = v.groupBy(F.expr(f"(id - {lo}L) div {width}L").alias("r")).agg(F.sum(F.octet_length("token")).alias("n")).collect()
+    size, end = 16 * 1024, None
+    for r in sorted(sums):
+        size += 12 * r["n"]
+        if size > limit:
+            break
+        end = lo + (r["r"] + 1) * width
+    return end
+
+
 def tokenizer_for(vocab: DataFrame, limit: int = LIMIT_BYTES, unknown_id: int = -1,
                   pre_token: re.Pattern | None = PRE_TOKEN) -> TrieTokenizer | None:
     """The vocabulary's tokenizer, or None if it may exceed ``limit`` bytes.
@@ -227,15 +253,16 @@ def tokenizer_for(vocab: DataFrame, limit: int = LIMIT_BYTES, unknown_id: int =
     return TrieTokenizer(trie, unknown_id, pre_token) if trie.n_bytes <= limit else None
 
 
-def _column(df: DataFrame, source: str, out: str, kind: str, make: Callable[[pa.Array], pa.Array]) -> DataFrame:
-    """``df`` with a column made from another one, batch by batch."""
+def _column(df: DataFrame, source: str, out: str, kind: str, make: Callable[..., pa.Array],
+            more: str | None = None) -> DataFrame:
+    """``df`` with a column made from another one (or from two), batch by batch."""
     schema = df.withColumn(out, F.lit(None).cast(kind)).schema
-    at = df.columns.index(source)
+    at = [df.columns.index(c) for c in (source, more) if c is not None]
     name = out
 
     def run(batches):
         for b in batches:
-            made = make(b.column(at))
+            made = make(*[b.column(i) for i in at])
             names = [*b.schema.names, name] if name not in b.schema.names else b.schema.names
             cols = list(b.columns)
             if name in b.schema.names:
@@ -264,6 +291,19 @@ def _shipped(spark, thing) -> Callable[[], object]:
     return get
 
 
+def _held(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts in lists of about 1 MB; a longer text ends its list."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t.as_py())
+        size += len(held[-1] or "")
+        if size >= 1 << 20:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def encode_with(df: DataFrame, text: str, tokenizer: Callable[[Sequence[str | None]], Sequence], out: str = "ids") -> DataFrame:
     """``df`` with ids of its text column by a tokenizer plug-in.  Narrow: no
     exchange.  The tokenizer is broadcast once and called with the texts of a
@@ -272,28 +312,49 @@ def encode_with(df: DataFrame, text: str, tokenizer: Callable[[Sequence[str | No
 
     def make(texts: pa.Array) -> pa.Array:
         tokenize = shipped()
-        held, size, ids = [], 0, []
-        for t in texts:
-            t = t.as_py()
-            held.append(t)
-            size += len(t or "")
-            if size >= 1 << 20:
-                ids += list(tokenize(held))
-                held, size = [], 0
-        if held:
-            ids += list(tokenize(held))
+        ids = [x for held in _held(texts) for x in tokenize(held)]
         lengths = np.array([0, *(len(x) for x in ids)], np.int64).cumsum()
         values = np.concatenate([np.asarray(x, np.int64) for x in ids]) if ids else np.zeros(0, np.int64)
         return pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(values, pa.int64()))
     return _column(df, text, out, "array<bigint>", make)
 
 
+def encode_head(df: DataFrame, text: str, tokenizer: TrieTokenizer, mark: int, out: str, rest: str) -> DataFrame:
+    """``df`` with ids by the head of a vocabulary, and the distinct pre-tokens
+    that it lacks, in ``rest``; the j-th of them (from 0) is ``mark - j`` among
+    the ids.  ``tokenizer`` has pre-tokens and ``mark`` as its unknown id."""
+    shipped = _shipped(df.sparkSession, tokenizer)
+    schema = df.withColumn(out, F.lit(None).cast("array<bigint>")).withColumn(rest, F.lit(None).cast("array<string>")).schema
+    at = df.columns.index(text)
+
+    def run(batches):
+        tk = shipped()
+        for b in batches:
+            ids, missing = [], []
+            for held in _held(b.column(at)):
+                parts = tk.split(held)
+                for words, x in zip(parts, tk.ids_of(parts), strict=True):
+                    new: dict[str, int] = {}
+                    gone = np.flatnonzero(x == mark)
+                    x[gone] = [mark - new.setdefault(words[i], len(new)) for i in gone.tolist()]
+                    ids.append(x)
+                    missing.append(list(new))
+            ends = np.array([0, *(len(x) for x in ids)], np.int64).cumsum()
+            values = np.concatenate(ids) if ids else np.zeros(0, np.int64)
+            made = {out: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int64())),
+                    rest: pa.array(missing, pa.list_(pa.string()))}
+            have = dict(zip(b.schema.names, b.columns, strict=True)) | made
+            yield pa.RecordBatch.from_arrays([have[n] for n in schema.names], names=schema.names)
+    return df.mapInArrow(run, schema)
+
+
 def decode_with(df: DataFrame, ids: str, vocab: DataFrame, out: str = "decoded", skip: Column | None = None,
-                sep: str = "", limit: int = LIMIT_BYTES) -> DataFrame | None:
+                sep: str = "", limit: int = LIMIT_BYTES, more: str | None = None) -> DataFrame | None:
     """``df`` with the text of an id column: narrow, by an array of the
     vocabulary's tokens in the order of their ids.  An id that the vocabulary
     lacks becomes ``UNKNOWN_TEXT``; tokens for which ``skip`` holds are left
-    out.  None if the vocabulary exceeds ``limit`` bytes."""
+    out.  ``more`` names a column with the (id, token) of a row's other ids, a
+    null token left out.  None if the vocabulary exceeds ``limit`` bytes."""
     if vocabulary_bytes(vocab) > limit:
         return None
     voc = vocab.where("token is not null").select(
@@ -305,17 +366,21 @@ def decode_with(df: DataFrame, ids: str, vocab: DataFrame, out: str = "decoded",
     names = [None if gone[i] else names[i] for i in order]
     shipped = df.sparkSession.sparkContext.broadcast((keys[order], names))
 
-    def make(lists: pa.Array) -> pa.Array:
+    def make(lists: pa.Array, others: pa.Array | None = None) -> pa.Array:
         have, words = shipped.value
         out = []
-        for x in lists:
+        for row, x in enumerate(lists):
             if not x.is_valid:
                 out.append(None)
                 continue
             x = x.values.to_numpy(zero_copy_only=False)
             at = np.searchsorted(have, x)
             known = (at < len(have)) & (have[np.minimum(at, len(have) - 1)] == x) if len(have) else np.zeros(len(x), bool)
-            parts = (words[i] if k else UNKNOWN_TEXT for i, k in zip(at.tolist(), known.tolist(), strict=True))
+            own = {o["id"]: o["token"] for o in others[row].as_py() or ()} if others is not None else {}
+            parts = [words[i] if k else UNKNOWN_TEXT for i, k in zip(at.tolist(), known.tolist(), strict=True)]
+            if own:
+                for i in np.flatnonzero(~known).tolist():
+                    parts[i] = own.get(x[i], UNKNOWN_TEXT)
             out.append(sep.join(p for p in parts if p is not None))
         return pa.array(out, pa.string())
-    return _column(df, ids, out, "string", make)
+    return _column(df, ids, out, "string", make, more)

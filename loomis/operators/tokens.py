@@ -3,13 +3,15 @@ padded batches and the length reports built on them.
 
 Counting runs as ``regexp_extract_all`` inside the JVM.  Ids come from a
 vocabulary table: in one narrow pass by a shipped trie while the vocabulary is
-below a byte limit (``encode_corpus``, ``decode_corpus``; see ``tokenizer``),
-by a join on the token beyond it (``encode``, ``decode``; AQE splits hot tokens
-such as "the").
+below a byte limit (``encode_corpus``, ``decode_corpus``; see ``tokenizer``);
+beyond it the most frequent tokens are shipped and the rare ones of each row
+joined.  ``encode`` and ``decode`` join every token (AQE splits hot ones such as
+"the").
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,6 +22,7 @@ from loomis.functions.text import TOKEN_PATTERN, token_count, tokens, word_count
 from loomis.operators import tokenizer
 from loomis.plans.sequence import dense_index
 from loomis.schemas import ENDOFTEXT, IGNORE_INDEX, IM_END, SPECIAL_TOKENS
+from loomis.session import scratch_path
 
 
 
@@ -74,11 +77,43 @@ def encode(df: DataFrame, key: str, text: str, vocab: DataFrame, out: str = "ids
 def encode_corpus(df: DataFrame, key: str, text: str, vocab: DataFrame, out: str = "ids",
                   unknown_id: int = -1, limit: int = tokenizer.LIMIT_BYTES) -> DataFrame:
     """``df`` with the ids of its text: narrow by the vocabulary's trie if that
-    is within ``limit`` bytes, else by the join form on ``key`` (unique)."""
+    is within ``limit`` bytes.  Of a larger vocabulary the head is shipped (the
+    smallest ids, the most frequent tokens): a first pass takes the ids it has,
+    and only the distinct other tokens of a row are joined with the vocabulary.
+    Keys may repeat or be null; if no head fits, the join form on ``key``
+    (unique) does the work."""
     trie = tokenizer.tokenizer_for(vocab, limit, unknown_id)
     if trie is not None:
         return tokenizer.encode_with(df, text, trie, out)
-    return df.join(encode(df, key, text, vocab, out, unknown_id=unknown_id), key)
+    end = tokenizer.head_end(vocab, limit)
+    mark = min(0, unknown_id, vocab.agg(F.min("id")).first()[0] or 0) - 1
+    # A trie may take more slots than bytes: a smaller head then.
+    part, share = None, limit
+    while end is not None and part is None:
+        part = tokenizer.tokenizer_for(vocab.where(F.col("id") < end), limit, mark)
+        if part is None:
+            share //= 2
+            end = tokenizer.head_end(vocab, share)
+    if part is None:
+        return df.join(encode(df, key, text, vocab, out, unknown_id=unknown_id), key)
+    found = _written(tokenizer.encode_head(df, text, part, mark, out, "_rest"))
+    tail = vocab.where((F.col("id") >= end) & F.col("token").isNotNull()).groupBy("token").agg(F.min("id").alias("_id"))
+    rest = found.select("_row", F.posexplode("_rest").alias("_j", "token")).join(tail, "token", "left")
+    fill = rest.groupBy("_row").agg(F.array_sort(F.collect_list(
+        F.struct("_j", F.coalesce("_id", F.lit(unknown_id)).alias("id")))).alias("_p")) \
+        .select("_row", F.transform("_p", lambda x: x["id"]).cast("array<bigint>").alias("_fill"))
+    ids = F.when(F.col("_fill").isNull(), F.col(out)).otherwise(F.transform(
+        out, lambda x: F.when(x <= mark, F.get("_fill", (F.lit(mark) - x).cast("int"))).otherwise(x)))
+    return found.join(fill, "_row", "left").withColumn(out, ids).drop("_row", "_rest", "_fill")
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """``df`` with a number for each row, written once as Parquet, so that both
+    sides of a join by that number see the same ones."""
+    path = scratch_path(df.sparkSession, "tokens", uuid.uuid4().hex)
+    df = df.withColumn("_row", F.monotonically_increasing_id())
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- X2
@@ -104,9 +139,24 @@ def _is_special() -> Column:
 def decode_corpus(df: DataFrame, key: str, ids: str, vocab: DataFrame, out: str = "decoded",
                   skip_special: bool = False, sep: str = "", limit: int = tokenizer.LIMIT_BYTES) -> DataFrame:
     """``df`` with the text of its ids: narrow while the vocabulary is within
-    ``limit`` bytes, else by the join form on ``key`` (unique)."""
-    narrow = tokenizer.decode_with(df, ids, vocab, out, _is_special() if skip_special else None, sep, limit)
-    return narrow if narrow is not None else df.join(decode(df, key, ids, vocab, out, skip_special, sep), key)
+    ``limit`` bytes.  Of a larger one the head is shipped, and only the distinct
+    other ids of a row are joined with the vocabulary.  Keys may repeat or be
+    null; if no head fits, the join form on ``key`` (unique) does the work."""
+    skip = _is_special() if skip_special else None
+    narrow = tokenizer.decode_with(df, ids, vocab, out, skip, sep, limit)
+    if narrow is not None:
+        return narrow
+    end = tokenizer.head_end(vocab, limit)
+    if end is None:
+        return df.join(decode(df, key, ids, vocab, out, skip_special, sep), key)
+    have = _written(df)
+    gone = F.coalesce(skip, F.lit(False)) if skip is not None else F.lit(False)
+    tail = vocab.where((F.col("id") >= end) & F.col("token").isNotNull()).select(
+        F.col("id").alias("_id"), F.when(~gone, F.col("token")).alias("token"))
+    rest = have.select("_row", F.explode(F.array_distinct(F.filter(ids, lambda x: x >= end))).alias("_id")).join(tail, "_id")
+    other = rest.groupBy("_row").agg(F.collect_list(F.struct(F.col("_id").alias("id"), "token")).alias("_more"))
+    both = have.join(other, "_row", "left")
+    return tokenizer.decode_with(both, ids, vocab.where(F.col("id") < end), out, skip, sep, limit, "_more").drop("_row", "_more")
 
 
 def token_id(vocab: DataFrame, token: str) -> Column:

@@ -12,6 +12,7 @@ from loomis.operators import tokens as tk
 from loomis.plans import bindings as b
 from loomis.plans import sqlparts as s
 from loomis.plans.registry import register
+from loomis.plans.sequence import spread
 from loomis.schemas import DEFAULT_MAX_LEN
 
 MAX_LEN = DEFAULT_MAX_LEN
@@ -79,7 +80,7 @@ def build_vocab(spark, sf):
 @register("tokenize_corpus", s.q(*DOC_VOCAB, s.encoded("DENC", "documents", "doc_id", "DV"), f"""
 SELECT doc_id, CAST(len(ids) AS BIGINT) AS n_tokens, {_sql_ids('ids')} AS ids FROM DENC"""))
 def tokenize_corpus(spark, sf):
-    d = _docs(spark, sf).select("doc_id", "text")
+    d = spread(_docs(spark, sf).select("doc_id", "text"))
     enc = tk.encode_corpus(d, "doc_id", "text", tk.build_vocab(d, "text"))
     return enc.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), _ids_str("ids").alias("ids"))
 
@@ -92,7 +93,7 @@ SELECT doc_id, CAST(len(regexp_extract_all(text, '{s.PAT}')) AS BIGINT) AS n_tok
          = regexp_replace(text, '[\\s\\x{{0b}}]', '', 'g') AS roundtrip_ok
 FROM documents""")
 def decode_tokens(spark, sf):
-    d = _docs(spark, sf).select("doc_id", "text")
+    d = spread(_docs(spark, sf).select("doc_id", "text"))
     voc = tk.build_vocab(d, "text")
     enc = tk.encode_corpus(d, "doc_id", "text", voc)
     # The text stays in its row, so the comparison needs no join.

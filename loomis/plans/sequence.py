@@ -26,6 +26,12 @@ def tasks_for(df: DataFrame, n_rows: int) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n_rows // ROWS_PER_TASK))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt to the session's partitions by its columns: a file's row
+    group is read by one task, and all of the work on its texts would stay there."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *df.columns)
+
+
 def sequence_within(df: DataFrame, key: str | list[str], order: list[Column | str],
                     bucket: Column | None = None, name: str = "seq", tasks: int | None = None) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
