@@ -138,6 +138,10 @@ def run_metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    return (li.groupBy(F.col("l_orderkey").alias("prompt_id"), F.col("l_partkey").alias("token"))
+    """(prompt_id, token, logit), dealt by prompt to as many tasks as the lines
+    ask for, so that windows and groups by prompt need no other exchange and
+    their sorts take the same memory however many lines there are."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
+    return (li.repartition(history_tasks(spark, sf_dir), "l_orderkey")
+              .groupBy(F.col("l_orderkey").alias("prompt_id"), F.col("l_partkey").alias("token"))
               .agg((F.sum("l_extendedprice") / 10000).alias("logit")))

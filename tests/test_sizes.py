@@ -2,11 +2,13 @@
 sized by the input."""
 
 import random
+import tempfile
 
 from pyspark.sql import functions as F
 
-from loomis.operators import tokenizer
+from loomis.operators import sampling, tokenizer
 from loomis.operators import tokens as tk
+from loomis.plans import bindings, sequence
 
 
 def test_large_vocabulary_ships_its_head(spark, monkeypatch):
@@ -28,3 +30,16 @@ def test_large_vocabulary_ships_its_head(spark, monkeypatch):
         assert len(out[0]) == 203 and out[0] == out[1]
     monkeypatch.setattr(tk, "encode", None)         # not the form that joins every token
     assert tk.encode_corpus(docs, "k", "text", full, limit=60000).where(F.exists("ids", lambda x: x < 0)).count() == 0
+
+
+def test_score_tables_have_tasks_by_the_lines(spark, monkeypatch):
+    base = tempfile.mkdtemp(prefix="scores-", dir="/tmp")
+    rows = [(k, t, 100.0 * t) for k in (None, *range(40)) for t in (1, 2, 2)]
+    spark.createDataFrame(rows, "l_orderkey long, l_partkey long, l_extendedprice double").coalesce(1) \
+        .write.parquet(f"{base}/lineitem.parquet")
+    monkeypatch.setattr(sequence, "ROWS_PER_TASK", 13)
+    logits = bindings.logits(spark, base)
+    assert logits.rdd.getNumPartitions() == 10
+    assert {(r.prompt_id, r.token, r.logit) for r in logits.collect()} == {(k, t, 0.01 if t == 1 else 0.04) for k, t, _ in rows}
+    draws = sampling.sample_tokens(logits, 4)
+    assert draws.rdd.getNumPartitions() == 10 and draws.count() == 41 * 4
