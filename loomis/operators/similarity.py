@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomis.plans.sequence import spread
 from loomis.session import scratch_path
 
 SHINGLE = 5
@@ -385,6 +386,8 @@ def near_groups(df: DataFrame, key: str, text: str, k: int = SHINGLE,
     """(key, cluster_id, n_members): connected components of the similarity
     links; cluster_id is the smallest key.  Exact.  A text without words (null
     included) is a cluster of its own."""
+    # Read by every pass: written once, dealt to all tasks (a row group is read by one).
+    df = _cut(spread(df.select(key, F.col(text).cast("string").alias(text))), "texts")
     texts = _texts(df, text)
     groups = token_groups(prefix_rows(texts, k, threshold))
     first = groups.where("star <> node").where(_possible("star_n", "star_pos", "n", "pos", threshold)) \

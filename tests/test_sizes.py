@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from loomis.operators import sampling, tokenizer
+from loomis.operators import sampling, similarity, tokenizer
 from loomis.operators import tokens as tk
 from loomis.plans import bindings, sequence
 
@@ -43,3 +43,18 @@ def test_score_tables_have_tasks_by_the_lines(spark, monkeypatch):
     assert {(r.prompt_id, r.token, r.logit) for r in logits.collect()} == {(k, t, 0.01 if t == 1 else 0.04) for k, t, _ in rows}
     draws = sampling.sample_tokens(logits, 4)
     assert draws.rdd.getNumPartitions() == 10 and draws.count() == 41 * 4
+
+
+def test_texts_of_one_row_group_are_dealt(spark, monkeypatch):
+    rows = [(i % 30, f"a b c d e f g h i j k l m n o p {i % 40} q r s t u v w x y z") for i in range(80)] + [(None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    seen = []
+    real = similarity.memberships
+
+    def members(df, *args):
+        seen.append(df.where("doc_id is not null").select(F.spark_partition_id()).distinct().count())
+        return real(df, *args)
+    monkeypatch.setattr(similarity, "memberships", members)
+    out = similarity.near_groups(docs, "doc_id", "text").collect()
+    assert len(out) == 81 and seen[0] > 1
+    assert sequence.spread(docs).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
