@@ -28,17 +28,18 @@ REFRESH = 8             # steps between updates of the order-0 frequencies
 T_BITS, F_BITS = 24, 18  # total of the mixture, total of order 0
 PAIR_BITS = 20          # slots of the order-2 table
 # Confidence after a miss (first 16) and after a hit, by confidence before.
-CONF = np.array([1, 1] + [c >> 1 for c in range(2, 16)] + [min(c + 1, 15) for c in range(16)], np.int64)
+CONF = np.array([1, 1] + [c >> 1 for c in range(2, 16)] + [min(c + 1, 15) for c in range(16)], np.int32)
+KEEPS = np.array([-1 if c > 1 else 0 for c in range(16)], np.int32)  # may the prediction stay after a miss?
 _U = np.uint64
 
 
 class Model:
     """The adaptive mixture; encoder and decoder drive it alike."""
 
-    def __init__(self, vocab: int, lanes: int):
+    def __init__(self, vocab: int, lanes: int, decodes: bool = False):
         if vocab > (1 << F_BITS) // 2:
             raise ValueError("vocabulary too large for the order-0 total")
-        self.vocab = vocab
+        self.vocab, self.decodes = vocab, decodes
         self.counts = np.zeros(vocab, np.int64)
         self.recent: list[np.ndarray] = []
         # Predicted id and, in the low four bits, its confidence.
@@ -59,48 +60,65 @@ class Model:
         f = 1 + (self.counts + 1) * room // total
         f[np.argmax(f)] += (1 << F_BITS) - int(f.sum())
         self.cum = np.concatenate(([0], np.cumsum(f)))
-        self.inverse = np.repeat(np.arange(self.vocab, dtype=np.int32), f)
+        if self.decodes:
+            self.inverse = np.repeat(np.arange(self.vocab), f)
 
     def predict(self) -> None:
         """Set this step's predicted ids (a <= b) and masses."""
-        self.slot = ((self.prev2 * 0x9E3779B1 + self.prev1 * 0x85EBCA6B) >> 7) & ((1 << PAIR_BITS) - 1)
-        e1, e2 = self.order1[self.prev1].astype(np.int64), self.order2[self.slot].astype(np.int64)
+        slot = self.prev2 * 0x9E3779B1
+        slot += self.prev1 * 0x85EBCA6B
+        slot >>= 7
+        slot &= (1 << PAIR_BITS) - 1
+        self.slot = slot
+        e1, e2 = self.order1.take(self.prev1), self.order2.take(slot)
         self.p1, self.c1 = e1 >> 4, e1 & 15
         self.p2, self.c2 = e2 >> 4, e2 & 15
-        same = self.p1 == self.p2
-        self.state = same * 256 + (self.c1 << 4) + self.c2
+        self.state = (self.p1 == self.p2) * np.int64(256)
+        self.state += (self.c1 << 4) + self.c2
         spare = (1 << T_BITS) - (1 << F_BITS)
         share = spare // (2 * self.tries + 6)
         w1, w2 = share * (2 * self.hits1 + 1), share * (2 * self.hits2 + 1)
         w1[256:] = 0  # one id, predicted by both: order 2 speaks for it
-        w1, w2 = w1[self.state], w2[self.state]
         both = w1 + w2
+        first = self.p1 < self.p2
         self.a, self.b = np.minimum(self.p1, self.p2), np.maximum(self.p1, self.p2)
-        self.wa = np.where(self.p1 < self.p2, w1, w2)
-        self.wb = both - self.wa
-        self.w0 = (1 << T_BITS) - both
+        self.wa = np.concatenate((w2, w1)).astype(np.int32).take(first * np.int64(512) + self.state)
+        self.wb = both.astype(np.int32).take(self.state) - self.wa
+        self.w0 = ((1 << T_BITS) - both).take(self.state)
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(cumulative, frequency) of the ids out of 2**T_BITS."""
-        lo = (self.cum[ids] * self.w0) >> F_BITS
-        freq = ((self.cum[ids + 1] * self.w0) >> F_BITS) - lo
-        lo += (ids > self.a) * self.wa
-        lo += (ids > self.b) * self.wb
-        freq += (ids == self.a) * self.wa
-        freq += (ids == self.b) * self.wb
-        return lo, freq
+        lo, end = self.cum.take(ids), self.cum[1:].take(ids)
+        lo *= self.w0
+        lo >>= F_BITS
+        end *= self.w0
+        end >>= F_BITS
+        end -= lo
+        ids = ids.astype(np.int32)
+        lo += (ids > self.a) * self.wa + (ids > self.b) * self.wb
+        end += (ids == self.a) * self.wa + (ids == self.b) * self.wb
+        return lo, end
 
     def find(self, t: np.ndarray) -> np.ndarray:
         """The id whose interval holds ``t``."""
-        end_a = ((self.cum[self.a + 1] * self.w0) >> F_BITS) + self.wa
-        end_b = ((self.cum[self.b + 1] * self.w0) >> F_BITS) + self.wa + self.wb
+        def scaled(cum, at):
+            out = cum.take(at)
+            out *= self.w0
+            out >>= F_BITS
+            return out
+        after = self.cum[1:]
+        end_a = scaled(after, self.a) + self.wa
+        from_b, end_b = scaled(self.cum, self.b) + self.wa, scaled(after, self.b) + (self.wa + self.wb)
         past_a, past_b = t >= end_a, t >= end_b
         # Without the predictions' own shares, order 0 alone places the rest.
-        u = (((t - past_a * self.wa - past_b * self.wb + 1) << F_BITS) - 1) // self.w0
-        ids = self.inverse[np.minimum(u, (1 << F_BITS) - 1)].astype(np.int64)
-        at_b = ~past_b & (t >= ((self.cum[self.b] * self.w0) >> F_BITS) + self.wa)
-        at_b &= self.b > self.a
-        at_a = ~past_a & (t >= (self.cum[self.a] * self.w0) >> F_BITS)
+        u = t - (past_a * self.wa + past_b * self.wb)
+        u += 1
+        u <<= F_BITS
+        u -= 1
+        u //= self.w0
+        ids = self.inverse.take(np.minimum(u, (1 << F_BITS) - 1, out=u))
+        at_b = ~past_b & (t >= from_b) & (self.b > self.a)
+        at_a = ~past_a & (t >= scaled(self.cum, self.a))
         np.copyto(ids, self.b, where=at_b)
         np.copyto(ids, self.a, where=at_a)
         return ids
@@ -108,16 +126,22 @@ class Model:
     def update(self, ids: np.ndarray, n: int, step: int) -> None:
         """Learn the first ``n`` lanes' ids."""
         i = ids[:n]
+        id4 = i.astype(np.int32)
         k1, k2 = self.prev1[:n], self.slot[:n]
         p1, p2, c1, c2 = self.p1[:n], self.p2[:n], self.c1[:n], self.c2[:n]
-        ok1, ok2 = p1 == i, p2 == i
-        seen = np.bincount(self.state[:n] * 4 + ok1 * 2 + ok2, minlength=2048).reshape(512, 4)
+        ok1, ok2 = (p1 == id4).astype(np.int32), (p2 == id4).astype(np.int32)
+        seen = np.bincount(self.state[:n] * 4 + (ok1 * 2 + ok2), minlength=2048).reshape(512, 4)
         self.tries += seen.sum(1)
         self.hits1 += seen[:, 2] + seen[:, 3]
         self.hits2 += seen[:, 1] + seen[:, 3]
         # A miss at low confidence gives the place to the id that came.
-        self.order1[k1] = (np.where(c1 <= 1, i, p1) << 4) + CONF[ok1 * 16 + c1]
-        self.order2[k2] = (np.where(c2 <= 1, i, p2) << 4) + CONF[ok2 * 16 + c2]
+        for table, slot, p, c, ok in ((self.order1, k1, p1, c1, ok1), (self.order2, k2, p2, c2, ok2)):
+            entry = id4 ^ ((id4 ^ p) & KEEPS.take(c))
+            entry <<= 4
+            ok <<= 4
+            ok += c
+            entry += CONF.take(ok)
+            table[slot] = entry
         self.recent.append(i)
         self.prev2[:n], self.prev1[:n] = k1.copy(), i
         if (step + 1) % REFRESH == 0:
@@ -194,7 +218,7 @@ def decode_block(data: bytes) -> np.ndarray:
     at = np.cumsum(count) - count
     code = (body[at] << _U(32)) | body[at + 1]
     at += 2
-    model = Model(vocab, lanes)
+    model = Model(vocab, lanes, decodes=True)
     low, rng = np.zeros(lanes, _U), np.full(lanes, (1 << 64) - 1, _U)
     grid = np.zeros((steps, lanes), np.int64)
     for t in range(steps):

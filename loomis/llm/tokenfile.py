@@ -59,7 +59,7 @@ def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFr
         end = np.array([end_id], tk.kind).tobytes()
         for b in batches:
             size = pa.compute.binary_length(b.column(2)).to_pylist()
-            for x, y in size_batches(size, 4 << 20):
+            for x, y in size_batches(size, 8 << 20):
                 c = b.slice(x, y - x)
                 ids = [raw + end for raw in tk.encode(c.column(2).to_pylist())]
                 yield pa.RecordBatch.from_arrays([c.column(0), c.column(1), pa.array(ids, pa.binary())],
