@@ -40,7 +40,6 @@ from .base import cut
 FAN = 8
 BLOCK_LEVEL = 3                    # a block holds FAN ** 3 leaves
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
-MAX_LEVELS = 20                    # FAN ** 20 leaves
 _CHUNK = 4096
 _TOP = -1                          # number of the tree over the subroots
 
@@ -72,11 +71,9 @@ def leaf_rows(docs: DataFrame) -> DataFrame:
 
 
 def _height(n: Column) -> Column:
-    """Levels above the leaves of a tree of ``n`` leaves."""
-    out = F.lit(0)
-    for i in range(MAX_LEVELS):
-        out = out + (n > F.lit(FAN ** i)).cast("int")
-    return out
+    """Levels above the leaves of a tree of ``n`` leaves: the octal digits of
+    the last leaf's number.  Short, as plans hold it many times."""
+    return F.when(n > 1, F.length(F.conv(n - 1, 10, FAN))).otherwise(0)
 
 
 def _levels(leaves: DataFrame, most: int) -> DataFrame | None:

@@ -16,6 +16,7 @@ from itertools import permutations
 import numpy as np
 import pytest
 import zstandard
+from pyspark.sql import functions as F
 
 from loomis.llm import secrets
 from loomis.llm.interaction import Planes, interaction_audit, survival_words
@@ -279,3 +280,16 @@ def test_manifest_has_no_hot_step(spark):
     assert steps.agg({"count": "max"}).first()[0] == 1
     assert nodes.groupBy("bg", "block", "nl").count().where("nl > 3 and count > 1").count() == 0
     assert leaves.count() == 4700
+
+
+def test_manifest_height_is_short(spark):
+    """Heights of trees of any size, by an expression that plans can hold many times."""
+    from loomis.llm.manifest import _height
+    sizes = [1, 2, 7, 8, 9, 63, 64, 65, 512, 513, 8**10, 8**10 + 1, 8**20, 8**20 + 1]
+    got = spark.createDataFrame([(n,) for n in sizes], "n long").select("n", _height(F.col("n")).alias("h")).collect()
+    for r in got:
+        levels = 0
+        while 8**levels < r.n:
+            levels += 1
+        assert r.h == levels, r
+    assert len(str(_height(F.col("n")))) < 200
