@@ -8,7 +8,8 @@ looked at.  The steps:
 
 1. texts are packed into chunks, a table bucketed by chunk, so that later joins
    on the chunk move only the other side;
-2. chunks send their anchors' hashes (32 bits, dealt to buckets) and get back
+2. chunks send their anchors' hashes (32 bits, dealt to buckets, of which there
+   are as many as partitions or one for BUCKET_CHUNKS chunks) and get back
    two bits for each: found elsewhere or not, and crowded (more than CROWD
    occurrences in the corpus) or not;
 3. chunks send the pieces of text around the anchors that were found (the
@@ -52,6 +53,9 @@ GRAM = 32
 CHUNK_BYTES = 4 << 20
 BLOCK_BYTES = 1 << 19
 CROWD = 1 << 14  # occurrences of an anchor that meet in one suffix array, at most
+BUCKET_CHUNKS = 2  # chunks' anchors that meet in one bucket, on average
+GROUP = 1 << 14    # pieces of a bucket that are held as bytes at once (all of one anchor are)
+SEND_BYTES = 4 << 20
 NULL_ID = np.iinfo(np.int64).max
 _U = np.uint64
 _MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9)
@@ -178,15 +182,36 @@ def fold(rem, docs, pieces):
     """Group equal pieces of equal anchors.  Returns the indexes of the kept
     ones (all of the smallest document) and of the settled ones."""
     best: dict = {}
+    more: dict[int, list[int]] = {}  # further pieces of a kept one's document
+    gone = []
     for i, k in enumerate(zip(rem, pieces)):
-        d = docs[i]
-        got = best.get(k)
-        if got is None or d < got[0]:
-            best[k] = [d, [i]]
-        elif d == got[0]:
-            got[1].append(i)
-    keep = {i for _, own in best.values() for i in own}
-    return sorted(keep), [i for i in range(len(docs)) if i not in keep]
+        j = best.setdefault(k, i)
+        if i == j:
+            continue
+        if docs[i] > docs[j]:
+            gone.append(i)
+        elif docs[i] == docs[j]:
+            more.setdefault(j, []).append(i)
+        else:
+            gone += [j, *more.pop(j, [])]
+            best[k] = i
+    return sorted([*best.values(), *(i for own in more.values() for i in own)]), sorted(gone)
+
+
+def repeated(keys: np.ndarray):
+    """Indexes of the keys that occur more than once, by key, in ranges of
+    about GROUP; a key's indexes (in order) lie in one range."""
+    if not len(keys):
+        return
+    order = np.argsort(keys, kind="stable")
+    same = keys[order[1:]] == keys[order[:-1]]
+    order = order[np.concatenate((same, [False])) | np.concatenate(([False], same))]
+    if not len(order):
+        return
+    first = np.flatnonzero(np.concatenate(([True], keys[order[1:]] != keys[order[:-1]])))
+    edge = np.unique(first[np.searchsorted(first, np.arange(0, first[-1] + 1, GROUP))]).tolist()
+    for a, e in zip(edge, [*edge[1:], len(order)]):
+        yield order[a:e]
 
 
 def settle(rem, docs, places, pieces, starts, span: int = SPAN):
@@ -210,6 +235,47 @@ def settle(rem, docs, places, pieces, starts, span: int = SPAN):
 
 # -- Spark jobs ---------------------------------------------------------------
 
+def squeezed(text: bytes) -> bytes:
+    """Pieces as they travel."""
+    return pa.Codec("zstd", compression_level=1).compress(text, asbytes=True)
+
+
+def resolve(t: pa.Table, span: int = SPAN) -> pa.Table:
+    """Spans (chunk, spans) of one bucket's pieces.  They stay in their rows'
+    texts; only GROUP of those that may repeat are taken out at once."""
+    chunk = t["chunk"].to_pylist()
+
+    def column(name, kind):
+        each = [np.frombuffer(x.as_buffer(), kind) for x in t[name]]
+        return np.concatenate(each), [len(x) for x in each]
+    (rem, n), (docs_, _), (start, _), (starts, _) = (
+        column(*x) for x in (("rem", "<u4"), ("doc", "<i8"), ("start", "<i4"), ("starts", "u1")))
+    row = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    # Where each piece ends in its row's text.
+    end = np.cumsum(starts.astype(np.int64) + (span - 1))
+    edge = np.concatenate(([0], end))[np.cumsum([0, *n])]
+    end -= np.repeat(edge[:-1], n)
+    text = [memoryview(pa.decompress(x.as_buffer(), size, "zstd")) for x, size in zip(t["text"], np.diff(edge).tolist())]
+    out: dict[int, list[bytes]] = {}
+    for c, x in zip(chunk, t["done"].to_pylist()):
+        if x:
+            out.setdefault(c, []).append(x)
+    for own in repeated(rem):
+        r, k = row[own].tolist(), starts[own].tolist()
+        pieces = [bytes(text[x][e - m - span + 1:e]) for x, e, m in zip(r, end[own].tolist(), k)]
+        places = list(zip(r, start[own].tolist()))
+        found = settle(rem[own].tolist(), docs_[own].tolist(), places, pieces, k, span)
+        if found:
+            found = np.array(found, "<i4")
+            found = found[np.argsort(found[:, 0], kind="stable")]
+            at = np.flatnonzero(np.concatenate(([True], found[1:, 0] != found[:-1, 0]))).tolist()
+            for a, e in zip(at, [*at[1:], len(found)]):
+                out.setdefault(chunk[found[a, 0]], []).append(found[a:e, 1:].tobytes())
+    rows = [(c, b"".join(v)) for c, v in out.items()]
+    return pa.table({"chunk": pa.array([c for c, _ in rows], pa.int64()),
+                     "spans": pa.array([v for _, v in rows], pa.binary())})
+
+
 def pack(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame:
     """Chunk table (chunk, ids, nulls, sizes, data), bucketed by chunk."""
     spark = docs.sparkSession
@@ -243,6 +309,18 @@ def pack(docs: DataFrame, id_col: str, text_col: str, buckets: int) -> DataFrame
     return spark.table(name)
 
 
+def bucket_count(chunks: DataFrame) -> int:
+    """A bucket is held by one Python worker, so there are more the larger the corpus."""
+    return max(int(chunks.sparkSession.conf.get("spark.sql.shuffle.partitions")), chunks.count() // BUCKET_CHUNKS)
+
+
+def _rows(batches):
+    """The rows as dicts, one at a time: a batch may hold 64 MB of chunks."""
+    for b in batches:
+        for j in range(b.num_rows):
+            yield b.slice(j, 1).to_pylist()[0]
+
+
 def _load(r) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(r["data"], np.uint8)
     return data, np.concatenate(([0], np.cumsum(np.array(r["sizes"], np.int64)))).astype(np.int64)
@@ -256,21 +334,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not gram <= span or gram & (gram - 1):
         raise ValueError("gram must be a power of two, not above span")
     spark = docs.sparkSession
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = pack(docs, id_col, text_col, buckets)
+    chunks = pack(docs, id_col, text_col, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = bucket_count(chunks)
 
     def send_hashes(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                keys, _, n = _listed(anchors(*_load(r), span, gram)[0], buckets)
-                where = np.searchsorted(keys >> _U(32), np.arange(buckets + 1, dtype=_U))
-                rows = [(k, r["chunk"], (keys[x:y] & _U(0xFFFFFFFF)).astype("<u4").tobytes(),
-                         zlib.compress(np.minimum(n[x:y], 65535).astype("<u2").tobytes(), 1))
-                        for k, (x, y) in enumerate(zip(where[:-1].tolist(), where[1:].tolist())) if y > x]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([v[0] for v in rows], pa.int32()), pa.array([v[1] for v in rows], pa.int64()),
-                     pa.array([v[2] for v in rows], pa.binary()), pa.array([v[3] for v in rows], pa.binary())],
-                    names=["bucket", "chunk", "hashes", "counts"])
+        for r in _rows(batches):
+            keys, _, n = _listed(anchors(*_load(r), span, gram)[0], buckets)
+            where = np.searchsorted(keys >> _U(32), np.arange(buckets + 1, dtype=_U))
+            rows = [(k, r["chunk"], (keys[x:y] & _U(0xFFFFFFFF)).astype("<u4").tobytes(),
+                     zlib.compress(np.minimum(n[x:y], 65535).astype("<u2").tobytes(), 1))
+                    for k, (x, y) in enumerate(zip(where[:-1].tolist(), where[1:].tolist())) if y > x]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v[0] for v in rows], pa.int32()), pa.array([v[1] for v in rows], pa.int64()),
+                 pa.array([v[2] for v in rows], pa.binary()), pa.array([v[3] for v in rows], pa.binary())],
+                names=["bucket", "chunk", "hashes", "counts"])
 
     def found_bits(t: pa.Table) -> pa.Table:
         each = [np.frombuffer(x, "<u4") for x in t["hashes"].to_pylist()]
@@ -289,108 +366,92 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .groupBy(F.col("chunk").alias("b_chunk")).agg(F.collect_list(F.struct("bucket", "bits", "crowds")).alias("bits"))
 
     def send_pieces(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                data, offsets = _load(r)
-                h, j0, j1 = anchors(data, offsets, span, gram)
-                keys, inverse, _ = _listed(h, buckets)
-                where = np.searchsorted(keys >> _U(32), np.arange(buckets + 1, dtype=_U))
-                hot, crowded = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
-                for x in r["bits"]:
-                    a, e = where[x["bucket"]], where[x["bucket"] + 1]
-                    for mark, got in ((hot, x["bits"]), (crowded, x["crowds"])):
-                        if got:
-                            mark[a:e] = np.unpackbits(np.frombuffer(got, np.uint8))[:e - a] > 0
-                pick = np.flatnonzero(hot[inverse])
-                h, j0, j1 = spread(data, h[pick], j0[pick], j1[pick], crowded[inverse[pick]], span)
-                ids = np.array([NULL_ID if d is None else d for d in r["ids"]], np.int64)
-                doc = ids[np.searchsorted(offsets, j0, side="right") - 1]
-                bucket, rem = _dealt(h, buckets)
-                raw, stop = r["data"], (j1 + span).tolist()
-                pieces = [raw[x:y] for x, y in zip(j0.tolist(), stop)]
-                keep, gone = fold(h.tolist(), doc.tolist(), pieces)
-                done = np.array([(j0[i], stop[i]) for i in gone], "<i4").tobytes()
-                keep = np.array(keep, np.int64)
-                keep = keep[np.argsort(bucket[keep], kind="stable")]
-                edge = np.searchsorted(bucket[keep], np.arange(buckets + 1))
-                home = int(r["chunk"] % buckets)
-                cols = {c: [] for c in ("bucket", "chunk", "rem", "doc", "start", "starts", "text", "done")}
-                for k, (x, y) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())):
-                    own = keep[x:y]
-                    if y == x and not (k == home and done):
-                        continue
-                    for c, v in (("bucket", k), ("chunk", r["chunk"]), ("rem", rem[own].astype("<u4").tobytes()),
-                                 ("doc", doc[own].astype("<i8").tobytes()),
-                                 ("start", j0[own].astype("<i4").tobytes()),
-                                 ("starts", (j1 - j0 + 1)[own].astype("u1").tobytes()),
-                                 ("text", b"".join([pieces[i] for i in own.tolist()])),
-                                 ("done", done if k == home else b"")):
-                        cols[c].append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols["bucket"], pa.int32()), pa.array(cols["chunk"], pa.int64()),
-                     *[pa.array(cols[c], pa.binary()) for c in list(cols)[2:]]], names=list(cols))
+        for r in _rows(batches):
+            data, offsets = _load(r)
+            h, j0, j1 = anchors(data, offsets, span, gram)
+            keys, inverse, _ = _listed(h, buckets)
+            where = np.searchsorted(keys >> _U(32), np.arange(buckets + 1, dtype=_U))
+            hot, crowded = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+            for x in r["bits"]:
+                a, e = where[x["bucket"]], where[x["bucket"] + 1]
+                for mark, got in ((hot, x["bits"]), (crowded, x["crowds"])):
+                    if got:
+                        mark[a:e] = np.unpackbits(np.frombuffer(got, np.uint8))[:e - a] > 0
+            pick = np.flatnonzero(hot[inverse])
+            h, j0, j1 = spread(data, h[pick], j0[pick], j1[pick], crowded[inverse[pick]], span)
+            ids = np.array([NULL_ID if d is None else d for d in r["ids"]], np.int64)
+            doc = ids[np.searchsorted(offsets, j0, side="right") - 1]
+            raw, stop, kept, done = r["data"], j1 + span, np.ones(len(h), bool), []
+            for own in repeated(h):
+                texts = (raw[x:y] for x, y in zip(j0[own].tolist(), stop[own].tolist()))
+                gone = own[fold(h[own].tolist(), doc[own].tolist(), texts)[1]]
+                kept[gone] = False
+                done.append(np.stack([j0[gone], stop[gone]], axis=1).astype("<i4").tobytes())
+            done = b"".join(done)
+            bucket, rem = _dealt(h, buckets)
+            keep = np.flatnonzero(kept)
+            keep = keep[np.argsort(bucket[keep], kind="stable")]
+            edge = np.searchsorted(bucket[keep], np.arange(buckets + 1))
+            home = int(r["chunk"] % buckets)
+            cols, size = {c: [] for c in ("bucket", "chunk", "rem", "doc", "start", "starts", "text", "done")}, 0
+            for k, (x, y) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())):
+                own = keep[x:y]
+                if y == x and not (k == home and done):
+                    continue
+                text = squeezed(b"".join([raw[x:y] for x, y in zip(j0[own].tolist(), stop[own].tolist())]))
+                for c, v in (("bucket", k), ("chunk", r["chunk"]), ("rem", rem[own].astype("<u4").tobytes()),
+                             ("doc", doc[own].astype("<i8").tobytes()),
+                             ("start", j0[own].astype("<i4").tobytes()),
+                             ("starts", (j1 - j0 + 1)[own].astype("u1").tobytes()),
+                             ("text", text), ("done", done if k == home else b"")):
+                    cols[c].append(v)
+                size += len(text)
+                if size > SEND_BYTES:
+                    yield piece_rows(cols)
+                    cols, size = {c: [] for c in cols}, 0
+            if cols["bucket"]:
+                yield piece_rows(cols)
+
+    def piece_rows(cols):
+        return pa.RecordBatch.from_arrays(
+            [pa.array(cols["bucket"], pa.int32()), pa.array(cols["chunk"], pa.int64()),
+             *[pa.array(cols[c], pa.binary()) for c in list(cols)[2:]]], names=list(cols))
 
     pieces = chunks.join(bits, F.col("chunk") == F.col("b_chunk"), "left") \
         .select("chunk", "ids", "sizes", "data", F.coalesce("bits", F.expr("array()")).alias("bits")) \
         .mapInArrow(send_pieces, "bucket int, chunk bigint, rem binary, doc binary, start binary, starts binary, "
                                  "text binary, done binary")
 
-    def resolve(t: pa.Table) -> pa.Table:
-        rem, docs_, places, texts, starts = [], [], [], [], []
-        out: dict[int, list[bytes]] = {}
-        for r in t.to_pylist():
-            if r["done"]:
-                out.setdefault(r["chunk"], []).append(r["done"])
-            n = np.frombuffer(r["starts"], "u1").astype(np.int64)
-            ends = np.cumsum(n + span - 1).tolist()
-            raw, a = r["text"], 0
-            for e in ends:
-                texts.append(raw[a:e])
-                a = e
-            rem += np.frombuffer(r["rem"], "<u4").tolist()
-            docs_ += np.frombuffer(r["doc"], "<i8").tolist()
-            places += [(r["chunk"], s) for s in np.frombuffer(r["start"], "<i4").tolist()]
-            starts += n.tolist()
-        per: dict[int, list] = {}
-        for c, a, b in settle(rem, docs_, places, texts, starts, span):
-            per.setdefault(c, []).append((a, b))
-        for c, v in per.items():
-            out.setdefault(c, []).append(np.array(v, "<i4").tobytes())
-        rows = [(c, b"".join(v)) for c, v in out.items()]
-        return pa.table({"chunk": pa.array([c for c, _ in rows], pa.int64()),
-                         "spans": pa.array([v for _, v in rows], pa.binary())})
-
-    spans = pieces.groupBy("bucket").applyInArrow(resolve, "chunk bigint, spans binary") \
+    spans = pieces.groupBy("bucket").applyInArrow(lambda t: resolve(t, span), "chunk bigint, spans binary") \
         .groupBy(F.col("chunk").alias("s_chunk")).agg(F.collect_list("spans").alias("spans"))
 
     def cut_out(batches):
-        for b in batches:
-            for r in b.to_pylist():
-                data, offsets = _load(r)
-                mark = np.zeros(len(data) + 1, np.int32)
-                for s in r["spans"]:
-                    x = np.frombuffer(s, "<i4").reshape(-1, 2)
-                    np.add.at(mark, x[:, 0], 1)
-                    np.add.at(mark, x[:, 1], -1)
-                gone = np.cumsum(mark[:-1]) > 0
-                n_removed, n_spans, runs, sha = [], [], [], []
-                for a, e in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-                    g = gone[a:e]
-                    if not g.any():
-                        n_removed.append(0)
-                        n_spans.append(0)
-                        runs.append([])
-                        sha.append(hashlib.sha256(data[a:e].tobytes()).hexdigest())
-                        continue
-                    edge = np.flatnonzero(np.diff(np.concatenate(([False], g, [False])))).reshape(-1, 2)
-                    n_removed.append(int(g.sum()))
-                    n_spans.append(len(edge))
-                    runs.append(edge.tolist())
-                    sha.append(hashlib.sha256(data[a:e][~g].tobytes()).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(r["ids"], pa.int64()), pa.array(r["sizes"], pa.int64()), pa.array(n_removed, pa.int64()),
-                     pa.array(n_spans, pa.int64()), pa.array(runs, pa.list_(pa.list_(pa.int32()))), pa.array(sha)],
-                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256"])
+        for r in _rows(batches):
+            data, offsets = _load(r)
+            mark = np.zeros(len(data) + 1, np.int32)
+            for s in r["spans"]:
+                x = np.frombuffer(s, "<i4").reshape(-1, 2)
+                np.add.at(mark, x[:, 0], 1)
+                np.add.at(mark, x[:, 1], -1)
+            gone = np.cumsum(mark[:-1], dtype=np.int32) > 0
+            n_removed, n_spans, runs, sha = [], [], [], []
+            for a, e in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
+                g = gone[a:e]
+                if not g.any():
+                    n_removed.append(0)
+                    n_spans.append(0)
+                    runs.append([])
+                    sha.append(hashlib.sha256(data[a:e].tobytes()).hexdigest())
+                    continue
+                edge = np.flatnonzero(np.diff(np.concatenate(([False], g, [False])))).reshape(-1, 2)
+                n_removed.append(int(g.sum()))
+                n_spans.append(len(edge))
+                runs.append(edge.tolist())
+                sha.append(hashlib.sha256(data[a:e][~g].tobytes()).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(r["ids"], pa.int64()), pa.array(r["sizes"], pa.int64()), pa.array(n_removed, pa.int64()),
+                 pa.array(n_spans, pa.int64()), pa.array(runs, pa.list_(pa.list_(pa.int32()))), pa.array(sha)],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "spans", "kept_sha256"])
 
     return chunks.join(spans, F.col("chunk") == F.col("s_chunk"), "left") \
         .select("chunk", "ids", "sizes", "data", F.coalesce("spans", F.expr("array()")).alias("spans")) \

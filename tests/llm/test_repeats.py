@@ -2,8 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import functions as F
 from test_small_ops import docs_of, sample_texts
 
 from loomis.llm import repeats
@@ -106,3 +109,50 @@ def test_edge_pieces_of_a_crowded_anchor_spread():
     for k, a, b in zip(h.tolist(), j0.tolist(), j1.tolist()):
         groups.setdefault(k, set()).add(data[a:b + 50].tobytes())
     assert max(map(len, groups.values())) <= 100
+
+
+def test_buckets_follow_the_corpus(spark):
+    texts = passages(4) * 2
+    docs = docs_of(spark, texts)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        dealt = docs.repartition("doc_id").localCheckpoint()
+        n = len({r[0] for r in dealt.select(F.spark_partition_id()).collect()})
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        assert repeats.bucket_count(repeats.pack(dealt, "doc_id", "text", 3)) == n // repeats.BUCKET_CHUNKS > 3
+        assert got(remove_repeats(dealt)) == brute(list(enumerate(texts)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_ranges_hold_whole_keys(monkeypatch):
+    monkeypatch.setattr(repeats, "GROUP", 20)
+    for seed in range(20):
+        keys = np.random.default_rng(seed).integers(0, 60, seed * 9).astype(np.uint32)
+        _, inverse, n = np.unique(keys, return_inverse=True, return_counts=True)
+        parts = list(repeats.repeated(keys))
+        assert sorted(np.concatenate([[], *parts]).tolist()) == np.flatnonzero(n[inverse] > 1).tolist()
+        for i, p in enumerate(parts):
+            assert len(p) <= 20 + n.max() and (np.diff(keys[p].astype(int)) >= 0).all()
+            assert not {*keys[p]} & {int(k) for q in parts[:i] for k in keys[q]}
+
+
+def test_bucket_memory_and_spans():
+    # 200,000 pieces of one window, each twice: the larger document's go.
+    rng, n = np.random.default_rng(6), 100_000
+    rem = rng.permutation(n).astype("<u4")
+    text = repeats.squeezed(rng.integers(0, 256, (n, 50)).astype(np.uint8).tobytes())
+    row = [rem.tobytes(), None, (np.arange(n) * 9).astype("<i4").tobytes(), np.ones(n, "u1").tobytes(), text, b""]
+    rows = [[0, c, *row[:1], np.full(n, d, "<i8").tobytes(), *row[2:]] for c, d in ((7, 3), (8, 1))]
+    names = ["bucket", "chunk", "rem", "doc", "start", "starts", "text", "done"]
+    t = pa.table({c: [r[i] for r in rows] for i, c in enumerate(names)})
+    tracemalloc.start()
+    out = repeats.resolve(t)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6, peak
+    spans = {r["chunk"]: np.frombuffer(r["spans"], "<i4").reshape(-1, 2) for r in out.to_pylist()}
+    assert list(spans) == [7] and sorted(spans[7].tolist()) == [[9 * i, 9 * i + 50] for i in range(n)]
